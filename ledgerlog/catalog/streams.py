@@ -1 +1,94 @@
-"""Bound later."""
+"""Streaming jobs run to the end of the sample files, then read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.stats import exact_avg
+from ..session import fresh_path
+from ..streaming import jobs
+from .bindings import EVENT_COLUMNS, FEED_COLUMNS, Sample, over
+from .registry import query
+from ..operators.collection import parse_counter_path
+
+
+def _events(s: Sample) -> DataFrame:
+    """The events table as a stream.
+
+    The character class makes the path a pattern, which a stream accepts whether the
+    table is one file or a folder of files.
+    """
+    return jobs.read_stream(s.spark, f"{s.folder}/events.parque[t]", s.table("events").schema)
+
+
+def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*(f"{expr} AS {name}" for name, expr in columns.items()))
+
+
+def _finish(running) -> None:
+    running.awaitTermination()
+
+
+@query("str01_ingest_events", over("log") + """SELECT TimeGenerated, Source, EventLog, EventLevel FROM log
+  WHERE (EventLog = 'Application' AND EventLevel IN (1, 2, 3, 4)) OR (EventLog = 'System'
+  AND EventLevel IN (1, 2, 3))""")
+def _str01(s):
+    sink = fresh_path(s.spark, "ingest")
+    _finish(jobs.start_event_ingest(_project(_events(s), EVENT_COLUMNS), sink, fresh_path(s.spark, "progress")))
+    return s.spark.read.parquet(sink).select("TimeGenerated", "Source", "EventLog", "EventLevel")
+
+
+@query("str01_ingest_counters", over("perf") + """SELECT p.TimeGenerated, p.ObjectName, p.CounterName, p.CounterValue
+  FROM perf p JOIN events e ON e.ts = p.TimeGenerated WHERE regexp_extract(e.props, '([0-9]+)', 1)::int >= 10""")
+def _str01_perf(s):
+    sink = fresh_path(s.spark, "ingest")
+    parsed = _project(_events(s), FEED_COLUMNS).withColumns(parse_counter_path("counter_path"))
+    _finish(jobs.start_perf_ingest(parsed, sink, fresh_path(s.spark, "progress")))
+    return s.spark.read.parquet(sink).select("TimeGenerated", "ObjectName", "CounterName", "CounterValue")
+
+
+@query("str02_hourly_windows", """SELECT bin_start, event_type, n, total / n AS avg_value, max_value FROM (
+  SELECT time_bucket(interval 1 hour, ts) AS bin_start, event_type, count(*) AS n,
+  cast(sum(cast(value as decimal(18,4))) as double) AS total, max(value) AS max_value FROM events GROUP BY 1, 2)
+  WHERE bin_start + interval 1 hour <= (SELECT max(ts) FROM events) - interval 15 minute""")
+def _str02(s):
+    sink = fresh_path(s.spark, "windows")
+    aggs = [F.count("*").alias("n"), exact_avg("value").alias("avg_value"), F.max("value").alias("max_value")]
+    hourly = jobs.windowed(_events(s), "ts", ["event_type"], aggs)
+    _finish(jobs.start_windowed(hourly, sink, fresh_path(s.spark, "progress")))
+    return s.spark.read.parquet(sink).select(
+        F.col("bin_start").cast("timestamp_ntz").alias("bin_start"), "event_type", "n", "avg_value", "max_value"
+    )
+
+
+@query("str03_once_per_key", "SELECT event_id, user_id, value FROM events")
+def _str03(s):
+    sink = fresh_path(s.spark, "once")
+    twice = _events(s).unionByName(_events(s))
+    _finish(jobs.start_deduplicated(twice, ["event_id"], "ts", sink, fresh_path(s.spark, "progress")))
+    return s.spark.read.parquet(sink).select("event_id", "user_id", "value")
+
+
+@query("str04_alerts", over("log") + """SELECT TimeGenerated, RenderedDescription FROM log
+  WHERE RenderedDescription ILIKE '%slow query warning%' OR RenderedDescription ILIKE '%deadlock%'""")
+def _str04(s):
+    sink = fresh_path(s.spark, "alerts")
+    log = _project(_events(s), EVENT_COLUMNS)
+    _finish(jobs.start_alerts(log, jobs.append_batch(sink), fresh_path(s.spark, "progress")))
+    return s.spark.read.parquet(sink).select("TimeGenerated", "RenderedDescription")
+
+
+_KIND = "CASE WHEN event_type IN ('error', 'view') THEN 'Event' ELSE 'Perf' END"
+
+
+@query("str05_two_table_routing", f"SELECT {_KIND} AS destination, event_id, event_type FROM events")
+def _str05(s):
+    sinks = {"Event": fresh_path(s.spark, "event"), "Perf": fresh_path(s.spark, "perf")}
+    mixed = _events(s).withColumn("kind", F.expr(_KIND))
+    _finish(jobs.start_routing(mixed, sinks, fresh_path(s.spark, "progress")))
+    parts = [
+        s.spark.read.parquet(path).select(F.lit(name).alias("destination"), "event_id", "event_type")
+        for name, path in sinks.items()
+    ]
+    return parts[0].unionByName(parts[1])

@@ -41,7 +41,7 @@ def check_tables(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per declared foreign key and domain: how many rows break it."""
     results = []
     for child, child_key, parent, parent_key in FOREIGN_KEYS:
-        if child in tables and parent in tables:
+        if child in tables and parent in tables and child_key in tables[child].columns:
             bad = fk_orphans(tables[child], tables[parent], child_key, parent_key)
             results.append(_summary(bad, f"{child}.{child_key} -> {parent}.{parent_key}"))
     for (table, col), values in DOMAINS.items():
