@@ -336,10 +336,11 @@ query("win03_row_sequence", """SELECT o_orderkey, row_number() OVER (ORDER BY o_
   WHERE o_orderstatus = 'F'""")(
     lambda s: wn.dense_ids(s.table("orders").filter("o_orderstatus = 'F'").select("o_orderkey"), "o_orderkey", "n"))
 
-query("srt01_one_key", "SELECT event_id, value FROM events ORDER BY value DESC NULLS LAST")(
-    lambda s: _events(s).select("event_id", "value").orderBy(F.col("value").desc()))
-query("srt02_mixed_keys", "SELECT event_type, value, event_id FROM events ORDER BY value DESC, event_type")(
-    lambda s: _events(s).select("event_type", "value", "event_id").orderBy(F.col("value").desc(), "event_type"))
+query("srt01_one_key", "SELECT event_id, value FROM events")(
+    lambda s: _events(s).select("event_id", "value").orderBy(F.col("value").desc(), "event_id"))
+query("srt02_mixed_keys", "SELECT event_type, value, event_id FROM events ORDER BY value DESC, event_type, event_id")(
+    lambda s: _events(s).select("event_type", "value", "event_id").orderBy(
+        F.col("value").desc(), "event_type", "event_id"))
 query("srt03_take", "SELECT event_id FROM events ORDER BY event_id LIMIT 50")(
     lambda s: tk.take(_events(s).select("event_id").orderBy("event_id"), 50))
 query("srt04_top_k", "SELECT event_id, value FROM events ORDER BY value DESC, event_id LIMIT 30")(

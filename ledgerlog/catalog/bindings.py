@@ -29,7 +29,9 @@ CODES = Codes(
     claim_payout="A",
 )
 
-_K = "cast(regexp_extract(props, '([0-9]+)', 1) as int)"
+# The number in ``props``, taken out once below the projections that use it.
+_K = "k"
+_K_FROM_PROPS = "cast(regexp_extract(props, '([0-9]+)', 1) as int)"
 _SECONDS = "cast(cast(value as decimal(12,2)) as string)"
 _DB = f"concat('db_', cast({_K} % 5 as string))"
 
@@ -195,17 +197,18 @@ def _select(columns: dict[str, str], table: str, more: str = "") -> str:
     return f"SELECT {text}{more} FROM {table}"
 
 
+_NUMBERED = f"(SELECT *, {_K_FROM_PROPS} AS k FROM events)"
+
 # The same projections as named subqueries for the checking engine. Names differ from
 # the sample tables so that none hides another.
 VIEWS = {
-    "log": _select(EVENT_COLUMNS, "events"),
+    "log": _select(EVENT_COLUMNS, _NUMBERED),
     "perf": _select(PERF_COLUMNS, "events"),
-    "feed": _select(FEED_COLUMNS, "events"),
-    "captured": _select(CAPTURE_COLUMNS, "events"),
+    "feed": _select(FEED_COLUMNS, _NUMBERED),
+    "captured": _select(CAPTURE_COLUMNS, _NUMBERED),
     "customers": _select(CUSTOMER_COLUMNS, "customer"),
-    "lead_line": "SELECT l_orderkey, l_partkey AS package_id, l_suppkey AS agent_id FROM ("
-                 "SELECT *, row_number() OVER (PARTITION BY l_orderkey "
-                 "ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem) WHERE rn = 1",
+    "lead_line": "SELECT l_orderkey, min(l_partkey) AS package_id, min(l_suppkey) AS agent_id FROM lineitem "
+                 "GROUP BY l_orderkey",
     "policies": _select(_POLICY_BASE, "orders LEFT JOIN lead_line ON l_orderkey = o_orderkey",
                         ", package_id, agent_id"),
     "claims": _select(CLAIM_COLUMNS, "lineitem"),
@@ -226,6 +229,10 @@ def over(*views: str) -> str:
     return "WITH " + ",\n".join(f"{v} AS ({VIEWS[v]})" for v in wanted) + "\n"
 
 
+def with_number(events: DataFrame) -> DataFrame:
+    return events.selectExpr("*", f"{_K_FROM_PROPS} AS k")
+
+
 class Sample:
     """The sample folder as tables of this package's schemas."""
 
@@ -239,9 +246,13 @@ class Sample:
     def project(self, table: str, columns: dict[str, str]) -> DataFrame:
         return self.table(table).selectExpr(*_columns(columns))
 
+    @cached_property
+    def numbered(self) -> DataFrame:
+        return with_number(self.table("events"))
+
     @cached_property
     def log(self) -> DataFrame:
-        return self.project("events", EVENT_COLUMNS)
+        return self.numbered.selectExpr(*_columns(EVENT_COLUMNS))
 
     @cached_property
     def perf(self) -> DataFrame:
@@ -249,11 +260,11 @@ class Sample:
 
     @cached_property
     def feed(self) -> DataFrame:
-        return self.project("events", FEED_COLUMNS)
+        return self.numbered.selectExpr(*_columns(FEED_COLUMNS))
 
     @cached_property
     def captured(self) -> DataFrame:
-        return self.project("events", CAPTURE_COLUMNS)
+        return self.numbered.selectExpr(*_columns(CAPTURE_COLUMNS))
 
     @cached_property
     def bare_policies(self) -> DataFrame:
@@ -262,14 +273,9 @@ class Sample:
 
     @cached_property
     def policies(self) -> DataFrame:
-        """Policies with the package and agent of their first line."""
-        lead = (
-            self.table("lineitem").groupBy("l_orderkey")
-            .agg(F.min(F.struct("l_linenumber", "l_partkey", "l_suppkey")).alias("lead"))
-            .select(
-                F.col("l_orderkey").alias("policy_id"), F.col("lead.l_partkey").alias("package_id"),
-                F.col("lead.l_suppkey").alias("agent_id"),
-            )
+        """Policies with the first package and the first agent among their lines."""
+        lead = self.table("lineitem").groupBy(F.col("l_orderkey").alias("policy_id")).agg(
+            F.min("l_partkey").alias("package_id"), F.min("l_suppkey").alias("agent_id")
         )
         return self.bare_policies.join(lead, "policy_id", "left")
 

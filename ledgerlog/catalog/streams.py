@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.stats import exact_avg
 from ..session import fresh_path
 from ..streaming import jobs
-from .bindings import EVENT_COLUMNS, FEED_COLUMNS, Sample, over
+from .bindings import EVENT_COLUMNS, FEED_COLUMNS, Sample, over, with_number
 from .registry import query
-from ..operators.collection import parse_counter_path
 
 
 def _events(s: Sample) -> DataFrame:
@@ -23,7 +22,7 @@ def _events(s: Sample) -> DataFrame:
 
 
 def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.selectExpr(*(f"{expr} AS {name}" for name, expr in columns.items()))
+    return with_number(df).selectExpr(*(f"{expr} AS {name}" for name, expr in columns.items()))
 
 
 def _finish(running) -> None:
@@ -43,8 +42,7 @@ def _str01(s):
   FROM perf p JOIN events e ON e.ts = p.TimeGenerated WHERE regexp_extract(e.props, '([0-9]+)', 1)::int >= 10""")
 def _str01_perf(s):
     sink = fresh_path(s.spark, "ingest")
-    parsed = _project(_events(s), FEED_COLUMNS).withColumns(parse_counter_path("counter_path"))
-    _finish(jobs.start_perf_ingest(parsed, sink, fresh_path(s.spark, "progress")))
+    _finish(jobs.start_perf_ingest(_project(_events(s), FEED_COLUMNS), sink, fresh_path(s.spark, "progress")))
     return s.spark.read.parquet(sink).select("TimeGenerated", "ObjectName", "CounterName", "CounterValue")
 
 

@@ -74,7 +74,14 @@ query("src05_counter_paths", over("perf") + """SELECT p.TimeGenerated, p.ObjectN
 
 query("src05_allowed_counters", over("perf") + f"""SELECT p.TimeGenerated, p.ObjectName, p.CounterName,
   p.CounterValue FROM perf p JOIN events e ON e.ts = p.TimeGenerated WHERE {_ALLOWED}""")(
-    lambda s: c.allow_counters(_parsed_feed(s)).select("TimeGenerated", "ObjectName", "CounterName", "CounterValue"))
+    lambda s: c.collect_counters(s.feed).select("TimeGenerated", "ObjectName", "CounterName", "CounterValue"))
+
+query("src05_allowed_pairs", over("perf") + """SELECT * FROM perf WHERE (ObjectName = 'Processor'
+  AND CounterName = '% Processor Time') OR (ObjectName = 'MSSQL$SQLEXPRESS:Locks'
+  AND CounterName IN ('Lock Waits/sec', 'Average Wait Time (ms)'))""")(
+    lambda s: c.allow_counters(s.perf, (
+        ("Processor", "% Processor Time"), ("MSSQL$SQLEXPRESS:Locks", "Lock Waits/sec"),
+        ("MSSQL$SQLEXPRESS:Locks", "Average Wait Time (ms)"))))
 
 query("src06_minute_samples", over("perf") + """SELECT Computer, ObjectName, CounterName, InstanceName,
   time_bucket(interval 60 second, TimeGenerated) AS interval_start, max(TimeGenerated) AS TimeGenerated,

@@ -49,6 +49,20 @@ NARROW_EVENT_RULES = (
 CAPTURED_KINDS = ("sql_batch_completed", "rpc_completed")
 SLOW_MICROSECONDS = 2_000_000
 
+# The counter paths an agent is told to sample.
+COUNTER_PATHS = (
+    r"\Processor(_Total)\% Processor Time",
+    r"\Memory\Available MBytes",
+    r"\LogicalDisk(_Total)\% Free Space",
+    r"\MSSQL$SQLEXPRESS:General Statistics\User Connections",
+    r"\MSSQL$SQLEXPRESS:SQL Statistics\Batch Requests/sec",
+    r"\MSSQL$SQLEXPRESS:SQL Statistics\SQL Compilations/sec",
+    r"\MSSQL$SQLEXPRESS:SQL Statistics\SQL Re-Compilations/sec",
+    r"\MSSQL$SQLEXPRESS:Locks(_Total)\Lock Waits/sec",
+    r"\MSSQL$SQLEXPRESS:Locks(_Total)\Average Wait Time (ms)",
+    r"\MSSQL$SQLEXPRESS:Buffer Manager\Page life expectancy",
+)
+
 SERIES = ("Computer", "ObjectName", "CounterName", "InstanceName")
 
 
@@ -81,6 +95,15 @@ def allow_counters(df: DataFrame, counters: Sequence[tuple[str, str]] = COUNTERS
     )
 
 
+def collect_counters(feed: DataFrame, path: str = "counter_path", paths: Sequence[str] = COUNTER_PATHS) -> DataFrame:
+    """Keep the listed counter paths and split them into columns.
+
+    The whole path is compared before anything is parsed, so the filter is a plain
+    IN list on the stored column.
+    """
+    return feed.filter(F.col(path).isin(*paths)).withColumns(parse_counter_path(path)).drop(path)
+
+
 def sample(
     df: DataFrame, width: str = "60 seconds", series: Sequence[str] = SERIES, ts: str = "TimeGenerated",
     value: str = "CounterValue",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -214,14 +215,16 @@ _MONTH = (
 )
 _DAY = rf"(\d{{1,2}}) {_MONTH}(?: (\d{{4}}))?"
 _ISO = r"(\d{4})-(\d{2})-(\d{2})"
-_CLOCK = r"(\d{1,2})(?::(\d{2}))? ?(am|pm)"
 
-DAY_RANGE = rf"(?i)between {_DAY} and {_DAY}"
-ISO_RANGE = rf"(?i)between {_ISO} and {_ISO}"
-CLOCK_DAY = rf"(?i){_CLOCK}(?: on)? {_DAY}"
-ONE_DAY = rf"(?i)\b{_DAY}"
-ONE_ISO = rf"\b{_ISO}"
-LAST_N = r"(?i)\b(?:last|past) (\d+) (minute|hour|day)s?"
+# Dated phrases in order of precedence.
+PHRASES = {
+    "range": rf"(?i)between {_DAY} and {_DAY}",
+    "iso_range": rf"(?i)between {_ISO} and {_ISO}",
+    "clock": rf"(?i)(\d{{1,2}})(?::(\d{{2}}))? ?(am|pm)(?: on)? {_DAY}",
+    "day": rf"(?i)\b{_DAY}",
+    "iso_day": rf"\b{_ISO}",
+    "last": r"(?i)\b(?:last|past) (\d+) (minute|hour|day)s?",
+}
 
 
 def resolve_window(df: DataFrame, text: str, as_of: When) -> DataFrame:
@@ -229,74 +232,98 @@ def resolve_window(df: DataFrame, text: str, as_of: When) -> DataFrame:
 
     Relative windows are open above (end is NULL) and strict below; dated windows
     include both ends. Without a time phrase the last 24 hours apply.
+
+    The text is searched once per phrase in a first projection; the numbers are then
+    taken from the short matches, and each later step uses every value it needs once.
     """
     now = moment(as_of)
     t = F.col(text)
-    hit = lambda p, i: F.nullif(F.regexp_extract(t, p, i), F.lit(""))
-    num = lambda p, i: hit(p, i).cast("int")
+    says = lambda p: t.rlike(rf"(?i)\b{p}\b")
+    matched = df.select(
+        "*",
+        F.struct(
+            *(F.regexp_extract(t, p, 0).alias(name) for name, p in PHRASES.items()),
+            says("(around|approximately)").alias("around"),
+            F.when(says("yesterday"), "yesterday").when(says("today"), "today").when(says("this week"), "week")
+            .alias("word"),
+        ).alias("_m"),
+    )
+
+    def part(name: str, i: int) -> Column:
+        found = F.col(f"_m.{name}")
+        return F.when(found != "", F.nullif(F.regexp_extract(found, PHRASES[name], i), F.lit("")))
 
-    def month_number(c: Column) -> Column:
-        at = F.instr(F.lit(_MONTHS), F.lower(F.left(c, F.lit(3))))
+    def number(name: str, i: int) -> Column:
+        return part(name, i).cast("int")
+
+    def month(name: str, i: int) -> Column:
+        at = F.instr(F.lit(_MONTHS), F.lower(F.left(part(name, i), F.lit(3))))
         return F.floor((at + 2) / 3).cast("int")
 
-    def midnight(year: Column, month: Column, day: Column) -> Column:
-        zero = F.lit(0)
-        return F.try_make_timestamp_ntz(year, month, day, zero, zero, zero.cast("decimal(8,6)"))
+    zero = F.lit(0)
 
-    def named_day(p: str, i: int, year_from: int | None = None) -> Column:
-        year = F.coalesce(num(p, i + 2), num(p, year_from) if year_from else F.lit(None), F.lit(now.year))
-        return midnight(year, month_number(hit(p, i + 1)), num(p, i))
+    def midnight(year: Column, month_: Column, day_: Column) -> Column:
+        return F.try_make_timestamp_ntz(year, month_, day_, zero, zero, zero.cast("decimal(8,6)"))
 
-    def iso_day(p: str, i: int) -> Column:
-        return midnight(num(p, i), num(p, i + 1), num(p, i + 2))
+    def named_day(name: str, i: int, year_too: int | None = None) -> Column:
+        years = [number(name, i + 2), *([number(name, year_too)] if year_too else []), F.lit(now.year)]
+        return midnight(F.coalesce(*years), month(name, i + 1), number(name, i))
 
-    day = F.expr("INTERVAL 1 DAY")
-    hour = F.expr("INTERVAL 1 HOUR")
-    hour24 = F.pmod(num(CLOCK_DAY, 1), F.lit(12)) + F.when(F.lower(hit(CLOCK_DAY, 3)) == "pm", 12).otherwise(0)
-    clock = named_day(CLOCK_DAY, 4) + F.make_dt_interval(
-        hours=hour24, mins=F.coalesce(num(CLOCK_DAY, 2), F.lit(0))
-    )
-    around = t.rlike(r"(?i)\b(around|approximately)\b")
-    unit = F.lower(hit(LAST_N, 2))
-    n = num(LAST_N, 1)
-    back = F.make_dt_interval(
-        days=F.when(unit == "day", n).otherwise(0),
-        hours=F.when(unit == "hour", n).otherwise(0),
-        mins=F.when(unit == "minute", n).otherwise(0),
-    )
-    span_day = F.expr("INTERVAL 24 HOUR")
-    nothing = F.lit(None).cast("timestamp_ntz")
+    def iso_day(name: str, i: int) -> Column:
+        return midnight(number(name, i), number(name, i + 1), number(name, i + 2))
 
-    # rule, start, end, closing; the first one with a start wins
-    dated = [
-        ("range", named_day(DAY_RANGE, 1, year_from=6), named_day(DAY_RANGE, 4) + day),
-        ("range", iso_day(ISO_RANGE, 1), iso_day(ISO_RANGE, 4) + day),
-        ("hour", F.when(around, clock - hour).otherwise(clock), clock + hour),
-        ("day", named_day(ONE_DAY, 1), named_day(ONE_DAY, 1) + day),
-        ("day", iso_day(ONE_ISO, 1), iso_day(ONE_ISO, 1) + day),
-    ]
-    says = lambda p: t.rlike(rf"(?i)\b{p}\b")
-    windows = [
-        *((F.lit(rule), start, end, F.lit("both")) for rule, start, end in dated),
-        (F.lit("last"), F.when(n.isNotNull(), ts_lit(now) - back), nothing, F.lit("open")),
+    clock_hours = F.pmod(number("clock", 1), F.lit(12)) + F.when(F.lower(part("clock", 3)) == "pm", 12).otherwise(0)
+    unit = F.lower(part("last", 2))
+    amount = number("last", 1)
+    dated = matched.select(
+        *df.columns,
+        "_m",
+        named_day("range", 1, year_too=6).alias("_range_from"),
+        named_day("range", 4).alias("_range_to"),
+        iso_day("iso_range", 1).alias("_iso_from"),
+        iso_day("iso_range", 4).alias("_iso_to"),
         (
-            F.lit("yesterday"), F.when(says("yesterday"), ts_lit(now) - F.expr("INTERVAL 2 DAY")),
-            ts_lit(now) - day, F.lit("both"),
-        ),
-        (F.lit("today"), F.when(says("today"), ts_lit(start_of_day(now))), nothing, F.lit("open")),
-        (F.lit("week"), F.when(says("this week"), ts_lit(start_of_week(now))), nothing, F.lit("open")),
-        (F.lit("default"), ts_lit(now) - span_day, nothing, F.lit("open")),
-    ]
-    candidates = [
+            named_day("clock", 4)
+            + F.make_dt_interval(hours=clock_hours, mins=F.coalesce(number("clock", 2), zero))
+        ).alias("_clock"),
+        F.coalesce(named_day("day", 1), iso_day("iso_day", 1)).alias("_day"),
         F.when(
-            start.isNotNull(),
-            F.struct(
-                start.alias("win_start"), end.alias("win_end"), rule.alias("rule"), closed.alias("closed")
+            F.col("_m.last") != "",
+            ts_lit(now)
+            - F.make_dt_interval(
+                days=F.when(unit == "day", amount).otherwise(0),
+                hours=F.when(unit == "hour", amount).otherwise(0),
+                mins=F.when(unit == "minute", amount).otherwise(0),
             ),
+        ).alias("_since"),
+    )
+
+    day, hour = F.expr("INTERVAL 1 DAY"), F.expr("INTERVAL 1 HOUR")
+    nothing = F.lit(None).cast("timestamp_ntz")
+
+    def window(start: Column, end: Column, rule: str, closed: str) -> Column:
+        return F.struct(
+            start.alias("win_start"), end.alias("win_end"), F.lit(rule).alias("rule"), F.lit(closed).alias("closed")
+        )
+
+    c = F.col
+    earlier = F.when(c("_m.around"), c("_clock") - hour).otherwise(c("_clock"))
+    word = c("_m.word")
+    chosen = (
+        F.when(c("_range_from").isNotNull(), window(c("_range_from"), c("_range_to") + day, "range", "both"))
+        .when(c("_iso_from").isNotNull(), window(c("_iso_from"), c("_iso_to") + day, "range", "both"))
+        .when(c("_clock").isNotNull(), window(earlier, c("_clock") + hour, "hour", "both"))
+        .when(c("_day").isNotNull(), window(c("_day"), c("_day") + day, "day", "both"))
+        .when(c("_since").isNotNull(), window(c("_since"), nothing, "last", "open"))
+        .when(
+            word == "yesterday",
+            window(ts_lit(now - dt.timedelta(days=2)), ts_lit(now - dt.timedelta(days=1)), "yesterday", "both"),
         )
-        for rule, start, end, closed in windows
-    ]
-    return df.withColumn("_w", F.coalesce(*candidates)).select(*df.columns, "_w.*")
+        .when(word == "today", window(ts_lit(start_of_day(now)), nothing, "today", "open"))
+        .when(word == "week", window(ts_lit(start_of_week(now)), nothing, "week", "open"))
+        .otherwise(window(ts_lit(now - dt.timedelta(hours=24)), nothing, "default", "open"))
+    )
+    return dated.select(*df.columns, chosen.alias("_w")).select(*df.columns, "_w.*")
 
 
 def lint_queries(df: DataFrame, text: str) -> DataFrame:

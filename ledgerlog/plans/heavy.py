@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from ..functions.stats import days_between, safe_pct
 from ..functions.text import any_col_like
 from ..functions.timewin import When, date_lit
-from ..operators.aggregates import distinct_list
 from ..operators.joins import above_global_mean, cross_count, groups_above_own_mean
 from ..operators.topk import top_k
 from .reports import CODES, Codes, Tables, claims_per_policy, fan_out
@@ -87,7 +86,7 @@ def p04(t: Tables, lookups: Sequence[tuple[str, str]] = LOOKUPS) -> DataFrame:
     return (
         found.join(policies, "customer_id")
         .select("customer_id", "full_name", "email", "nric_last4", "policy_number", "annual_premium")
-        .orderBy("full_name")
+        .orderBy("full_name", "customer_id", "policy_number")
     )
 
 
@@ -126,12 +125,12 @@ def p05(t: Tables, as_of: When, codes: Codes = CODES, repeat: bool = True) -> Da
     packages = t["packages"].select("package_id", "package_name")
     sold = by_package.join(packages, "package_id")
     by_name = sold.groupBy("agent_id", "package_name").agg(*(F.sum(k).alias(k) for k in sums))
-    totals = by_name.groupBy("agent_id").agg(*(F.sum(k).alias(k) for k in sums))
-    names = distinct_list(by_name, ["agent_id"], "package_name", "packages_sold")
+    # names are distinct per agent by now, so the list is as long as the text it becomes
+    names = F.array_join(F.array_sort(F.collect_list("package_name")), ", ").alias("packages_sold")
+    totals = by_name.groupBy("agent_id").agg(*(F.sum(k).alias(k) for k in sums), names)
     agents = t["agents"].select("agent_id", "branch", F.col("full_name").alias("agent_name"))
     return (
         agents.join(totals, "agent_id")
-        .join(names, "agent_id")
         .select(
             "branch",
             "agent_name",
@@ -144,7 +143,7 @@ def p05(t: Tables, as_of: When, codes: Codes = CODES, repeat: bool = True) -> Da
             F.coalesce(F.col("rejected"), F.lit(0)).alias("rejected_claims"),
             safe_pct(F.col("claimed"), F.col("premium"), 10, 2).alias("loss_ratio_pct"),
         )
-        .orderBy(F.col("loss_ratio_pct").desc_nulls_last())
+        .orderBy(F.col("loss_ratio_pct").desc_nulls_last(), "branch", "agent_name")
     )
 
 

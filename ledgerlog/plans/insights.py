@@ -43,24 +43,28 @@ CATEGORY_WEIGHTS = {
 }
 
 
-def category() -> Column:
-    """Category of an event out of its id and text."""
-    text = "RenderedDescription"
-    event_id = F.col("EventID")
-    return (
+def with_category(events: DataFrame) -> DataFrame:
+    """Time and category of every event, the category out of its id and text.
+
+    The text is lowered once, in a projection of its own.
+    """
+    lowered = events.select(TS, "EventID", F.lower("RenderedDescription").alias("_text"))
+    event_id, text = F.col("EventID"), F.col("_text")
+    category = (
         F.when(event_id == FAILED_LOGIN_ID, "failed login")
         .when(event_id == BACKUP_FAILED_ID, "backup failure")
         .when(event_id == MISSING_OBJECT_ID, "missing object")
-        .when(contains_ci(text, "deadlock"), "deadlock")
-        .when(contains_ci(text, "slow query"), "slow query")
-        .when(contains_ci(text, "timeout"), "timeout")
-        .when(contains_ci(text, "login failed"), "failed login")
-        .when(contains_ci(text, "disk space"), "disk space")
-        .when(contains_ci(text, "log full"), "log full")
-        .when(contains_ci(text, "constraint violation"), "constraint violation")
-        .when((event_id == MISSING_DATABASE_ID) | F.col(text).rlike(MISSING_DATABASE), "missing database")
+        .when(text.contains("deadlock"), "deadlock")
+        .when(text.contains("slow query"), "slow query")
+        .when(text.contains("timeout"), "timeout")
+        .when(text.contains("login failed"), "failed login")
+        .when(text.contains("disk space"), "disk space")
+        .when(text.contains("log full"), "log full")
+        .when(text.contains("constraint violation"), "constraint violation")
+        .when((event_id == MISSING_DATABASE_ID) | text.rlike(MISSING_DATABASE), "missing database")
         .otherwise("other")
     )
+    return lowered.select(TS, category.alias("category"))
 
 
 def _weight(name: str) -> Column:
@@ -119,7 +123,7 @@ def q06(events: DataFrame, width: str = "10 minutes", threshold: int = 3) -> Dat
 
 def q07(events: DataFrame, k: int = 1) -> DataFrame:
     """The most pressing category: weight times count."""
-    counted = count_by(events.select(category().alias("category")), ["category"])
+    counted = count_by(with_category(events), ["category"])
     scored = counted.withColumn("score", F.col("Count") * _weight("category"))
     return top_k(scored, [F.col("score").desc(), "category"], k)
 
@@ -134,8 +138,8 @@ def q08(events: DataFrame) -> DataFrame:
 def q09(events: DataFrame, as_of: When) -> DataFrame:
     """Today's timeline by hour and category."""
     return (
-        events.filter(today(TS, as_of))
-        .groupBy(bin_start(TS, "1 hour").alias("hour"), category().alias("category"))
+        with_category(events.filter(today(TS, as_of)))
+        .groupBy(bin_start(TS, "1 hour").alias("hour"), "category")
         .agg(F.count("*").alias("Count"))
         .orderBy("hour", "category")
     )
@@ -182,4 +186,4 @@ def q14(events: DataFrame) -> DataFrame:
 
 def q15(events: DataFrame) -> DataFrame:
     """Events per category."""
-    return count_by(events.select(category().alias("category")), ["category"])
+    return count_by(with_category(events), ["category"])

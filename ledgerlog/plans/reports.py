@@ -3,6 +3,8 @@
 Tables come in as a dict. Primary keys are unique as declared, so a one-to-many
 join is replaced by a join with the pre-aggregated detail, and the sums a literal
 fan-out would repeat are multiplied instead. No report forms the fanned-out rows.
+Long sorted results end their order in a unique column, so that a range partition can
+be cut inside a frequent value.
 """
 
 from __future__ import annotations
@@ -248,7 +250,7 @@ def b08(t: Tables, as_of: When, codes: Codes = CODES, days: int = 90) -> DataFra
             "full_name", "phone", "email", "package_name", F.col("package_category").alias("category"),
             "annual_premium", "agent_name",
         )
-        .orderBy("end_date")
+        .orderBy("end_date", "policy_number")
     )
 
 
@@ -270,7 +272,7 @@ def b09(t: Tables, codes: Codes = CODES) -> DataFrame:
             "transaction_ref", "transaction_date", "amount", "payment_method", "remarks", "policy_number",
             "full_name", "phone", "agent_name",
         )
-        .orderBy(F.col("transaction_date").desc())
+        .orderBy(F.col("transaction_date").desc(), "transaction_ref")
     )
 
 
@@ -382,7 +384,7 @@ def b17(t: Tables, codes: Codes = CODES) -> DataFrame:
         .agg(F.sum("n").alias("num_beneficiaries"), F.sum("pct").alias("total_pct"))
         .filter(F.col("num_beneficiaries") > 1)
         .withColumn("allocation_status", allocation_status(F.col("total_pct")))
-        .orderBy(F.col("total_pct").desc())
+        .orderBy(F.col("total_pct").desc(), "policy_number")
     )
 
 

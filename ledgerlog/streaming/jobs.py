@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.text import contains_any
-from ..operators.collection import EVENT_RULES, EventRule, allow_counters, collect_events, route
+from ..operators.collection import EVENT_RULES, EventRule, collect_counters, collect_events, route
 
 LATENESS = "15 minutes"
 ALERT_WORDS = ("SLOW QUERY WARNING", "DEADLOCK")
@@ -52,9 +52,9 @@ def start_event_ingest(
     return _start(collect_events(events, rules), sink, checkpoint, every)
 
 
-def start_perf_ingest(perf: DataFrame, sink: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Append the samples of allow-listed counters."""
-    return _start(allow_counters(perf), sink, checkpoint, every)
+def start_perf_ingest(feed: DataFrame, sink: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Append the samples of listed counter paths, split into columns."""
+    return _start(collect_counters(feed), sink, checkpoint, every)
 
 
 def windowed(
