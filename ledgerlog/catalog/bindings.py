@@ -35,27 +35,35 @@ _K_FROM_PROPS = "cast(regexp_extract(props, '([0-9]+)', 1) as int)"
 _SECONDS = "cast(cast(value as decimal(12,2)) as string)"
 _DB = f"concat('db_', cast({_K} % 5 as string))"
 
-_MESSAGE = f"""CASE
-  WHEN event_type = 'error' AND {_K} < 20 THEN concat('SLOW QUERY WARNING: Query on orders join took ',
-    {_SECONDS}, ' seconds. ', cast({_K} * 1000 as string), ' rows scanned with no index seek. Query hash: 0x',
-    upper(substr(md5(cast(event_id as string)), 1, 8)), '. Plan guide recommended.')
-  WHEN event_type = 'error' AND {_K} < 35 THEN concat('SLOW QUERY WARNING: N+1 lookup detected. Elapsed ',
-    {_SECONDS}, ' seconds for ', cast({_K} as string), ' rows. Consider rewriting with JOIN or APPLY.')
-  WHEN event_type = 'error' AND {_K} < 50 THEN concat('SLOW QUERY WARNING: Leading wildcard caused full table scan. ',
-    cast({_K} as string), ' rows scanned, 0 index seeks. Duration: ', {_SECONDS},
-    ' seconds. Consider full-text index.')
-  WHEN event_type = 'error' AND {_K} < 80 THEN concat('DEADLOCK DETECTED: Process ', cast({_K} as string),
-    ' was chosen as the deadlock victim on table t', cast({_K} % 7 as string), '. Transaction rolled back after ',
-    {_SECONDS}, ' seconds. Resources involved: KEY lock on u', cast(user_id % 5 as string), '. Retry recommended.')
-  WHEN event_type = 'error' THEN concat('Disk space critically low on drive E:. Database auto-growth failed for ',
-    {_DB}, '.')
-  WHEN event_type = 'view' THEN concat('Timeout expired connecting to database ', {_DB},
-    '. Connection pool exhausted.')
-  WHEN event_type = 'signup' THEN concat('Login failed for user ', chr(39), 'user_', cast(user_id as string),
-    chr(39), '.')
-  WHEN event_type = 'purchase' THEN concat('BACKUP failed to complete the command BACKUP DATABASE ', {_DB}, '.')
-  ELSE concat('Database ', chr(39), {_DB}, chr(39), ' does not exist. Check that the name is entered correctly.')
-END"""
+# One template per kind of message, filled in afterwards.
+_TEMPLATE = """CASE
+  WHEN event_type = 'view' THEN 'Timeout expired connecting to database db_{db}. Connection pool exhausted.'
+  WHEN event_type = 'signup' THEN 'Login failed for user {q}user_{user}{q}.'
+  WHEN event_type = 'purchase' THEN 'BACKUP failed to complete the command BACKUP DATABASE db_{db}.'
+  WHEN event_type = 'click' THEN 'Database {q}db_{db}{q} does not exist. Check that the name is entered correctly.'
+  WHEN k < 20 THEN 'SLOW QUERY WARNING: Query on orders join took {sec} seconds. {k}000 rows scanned with no index seek. Query hash: 0x{hash}. Plan guide recommended.'
+  WHEN k < 35 THEN 'SLOW QUERY WARNING: N+1 lookup detected. Elapsed {sec} seconds for {k} rows. Consider rewriting with JOIN or APPLY.'
+  WHEN k < 50 THEN 'SLOW QUERY WARNING: Leading wildcard caused full table scan. {k} rows scanned, 0 index seeks. Duration: {sec} seconds. Consider full-text index.'
+  WHEN k < 80 THEN 'DEADLOCK DETECTED: Process {k} was chosen as the deadlock victim on table t{k}. Transaction rolled back after {sec} seconds. Resources involved: KEY lock on u{db}. Retry recommended.'
+  ELSE 'Disk space critically low on drive E:. Database auto-growth failed for db_{db}.' END"""
+
+_FILL = {
+    "sec": _SECONDS,
+    "k": "cast(k as string)",
+    "db": "cast(k % 5 as string)",
+    "user": "cast(user_id as string)",
+    "hash": "upper(substr(md5(cast(event_id as string)), 1, 8))",
+    "q": "chr(39)",
+}
+
+
+def _filled(template: str) -> str:
+    for name, expr in _FILL.items():
+        template = f"replace({template}, '{{{name}}}', {expr})"
+    return template
+
+
+_MESSAGE = _filled(_TEMPLATE)
 
 EVENT_COLUMNS = {
     "TimeGenerated": "ts",

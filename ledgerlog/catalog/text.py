@@ -217,30 +217,24 @@ query("txt13_fenced_block", f"""SELECT conv_id, turn, CASE WHEN role = 'assistan
 
 # Questions with every kind of time phrase, built from the order dates
 
-_ASK = {
-    "1-URGENT": "concat('Why did errors happen on ', {day}, '?')",
-    "2-HIGH": "concat('Tell me the latest log ', CASE WHEN o_custkey % 2 = 0 THEN 'around ' ELSE 'on ' END, "
-              "cast(o_custkey % 12 + 1 as string), ':30pm ', {day})",
-    "3-MEDIUM": "concat('Show errors of the last ', cast(o_custkey % 9 + 1 as string), "
-                "CASE o_custkey % 3 WHEN 0 THEN ' hours' WHEN 1 THEN ' days' ELSE ' minutes' END)",
-    "4-NOT SPECIFIED": "concat('How many connections between ', {short}, ' and ', {next}, '?')",
-    "5-LOW": "CASE o_custkey % 5 WHEN 0 THEN 'What happened yesterday?' WHEN 1 THEN 'Summary of today' "
-             "WHEN 2 THEN 'Warnings this week' WHEN 3 THEN concat('Logs for ', {iso}) ELSE 'Any deadlocks?' END",
-}
-
-
-def _question_sql(day: str, short: str, nxt: str, iso: str) -> str:
-    cases = " ".join(
-        f"WHEN '{k}' THEN {v.format(day=day, short=short, next=nxt, iso=iso)}" for k, v in _ASK.items()
-    )
-    return f"CASE o_orderpriority {cases} END"
-
-
-# the range may cross a year end, where a first day without a year takes the year of the last
-_SPARK_ASK = _question_sql(
-    "date_format(o_orderdate, 'd MMMM yyyy')", "date_format(o_orderdate, 'd MMMM yyyy')",
-    "date_format(date_add(o_orderdate, 4), 'd MMMM yyyy')", "date_format(o_orderdate, 'yyyy-MM-dd')",
-)
+_ASK = """CASE o_orderpriority
+  WHEN '1-URGENT' THEN 'Why did errors happen on {day}?'
+  WHEN '2-HIGH' THEN CASE WHEN o_custkey % 2 = 0 THEN 'Tell me the latest log around {hour}:30pm {day}'
+    ELSE 'Tell me the latest log on {hour}:30pm {day}' END
+  WHEN '3-MEDIUM' THEN CASE o_custkey % 3 WHEN 0 THEN 'Show errors of the last {n} hours'
+    WHEN 1 THEN 'Show errors of the last {n} days' ELSE 'Show errors of the past {n} minutes' END
+  WHEN '4-NOT SPECIFIED' THEN 'How many connections between {day} and {next}?'
+  ELSE CASE o_custkey % 5 WHEN 0 THEN 'What happened yesterday?' WHEN 1 THEN 'Summary of today'
+    WHEN 2 THEN 'Warnings this week' WHEN 3 THEN 'Logs for {iso}' ELSE 'Any deadlocks?' END END"""
+_SPARK_ASK = _ASK
+for _name, _expr in {
+    "day": "date_format(o_orderdate, 'd MMMM yyyy')",
+    "next": "date_format(date_add(o_orderdate, 4), 'd MMMM yyyy')",
+    "iso": "cast(cast(o_orderdate as date) as string)",
+    "hour": "cast(o_custkey % 12 + 1 as string)",
+    "n": "cast(o_custkey % 9 + 1 as string)",
+}.items():
+    _SPARK_ASK = f"replace({_SPARK_ASK}, '{{{_name}}}', {_expr})"
 _NOW = "timestamp '2024-01-31 10:00:00'"
 _H = "interval 1 hour"
 _AT = "(o_orderdate + to_hours(CASE WHEN o_custkey % 12 + 1 = 12 THEN 12 ELSE o_custkey % 12 + 13 END) + interval 30 minute)"

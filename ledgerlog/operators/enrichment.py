@@ -210,20 +210,18 @@ def last_sse(c: ColumnLike) -> Column:
 
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _MONTH = (
-    "(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:tember)?|"
+    "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:tember)?|"
     "oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 )
-_DAY = rf"(\d{{1,2}}) {_MONTH}(?: (\d{{4}}))?"
-_ISO = r"(\d{4})-(\d{2})-(\d{2})"
+_DATE = rf"(?:\d{{1,2}} {_MONTH}(?: \d{{4}})?|\d{{4}}-\d{{2}}-\d{{2}})"
 
-# Dated phrases in order of precedence.
+# Time phrases in order of precedence.
 PHRASES = {
-    "range": rf"(?i)between {_DAY} and {_DAY}",
-    "iso_range": rf"(?i)between {_ISO} and {_ISO}",
-    "clock": rf"(?i)(\d{{1,2}})(?::(\d{{2}}))? ?(am|pm)(?: on)? {_DAY}",
-    "day": rf"(?i)\b{_DAY}",
-    "iso_day": rf"\b{_ISO}",
-    "last": r"(?i)\b(?:last|past) (\d+) (minute|hour|day)s?",
+    "range": rf"(?i)between {_DATE} and {_DATE}",
+    "clock": rf"(?i)\d{{1,2}}(?::\d{{2}})? ?[ap]m(?: on)? {_DATE}",
+    "day": rf"(?i)\b{_DATE}",
+    "last": r"(?i)\b(?:last|past) \d+ (?:minute|hour|day)",
+    "word": r"(?i)\b(?:yesterday|today|this week)\b",
 }
 
 
@@ -231,99 +229,92 @@ def resolve_window(df: DataFrame, text: str, as_of: When) -> DataFrame:
     """Add the time window a question asks for: start, end, rule and closing.
 
     Relative windows are open above (end is NULL) and strict below; dated windows
-    include both ends. Without a time phrase the last 24 hours apply.
+    include both ends. Without a time phrase, or with an impossible date, the last 24
+    hours apply.
 
-    The text is searched once per phrase in a first projection; the numbers are then
-    taken from the short matches, and each later step uses every value it needs once.
+    Each step is a projection of its own: the text is searched once per phrase, the
+    winning phrase is cut into its one or two dates, and each date is read once.
     """
     now = moment(as_of)
-    t = F.col(text)
-    says = lambda p: t.rlike(rf"(?i)\b{p}\b")
-    matched = df.select(
+    c, none = F.col, F.lit(None)
+    searched = df.select(
         "*",
-        F.struct(
-            *(F.regexp_extract(t, p, 0).alias(name) for name, p in PHRASES.items()),
-            says("(around|approximately)").alias("around"),
-            F.when(says("yesterday"), "yesterday").when(says("today"), "today").when(says("this week"), "week")
-            .alias("word"),
-        ).alias("_m"),
+        *(F.regexp_extract(text, p, 0).alias(f"_{name}") for name, p in PHRASES.items()),
+        c(text).rlike(r"(?i)\b(?:around|approximately)\b").alias("_around"),
     )
-
-    def part(name: str, i: int) -> Column:
-        found = F.col(f"_m.{name}")
-        return F.when(found != "", F.nullif(F.regexp_extract(found, PHRASES[name], i), F.lit("")))
-
-    def number(name: str, i: int) -> Column:
-        return part(name, i).cast("int")
-
-    def month(name: str, i: int) -> Column:
-        at = F.instr(F.lit(_MONTHS), F.lower(F.left(part(name, i), F.lit(3))))
-        return F.floor((at + 2) / 3).cast("int")
-
-    zero = F.lit(0)
-
-    def midnight(year: Column, month_: Column, day_: Column) -> Column:
-        return F.try_make_timestamp_ntz(year, month_, day_, zero, zero, zero.cast("decimal(8,6)"))
-
-    def named_day(name: str, i: int, year_too: int | None = None) -> Column:
-        years = [number(name, i + 2), *([number(name, year_too)] if year_too else []), F.lit(now.year)]
-        return midnight(F.coalesce(*years), month(name, i + 1), number(name, i))
-
-    def iso_day(name: str, i: int) -> Column:
-        return midnight(number(name, i), number(name, i + 1), number(name, i + 2))
-
-    clock_hours = F.pmod(number("clock", 1), F.lit(12)) + F.when(F.lower(part("clock", 3)) == "pm", 12).otherwise(0)
-    unit = F.lower(part("last", 2))
-    amount = number("last", 1)
-    dated = matched.select(
+    found = lambda name: c(f"_{name}") != ""
+    clock_parts = r"(?i)^(\d{1,2}):?(\d{2})? ?([ap])m(?: on)? (.*)$"
+    cut = searched.select(
         *df.columns,
-        "_m",
-        named_day("range", 1, year_too=6).alias("_range_from"),
-        named_day("range", 4).alias("_range_to"),
-        iso_day("iso_range", 1).alias("_iso_from"),
-        iso_day("iso_range", 4).alias("_iso_to"),
-        (
-            named_day("clock", 4)
-            + F.make_dt_interval(hours=clock_hours, mins=F.coalesce(number("clock", 2), zero))
-        ).alias("_clock"),
-        F.coalesce(named_day("day", 1), iso_day("iso_day", 1)).alias("_day"),
-        F.when(
-            F.col("_m.last") != "",
-            ts_lit(now)
-            - F.make_dt_interval(
-                days=F.when(unit == "day", amount).otherwise(0),
-                hours=F.when(unit == "hour", amount).otherwise(0),
-                mins=F.when(unit == "minute", amount).otherwise(0),
-            ),
-        ).alias("_since"),
+        "_around",
+        F.when(found("range"), "range").when(found("clock"), "hour").when(found("day"), "day")
+        .when(found("last"), "last").when(found("word"), F.lower("_word")).alias("_rule"),
+        F.when(found("range"), F.split(F.substr("_range", F.lit(len("between ") + 1)), "(?i) and "))
+        .when(found("clock"), F.array(F.regexp_extract("_clock", clock_parts, 4)))
+        .when(found("day"), F.array("_day")).alias("_days"),
+        F.when(found("clock"), F.split(F.lower(F.regexp_replace("_clock", clock_parts, "$1 0$2 $3")), " "))
+        .alias("_time"),
+        F.when(found("last"), F.split(F.lower("_last"), " ")).alias("_last"),
     )
 
-    day, hour = F.expr("INTERVAL 1 DAY"), F.expr("INTERVAL 1 HOUR")
-    nothing = F.lit(None).cast("timestamp_ntz")
+    day_text = lambda i: F.get("_days", F.lit(i))
+    minutes_per = F.when(F.get("_last", F.lit(2)).startswith("day"), 1440).when(
+        F.get("_last", F.lit(2)).startswith("hour"), 60).otherwise(1)
+    split = cut.select(
+        *df.columns, "_rule", "_around", "_time",
+        day_text(0).alias("_t1"), day_text(1).alias("_t2"),
+        F.split(day_text(0), " ").alias("_d1"), F.split(day_text(1), " ").alias("_d2"),
+        (F.get("_last", F.lit(1)).cast("int") * minutes_per).alias("_back"),
+    )
 
-    def window(start: Column, end: Column, rule: str, closed: str) -> Column:
-        return F.struct(
-            start.alias("win_start"), end.alias("win_end"), F.lit(rule).alias("rule"), F.lit(closed).alias("closed")
+    def read_day(n: int, other: int | None = None) -> Column:
+        """ISO text as it is; day, month name and year put in that form."""
+        parts = f"_d{n}"
+        month = F.floor((F.instr(F.lit(_MONTHS), F.lower(F.left(F.get(parts, F.lit(1)), F.lit(3)))) + 2) / 3)
+        year = F.coalesce(
+            F.get(parts, F.lit(2)), F.get(f"_d{other}", F.lit(2)) if other else none, F.lit(str(now.year))
         )
+        spelled = F.concat_ws("-", year, month.cast("string"), F.get(parts, F.lit(0)))
+        text = F.when(F.size(parts) > 1, spelled).otherwise(c(f"_t{n}"))
+        return F.when(c(f"_t{n}").isNotNull(), text.try_cast("timestamp_ntz"))
+
+    hour12 = F.pmod(F.get("_time", F.lit(0)).cast("int"), F.lit(12))
+    minute = F.get("_time", F.lit(1)).cast("int")
+    afternoon = F.when(F.get("_time", F.lit(2)) == "p", 720).otherwise(0)
+    dated = split.select(
+        *df.columns, "_rule", "_around", read_day(1, other=2).alias("_from"), read_day(2).alias("_to"),
+        (hour12 * 60 + minute + afternoon).alias("_clock"), "_back",
+    )
 
-    c = F.col
-    earlier = F.when(c("_m.around"), c("_clock") - hour).otherwise(c("_clock"))
-    word = c("_m.word")
-    chosen = (
-        F.when(c("_range_from").isNotNull(), window(c("_range_from"), c("_range_to") + day, "range", "both"))
-        .when(c("_iso_from").isNotNull(), window(c("_iso_from"), c("_iso_to") + day, "range", "both"))
-        .when(c("_clock").isNotNull(), window(earlier, c("_clock") + hour, "hour", "both"))
-        .when(c("_day").isNotNull(), window(c("_day"), c("_day") + day, "day", "both"))
-        .when(c("_since").isNotNull(), window(c("_since"), nothing, "last", "open"))
-        .when(
-            word == "yesterday",
-            window(ts_lit(now - dt.timedelta(days=2)), ts_lit(now - dt.timedelta(days=1)), "yesterday", "both"),
-        )
-        .when(word == "today", window(ts_lit(start_of_day(now)), nothing, "today", "open"))
-        .when(word == "week", window(ts_lit(start_of_week(now)), nothing, "week", "open"))
-        .otherwise(window(ts_lit(now - dt.timedelta(hours=24)), nothing, "default", "open"))
+    day, hour = F.expr("INTERVAL 1 DAY"), F.expr("INTERVAL 1 HOUR")
+    open_end = none.cast("timestamp_ntz")
+    is_ = lambda rule: c("_rule") == rule
+    at = c("_from") + F.make_dt_interval(mins="_clock")
+    start = (
+        F.when(is_("range") | is_("day"), c("_from"))
+        .when(is_("hour"), F.when(c("_around"), at - hour).otherwise(at))
+        .when(is_("last"), ts_lit(now) - F.make_dt_interval(mins="_back"))
+        .when(is_("yesterday"), ts_lit(now - dt.timedelta(days=2)))
+        .when(is_("today"), ts_lit(start_of_day(now)))
+        .when(is_("this week"), ts_lit(start_of_week(now)))
+    )
+    end = (
+        F.when(is_("range"), c("_to") + day)
+        .when(is_("day"), c("_from") + day)
+        .when(is_("hour"), at + hour)
+        .when(is_("yesterday"), ts_lit(now - dt.timedelta(days=1)))
+        .otherwise(open_end)
+    )
+    bounded = dated.select(*df.columns, "_rule", start.alias("_start"), end.alias("_end"))
+    known = c("_start").isNotNull()
+    dated_rule = c("_rule").isin("range", "hour", "day", "yesterday")
+    return bounded.select(
+        *df.columns,
+        F.coalesce("_start", ts_lit(now - dt.timedelta(hours=24))).alias("win_start"),
+        F.when(known, c("_end")).alias("win_end"),
+        F.when(known, F.replace("_rule", F.lit("this "))).otherwise("default").alias("rule"),
+        F.when(known & dated_rule, "both").otherwise("open").alias("closed"),
     )
-    return dated.select(*df.columns, chosen.alias("_w")).select(*df.columns, "_w.*")
 
 
 def lint_queries(df: DataFrame, text: str) -> DataFrame:

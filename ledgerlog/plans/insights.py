@@ -83,10 +83,7 @@ def q01(events: DataFrame, as_of: When, ago: str = "30m", level: str = "Error")
 
 def q02(events: DataFrame) -> DataFrame:
     """Databases that were not found, with the number of attempts."""
-    hits = events.filter(
-        (F.col("EventID") == MISSING_DATABASE_ID) | F.col("RenderedDescription").rlike(MISSING_DATABASE)
-    )
-    named = hits.select(missing_database("RenderedDescription").alias("database_name"))
+    named = events.select(missing_database("RenderedDescription").alias("database_name"))
     return count_by(named.filter(F.col("database_name").isNotNull()), ["database_name"])
 
 

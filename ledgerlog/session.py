@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot does not compile larger methods; such a stage runs faster operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
