@@ -35,35 +35,27 @@ _K_FROM_PROPS = "cast(regexp_extract(props, '([0-9]+)', 1) as int)"
 _SECONDS = "cast(cast(value as decimal(12,2)) as string)"
 _DB = f"concat('db_', cast({_K} % 5 as string))"
 
-# One template per kind of message, filled in afterwards.
+# One template per kind of message; %n$s stands for the n-th value below.
 _TEMPLATE = """CASE
-  WHEN event_type = 'view' THEN 'Timeout expired connecting to database db_{db}. Connection pool exhausted.'
-  WHEN event_type = 'signup' THEN 'Login failed for user {q}user_{user}{q}.'
-  WHEN event_type = 'purchase' THEN 'BACKUP failed to complete the command BACKUP DATABASE db_{db}.'
-  WHEN event_type = 'click' THEN 'Database {q}db_{db}{q} does not exist. Check that the name is entered correctly.'
-  WHEN k < 20 THEN 'SLOW QUERY WARNING: Query on orders join took {sec} seconds. {k}000 rows scanned with no index seek. Query hash: 0x{hash}. Plan guide recommended.'
-  WHEN k < 35 THEN 'SLOW QUERY WARNING: N+1 lookup detected. Elapsed {sec} seconds for {k} rows. Consider rewriting with JOIN or APPLY.'
-  WHEN k < 50 THEN 'SLOW QUERY WARNING: Leading wildcard caused full table scan. {k} rows scanned, 0 index seeks. Duration: {sec} seconds. Consider full-text index.'
-  WHEN k < 80 THEN 'DEADLOCK DETECTED: Process {k} was chosen as the deadlock victim on table t{k}. Transaction rolled back after {sec} seconds. Resources involved: KEY lock on u{db}. Retry recommended.'
-  ELSE 'Disk space critically low on drive E:. Database auto-growth failed for db_{db}.' END"""
-
-_FILL = {
-    "sec": _SECONDS,
-    "k": "cast(k as string)",
-    "db": "cast(k % 5 as string)",
-    "user": "cast(user_id as string)",
-    "hash": "upper(substr(md5(cast(event_id as string)), 1, 8))",
-    "q": "chr(39)",
-}
-
-
-def _filled(template: str) -> str:
-    for name, expr in _FILL.items():
-        template = f"replace({template}, '{{{name}}}', {expr})"
-    return template
-
-
-_MESSAGE = _filled(_TEMPLATE)
+  WHEN event_type = 'view' THEN 'Timeout expired connecting to database db_%3$s. Connection pool exhausted.'
+  WHEN event_type = 'signup' THEN 'Login failed for user %6$suser_%4$s%6$s.'
+  WHEN event_type = 'purchase' THEN 'BACKUP failed to complete the command BACKUP DATABASE db_%3$s.'
+  WHEN event_type = 'click' THEN 'Database %6$sdb_%3$s%6$s does not exist. Check that the name is entered correctly.'
+  WHEN k < 20 THEN 'SLOW QUERY WARNING: Query on orders join took %1$s seconds. %2$s000 rows scanned with no index seek. Query hash: 0x%5$s. Plan guide recommended.'
+  WHEN k < 35 THEN 'SLOW QUERY WARNING: N+1 lookup detected. Elapsed %1$s seconds for %2$s rows. Consider rewriting with JOIN or APPLY.'
+  WHEN k < 50 THEN 'SLOW QUERY WARNING: Leading wildcard caused full table scan. %2$s rows scanned, 0 index seeks. Duration: %1$s seconds. Consider full-text index.'
+  WHEN k < 80 THEN 'DEADLOCK DETECTED: Process %2$s was chosen as the deadlock victim on table t%2$s. Transaction rolled back after %1$s seconds. Resources involved: KEY lock on u%3$s. Retry recommended.'
+  ELSE 'Disk space critically low on drive E:. Database auto-growth failed for db_%3$s.' END"""
+
+_VALUES = (
+    _SECONDS,
+    "cast(k as string)",
+    "cast(k % 5 as string)",
+    "cast(user_id as string)",
+    "substr(md5(cast(event_id as string)), 1, 8)",
+    "chr(39)",
+)
+_MESSAGE = f"printf({_TEMPLATE}, {', '.join(_VALUES)})"
 
 EVENT_COLUMNS = {
     "TimeGenerated": "ts",
