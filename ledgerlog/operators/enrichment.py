@@ -324,7 +324,7 @@ def lint_queries(df: DataFrame, text: str) -> DataFrame:
     known = F.array(*(F.lit(c) for c in sorted(set(EVENT.names) | set(PERF.names))))
     counters = F.array(*(F.lit(name) for _, name in COUNTERS))
     project = F.regexp_extract(q, r"(?s)\|\s*project\s+([^|]+)", 1)
-    columns = F.filter(F.transform(F.split(project, ","), lambda c: F.trim(c)), lambda c: c != "")
+    columns = F.filter(F.transform(F.split(project, ","), lambda c: strip(c)), lambda c: c != "")
     computed = F.regexp_extract_all(q, F.lit(r"(\w+)\s*=[^=~]|\s(\w+):(?:double|long|string)"), F.lit(0))
     created = F.transform(computed, lambda c: F.regexp_extract(c, r"(\w+)", 1))
     named = F.regexp_extract_all(q, F.lit(r'CounterName\s*==\s*"([^"]+)"'), F.lit(1))

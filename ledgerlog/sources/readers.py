@@ -19,6 +19,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """The event log. Written by day, it also has ``event_date`` to prune folders by."""
     return read_table(spark, path, EVENT)
 
 

@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         **{
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.sql.shuffle.partitions": "4",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
