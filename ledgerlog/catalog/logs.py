@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.messages import deadlock_tables, message_facts, parse_duration, parse_took
-from ..functions.timewin import time_between
+from ..functions.timewin import between_span
 from ..plans import insights as q
 from ..plans import logs as p
 from .bindings import over
@@ -132,7 +132,7 @@ query("v12_slow_among_newest", LOG.rstrip() + ", " + _NEWEST.format(n=20) + f"""
 query("v13_sql_errors_in_window", LOG + """SELECT TimeGenerated, EventID, RenderedDescription FROM log
   WHERE TimeGenerated BETWEEN timestamp '2024-01-20' AND timestamp '2024-01-21' AND EventLevelName = 'Error'
   AND Source ILIKE '%mssql%'""")(
-    lambda s: p.v13(s.log, time_between("TimeGenerated", "2024-01-20", "2024-01-21")))
+    lambda s: p.v13(s.log, between_span("2024-01-20", "2024-01-21")))
 
 
 # Message parsing over every message

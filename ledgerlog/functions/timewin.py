@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 When = dt.datetime | dt.date | str
@@ -58,18 +60,40 @@ def date_lit(when: When) -> Column:
     return F.lit(moment(when).date())
 
 
-def time_between(ts: ColumnLike, start: When, end: When, closed: str = "both") -> Column:
-    ts = as_column(ts)
-    if closed == "both":
-        return ts.between(ts_lit(start), ts_lit(end))
-    if closed == "left":
-        return (ts >= ts_lit(start)) & (ts < ts_lit(end))
-    raise ValueError("closed must be 'both' or 'left'")
+@dataclass(frozen=True)
+class Span:
+    """A stretch of time with computed bounds; either may be missing."""
 
+    start: dt.datetime | None = None
+    end: dt.datetime | None = None
+    after_start: bool = False
+    before_end: bool = False
+
+    def on(self, ts: ColumnLike) -> Column:
+        """The predicate on a timestamp column."""
+        ts = as_column(ts)
+        parts = []
+        if self.start is not None:
+            parts.append(ts > ts_lit(self.start) if self.after_start else ts >= ts_lit(self.start))
+        if self.end is not None:
+            parts.append(ts < ts_lit(self.end) if self.before_end else ts <= ts_lit(self.end))
+        return reduce(lambda x, y: x & y, parts, F.lit(True)) if len(parts) != 1 else parts[0]
+
+    def on_days(self, day: ColumnLike) -> Column:
+        """The wider predicate on a date column, for folders that hold one day each."""
+        day = as_column(day)
+        first = day >= F.lit(self.start.date()) if self.start is not None else F.lit(True)
+        return first & (day <= F.lit(self.end.date())) if self.end is not None else first
 
-def since(ts: ColumnLike, as_of: When, ago: str | dt.timedelta) -> Column:
-    """Strictly later than ``as_of - ago``."""
-    return as_column(ts) > ts_lit(moment(as_of) - span(ago))
+
+def between_span(start: When, end: When, closed: str = "both") -> Span:
+    if closed not in ("both", "left"):
+        raise ValueError("closed must be 'both' or 'left'")
+    return Span(moment(start), moment(end), before_end=closed == "left")
+
+
+def since_span(as_of: When, ago: str | dt.timedelta) -> Span:
+    return Span(moment(as_of) - span(ago), after_start=True)
 
 
 def start_of_day(as_of: When) -> dt.datetime:
@@ -82,34 +106,69 @@ def start_of_week(as_of: When) -> dt.datetime:
     return day - dt.timedelta(days=(day.weekday() + 1) % 7)
 
 
+def today_span(as_of: When) -> Span:
+    return Span(start_of_day(as_of), moment(as_of), after_start=True)
+
+
+def week_span(as_of: When) -> Span:
+    return Span(start_of_week(as_of), moment(as_of), after_start=True)
+
+
+def yesterday_span(as_of: When) -> Span:
+    now = moment(as_of)
+    return Span(now - dt.timedelta(days=2), now - dt.timedelta(days=1))
+
+
+def hour_span(at: When, around: bool = False) -> Span:
+    at = moment(at)
+    hour = dt.timedelta(hours=1)
+    return Span(at - hour if around else at, at + hour)
+
+
+def clamp_span(as_of: When, days: int = 30) -> Span:
+    now = moment(as_of)
+    return Span(now - dt.timedelta(days=days), now)
+
+
+def time_between(ts: ColumnLike, start: When, end: When, closed: str = "both") -> Column:
+    return between_span(start, end, closed).on(ts)
+
+
+def since(ts: ColumnLike, as_of: When, ago: str | dt.timedelta) -> Column:
+    """Strictly later than ``as_of - ago``."""
+    return since_span(as_of, ago).on(ts)
+
+
 def today(ts: ColumnLike, as_of: When) -> Column:
     """Strictly after midnight, and not after ``as_of`` itself."""
-    ts = as_column(ts)
-    return (ts > ts_lit(start_of_day(as_of))) & (ts <= ts_lit(as_of))
+    return today_span(as_of).on(ts)
 
 
 def this_week(ts: ColumnLike, as_of: When) -> Column:
-    ts = as_column(ts)
-    return (ts > ts_lit(start_of_week(as_of))) & (ts <= ts_lit(as_of))
+    """Strictly after the last Sunday midnight, and not after ``as_of`` itself."""
+    return week_span(as_of).on(ts)
 
 
 def rolling_yesterday(ts: ColumnLike, as_of: When) -> Column:
     """The 24 hours that ended 24 hours before ``as_of``, both ends included."""
-    now = moment(as_of)
-    return time_between(ts, now - dt.timedelta(days=2), now - dt.timedelta(days=1))
+    return yesterday_span(as_of).on(ts)
 
 
 def hour_window(ts: ColumnLike, at: When, around: bool = False) -> Column:
     """One hour from ``at``; "around" widens it to one hour on either side."""
-    at = moment(at)
-    hour = dt.timedelta(hours=1)
-    return time_between(ts, at - hour if around else at, at + hour)
+    return hour_span(at, around).on(ts)
 
 
 def clamp(ts: ColumnLike, as_of: When, days: int = 30) -> Column:
     """Outer safety bound that is ANDed with whatever filter a query has."""
-    now = moment(as_of)
-    return time_between(ts, now - dt.timedelta(days=days), now)
+    return clamp_span(as_of, days).on(ts)
+
+
+def during(df: DataFrame, ts: str, window: Span, day: str = "event_date") -> DataFrame:
+    """Rows of a time span. A table kept in day folders is pruned by folder as well."""
+    if day in df.columns:
+        df = df.filter(window.on_days(day))
+    return df.filter(window.on(ts))
 
 
 def date_window(day: ColumnLike, as_of: When, days: int) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import zero_pad
+from ..session import fresh_path
 
 
 def running_total(daily: DataFrame, keys: Sequence[str], order: str, value: str, name: str) -> DataFrame:
@@ -31,36 +32,32 @@ def number_rows(
     return few.withColumn(name, F.concat(prefix, zero_pad(F.row_number().over(w), width)))
 
 
-def dense_ids(
-    df: DataFrame, key: str, name: str, start: int = 1, slices: int | None = None
-) -> DataFrame:
-    """Gapless ids in the order of a unique numeric ``key``, without a global sort task.
+# A row's place as Spark's monotonic ids encode it: partition above, position below.
+_POSITION_BITS = 33
+
+
+def dense_ids(df: DataFrame, key: str, name: str, start: int = 1, slices: int | None = None) -> DataFrame:
+    """Gapless ids in the order of a unique ``key``, without a global sort task.
 
-    Quantiles cut the key range into slices; each slice is numbered on its own and
-    shifted by the row counts of the slices before it. Only the cut points and one
-    count per slice are ever gathered.
+    The rows are range-partitioned and sorted, and written with their partition and
+    position to the shared folder, so that a lost executor cannot shift a boundary.
+    What is left is to add the row counts of the partitions before.
     """
     spark = df.sparkSession
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shares = [i / slices for i in range(1, slices)]
-    if shares:
-        row = df.agg(F.percentile_approx(key, shares, 10 * slices).alias("cuts")).first()
-        cuts = sorted(set(row.cuts or []))
-    else:
-        cuts = []
-    bounds = F.array(*(F.lit(c) for c in cuts)) if cuts else F.array().cast("array<bigint>")
-    sliced = df.withColumn("_slice", F.size(F.filter(bounds, lambda b: b < F.col(key))))
+    ranged = df.repartitionByRange(*([slices] if slices else []), key).sortWithinPartitions(key)
+    path = fresh_path(spark, "numbered")
+    ranged.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.parquet(path).withColumn("_slice", F.shiftright("_at", _POSITION_BITS))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        sliced.groupBy("_slice")
+        placed.groupBy("_slice")
         .agg(F.count("*").alias("_n"))
         .select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    inside = Window.partitionBy("_slice").orderBy(key)
-    # one row per slice, at most ``slices`` of them
+    position = F.col("_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    # one row per partition
     return (
-        sliced.withColumn("_rank", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_slice")
-        .withColumn(name, F.col("_offset") + F.col("_rank") + F.lit(start - 1))
-        .drop("_slice", "_rank", "_offset")
+        placed.join(F.broadcast(offsets), "_slice")
+        .withColumn(name, F.col("_offset") + position + F.lit(start))
+        .drop("_slice", "_at", "_offset")
     )

@@ -16,7 +16,7 @@ from ..functions.messages import (
     parse_duration,
 )
 from ..functions.text import contains_any, contains_ci
-from ..functions.timewin import When, bin_start, since, today
+from ..functions.timewin import When, bin_start, during, today_span
 from ..operators.aggregates import count_by
 from ..operators.topk import top_k
 from .logs import DEADLOCK, SLOW_WARNING, TS, v01
@@ -76,9 +76,10 @@ def _weight(name: str) -> Column:
 
 def q01(events: DataFrame, as_of: When, ago: str = "30m", level: str = "Error") -> DataFrame:
     """Recent errors by source and id, each with the overall total."""
-    recent = events.filter(since(TS, as_of, ago) & (F.col("EventLevelName") == level))
-    total = recent.agg(F.count("*").alias("n")).scalar()
-    return v01(events, as_of, ago, level).withColumn("total", total)
+    counted = v01(events, as_of, ago, level)
+    # both read the same shuffled counts
+    total = counted.agg(F.sum("Count").alias("n")).scalar()
+    return counted.withColumn("total", total)
 
 
 def q02(events: DataFrame) -> DataFrame:
@@ -135,7 +136,7 @@ def q08(events: DataFrame) -> DataFrame:
 def q09(events: DataFrame, as_of: When) -> DataFrame:
     """Today's timeline by hour and category."""
     return (
-        with_category(events.filter(today(TS, as_of)))
+        with_category(during(events, TS, today_span(as_of)))
         .groupBy(bin_start(TS, "1 hour").alias("hour"), "category")
         .agg(F.count("*").alias("Count"))
         .orderBy("hour", "category")

@@ -13,6 +13,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Streaming state outside the heap, with incremental snapshots.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # HotSpot does not compile larger methods; such a stage runs faster operator by operator.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }

@@ -57,6 +57,16 @@ def test_day_folders_are_pruned(spark):
     assert re.search(r"PartitionFilters: \[[^\]]*event_date", text)
 
 
+def test_log_questions_prune_day_folders(spark):
+    from ledgerlog.sources.writers import write_log
+
+    path = fresh_path(spark, "log")
+    write_log(Sample(spark, SMALL).log, path)
+    rows = logs.l09(spark.read.parquet(path), "2024-01-31")
+    assert re.search(r"PartitionFilters: \[[^\]]*event_date", plan(rows))
+    assert rows.count() == logs.l09(Sample(spark, SMALL).log, "2024-01-31").count() > 0
+
+
 def test_limits_are_taken_per_task(event_table):
     assert "TakeOrderedAndProject" in plan(logs.l11(event_table, "2024-01-31"))
     grouped = tk.first_per_group(event_table.select("Source", "TimeGenerated"), ["Source"], ["TimeGenerated"], 3)
