@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .timewin import ColumnLike, When, as_column, date_lit
 
 MONEY = "decimal(12,2)"
+MONEY_TO_SUM = "decimal(18,2)"
 
 
 def money(c: ColumnLike) -> Column:
@@ -27,11 +28,12 @@ def sum0(c: ColumnLike) -> Column:
     return F.sum(F.coalesce(as_column(c), F.lit(0)))
 
 
-def exact_avg(c: ColumnLike, fixed: str = "decimal(18,4)") -> Column:
+def exact_avg(c: ColumnLike, fixed: str = "decimal(28,10)") -> Column:
     """Average over a fixed-point sum.
 
     A floating-point sum depends on the order in which partial results arrive, so
-    a retried task can change its last digits. The fixed-point sum cannot.
+    a retried task can change its last digits. The fixed-point sum cannot. Ten decimals
+    by default; columns that are fixed-point anyway name their own, narrower type.
     """
     c = as_column(c)
     return F.sum(c.cast(fixed)).cast("double") / F.nullif(F.count(c), F.lit(0)).cast("double")
@@ -70,12 +72,3 @@ def risk_tier(claimed: Column, premium: Column) -> Column:
 def allocation_status(total: Column) -> Column:
     return F.when(total != 100, "NEEDS REVIEW").otherwise("OK")
 
-
-def join_distinct(c: ColumnLike, sep: str = ", ") -> Column:
-    """Distinct values of a group in sorted order, as one string.
-
-    Deduplicate by (group, value) first where a group may be large; see
-    ``operators.aggregates.distinct_list``.
-    """
-    c = as_column(c)
-    return F.array_join(F.array_sort(F.collect_set(c)), sep)

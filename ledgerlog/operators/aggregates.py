@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import days_between, exact_avg, int_avg, money, month_of
+from ..functions.stats import MONEY_TO_SUM, days_between, exact_avg, int_avg, money, month_of
 from ..functions.timewin import bin_start
 
 
@@ -43,7 +43,7 @@ def monthly_stats(df: DataFrame, date: str, keys: Sequence[str], value: str) ->
     return df.groupBy(month_of(date).alias("month"), *keys).agg(
         F.count("*").alias("txn_count"),
         F.sum(amount).alias("total_amount"),
-        exact_avg(amount).alias("avg_amount"),
+        exact_avg(amount, MONEY_TO_SUM).alias("avg_amount"),
         F.min(amount).alias("min_amount"),
         F.max(amount).alias("max_amount"),
     )
@@ -56,7 +56,7 @@ def day_stats(
     days = days_between(start, end)
     return df.groupBy(*keys).agg(
         F.count("*").alias("claim_count"),
-        (int_avg(days) if truncate else exact_avg(days)).alias("avg_processing_days"),
+        (int_avg(days) if truncate else exact_avg(days, "decimal(18,0)")).alias("avg_processing_days"),
         F.min(days).alias("min_days"),
         F.max(days).alias("max_days"),
     )

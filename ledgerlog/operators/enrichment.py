@@ -25,7 +25,7 @@ __all__ = [
     "merge_terms", "parse_docs", "question_terms", "resolve_window", "strip_html",
 ]
 
-# Search-term prefix, question keywords, documentation host and caps.
+# Search-term prefix, question keywords, documentation host, link patterns and caps.
 TERM_PREFIX = "SQL Server "
 QUESTION_KEYWORDS = (
     "error", "warning", r"event\s*id", "login fail", "timeout", "deadlock", "backup", "restore",
@@ -33,6 +33,10 @@ QUESTION_KEYWORDS = (
 )
 DOC_HOST = r"learn\.microsoft\.com"
 PLAIN_TITLE = "Microsoft Learn Documentation"
+MARKDOWN_LINK = r"\[([^\]]+)\]\((https?://{host}[^)]+)\)"
+HOST_URL = r'https?://{host}[^\s)\]>"]+'
+ANY_URL = r'https?://[^\s)\]>"]+'
+LISTED_EVENT_ID = r"'EventID':\s*(\d+)"
 MAX_TERMS = 3
 MAX_ALL_TERMS = 5
 MAX_SNIPPETS = 5
@@ -85,7 +89,7 @@ def error_terms(
 
 def event_ids(c: ColumnLike) -> Column:
     """Fallback terms from raw result text: the first two EventIDs, then distinct."""
-    ids = F.regexp_extract_all(as_column(c), F.lit(r"'EventID':\s*(\d+)"), F.lit(1))
+    ids = F.regexp_extract_all(as_column(c), F.lit(LISTED_EVENT_ID), F.lit(1))
     terms = F.transform(F.slice(ids, 1, 2), lambda i: F.concat(F.lit(TERM_PREFIX + "EventID "), i))
     return F.array_distinct(terms)
 
@@ -130,7 +134,7 @@ def _json_docs(text: Column, k: int) -> Column:
 
 
 def _markdown_docs(text: Column, k: int, host: str) -> Column:
-    link = rf"\[([^\]]+)\]\((https?://{host}[^)]+)\)"
+    link = MARKDOWN_LINK.format(host=host)
     titles = F.regexp_extract_all(text, F.lit(link), F.lit(1))
     urls = F.regexp_extract_all(text, F.lit(link), F.lit(2))
     docs = F.zip_with(
@@ -141,7 +145,7 @@ def _markdown_docs(text: Column, k: int, host: str) -> Column:
 
 
 def _url_docs(text: Column, k: int, host: str) -> Column:
-    urls = F.regexp_extract_all(text, F.lit(rf'https?://{host}[^\s)\]>"]+'), F.lit(0))
+    urls = F.regexp_extract_all(text, F.lit(HOST_URL.format(host=host)), F.lit(0))
     return F.transform(
         F.slice(urls, 1, k),
         lambda u: F.struct(slug_title(u).alias("title"), u.alias("url"), F.lit("").alias("description")),
@@ -149,7 +153,7 @@ def _url_docs(text: Column, k: int, host: str) -> Column:
 
 
 def _plain_docs(text: Column, title: str) -> Column:
-    url = F.regexp_extract(text, r'https?://[^\s)\]>"]+', 0)
+    url = F.regexp_extract(text, ANY_URL, 0)
     doc = F.struct(
         F.lit(title).alias("title"), url.alias("url"),
         strip(F.left(text, F.lit(300))).alias("description"),

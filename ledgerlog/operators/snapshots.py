@@ -14,6 +14,17 @@ from .topk import broadcast_limited, sample_k
 from .windows import dense_ids, number_rows
 
 
+# The texts and the share these steps write.
+APPROVAL_NOTE = "Batch approved via simulation"
+APPROVED_SHARE = "0.85"
+PAYMENT = {
+    "transaction_type": "PremiumPayment",
+    "payment_method": "GIRO",
+    "status": "Completed",
+    "remarks": "Simulated monthly GIRO deduction",
+}
+
+
 def approve_claims(
     claims: DataFrame, as_of: When, k: int = 5, status: str = "Submitted", approved: str = "Approved"
 ) -> DataFrame:
@@ -30,9 +41,9 @@ def approve_claims(
     )
     changes: Mapping[str, Column] = {
         "status": F.lit(approved),
-        "approved_amount": (F.col("claim_amount") * F.lit("0.85").cast("decimal(3,2)")).cast(MONEY),
+        "approved_amount": (F.col("claim_amount") * F.lit(APPROVED_SHARE).cast("decimal(3,2)")).cast(MONEY),
         "processed_date": date_lit(as_of),
-        "assessor_notes": F.lit("Batch approved via simulation"),
+        "assessor_notes": F.lit(APPROVAL_NOTE),
     }
     joined = claims.join(broadcast_limited(batch, k), "claim_id", "left")
     return joined.select(
@@ -77,10 +88,7 @@ def payment_batch(
         "policy_id",
         ts_lit(now).alias("transaction_date"),
         (F.col("annual_premium") / 12).cast(MONEY).alias("amount"),
-        F.lit("PremiumPayment").alias("transaction_type"),
-        F.lit("GIRO").alias("payment_method"),
-        F.lit("Completed").alias("status"),
-        F.lit("Simulated monthly GIRO deduction").alias("remarks"),
+        *(F.lit(value).alias(name) for name, value in PAYMENT.items()),
     )
 
 

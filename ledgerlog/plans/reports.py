@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import (
+    MONEY_TO_SUM,
     allocation_status,
     count_where,
     days_between,
@@ -107,7 +108,7 @@ def b02(t: Tables, codes: Codes = CODES) -> DataFrame:
             F.count("policy_id").alias("total_policies"),
             F.countDistinct("customer_id").alias("unique_customers"),
             F.sum("annual_premium").alias("total_annual_premium"),
-            exact_avg("sum_insured").alias("avg_sum_insured"),
+            exact_avg("sum_insured", MONEY_TO_SUM).alias("avg_sum_insured"),
             count_where(F.col("status") == codes.active).alias("active_count"),
             count_where(F.col("status") == codes.lapsed).alias("lapsed_count"),
         )

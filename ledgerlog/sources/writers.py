@@ -36,7 +36,9 @@ def drop_expired(df: DataFrame, as_of_date: object, days: int = 30) -> DataFrame
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     """A table bucketed and sorted by its join key: later joins on it need no shuffle.
 
-    Rows are placed by bucket first, so each bucket is one file.
+    Rows are placed by bucket first, so each bucket is one file. A key that holds a large
+    share of the rows makes one large bucket; leave such a table unbucketed, where AQE can
+    split the key at join time.
     """
     (
         df.repartition(buckets, key)

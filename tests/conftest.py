@@ -33,6 +33,7 @@ def at(text: str) -> dt.datetime:
     return dt.datetime.fromisoformat(text)
 
 
+# The message texts the parsers must understand, and the users that failed to log in.
 SLOW = [
     "SLOW QUERY WARNING: Query on Customers x Policies cartesian join took 28.4 seconds. 360000 rows scanned "
     "with no index seek. Query hash: 0x7A3F2B1C. Plan guide recommended.",
@@ -81,7 +82,7 @@ def golden(spark):
     found += [(17063, m) for m in SLOW]
     rows = [
         (NOW - dt.timedelta(minutes=len(found) - i), "MSSQL$SQLEXPRESS", "Application", event_id, "Error", 2, text,
-         "vm-sql-sea-01")
+         "vm-1")
         for i, (event_id, text) in enumerate(found)
     ]
     return spark.createDataFrame(
