@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..schemas import BUSINESS, EVENT, PERF
+from ..schemas import BUSINESS, EVENT, PERF, conform
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -34,24 +34,26 @@ def read_business(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def read_business_jdbc(
     spark: SparkSession, url: str, key_bounds: Mapping[str, tuple[int, int]], partitions: int,
-    options: Mapping[str, str] | None = None,
+    server_names: Mapping[str, str] | None = None, options: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """The same tables from a live server, each read in key ranges by many tasks.
 
-    ``key_bounds`` gives the smallest and largest primary key of every table.
+    ``key_bounds`` gives the smallest and largest primary key of every table,
+    ``server_names`` the tables that are called differently there.
     """
     tables = {}
     for name, schema in BUSINESS.items():
         low, high = key_bounds[name]
-        tables[name] = (
+        loaded = (
             spark.read.format("jdbc")
-            .options(url=url, dbtable=name, **(options or {}))
+            .options(url=url, dbtable=(server_names or {}).get(name, name), **(options or {}))
             .option("partitionColumn", schema.names[0])
             .option("lowerBound", low)
             .option("upperBound", high)
             .option("numPartitions", partitions)
             .load()
         )
+        tables[name] = conform(loaded, schema)
     return tables
 
 
