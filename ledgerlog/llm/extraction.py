@@ -36,7 +36,8 @@ SOFT = frozenset("header footer masthead banner toolbar topbar alert search logi
 CONTENT = frozenset("article post entry content story main body text".split())
 
 _TAG = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<([/!?]?)([a-zA-Z][^\s/>]*)?((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", re.S)
+    r"<!--.*?(?:--!?>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)"
+    r"|<[/!?][^>]*+(?:>|\Z)", re.S)
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PARTS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -160,9 +161,8 @@ def blocks_of(page: str) -> list[Block]:
     while at < size:
         begin = page.find("<", at)
         m = _TAG.match(page, begin) if begin >= 0 else None
-        stop = size if begin < 0 else begin
-        if m and not m[2] and not m[0].startswith(("<!", "<?", "</")):
-            stop, m = begin + 1, None  # a less-than sign
+        # Without a tag there the text goes on, a less-than sign included.
+        stop = size if begin < 0 else begin if m else begin + 1
         if stop > at:
             text = page[at:stop]
             parts.append(text)
@@ -172,10 +172,10 @@ def blocks_of(page: str) -> list[Block]:
         if m is None:
             continue
         at = m.end()
-        name = (m[2] or "").lower()
-        if not name or m[1] in ("!", "?"):
+        name = (m[1] or "").lower()
+        if not name:
             continue
-        if m[1] == "/":
+        if m[0].startswith("</"):
             if name == "a":
                 links = 0
             if name not in INLINE:
@@ -194,8 +194,8 @@ def blocks_of(page: str) -> list[Block]:
                 open_.close("p")
             if name in _SIBLINGS:
                 open_.close(name, _LISTS)
-        if name not in VOID and not m[3].endswith("/"):
-            open_.push(name, *_mark(name, m[3], open_.article > 0))
+        if name not in VOID and not m[2].endswith("/"):
+            open_.push(name, *_mark(name, m[2], open_.article > 0))
     end()
     return found
 
