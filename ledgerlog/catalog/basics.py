@@ -13,7 +13,7 @@ from ..operators import topk as tk
 from ..operators import windows as wn
 from .registry import query
 
-AS_OF = "2024-01-31 00:00:00"
+AS_OF = "2024-01-20 15:00:00"
 TS_AS_OF = f"timestamp '{AS_OF}'"
 ORDERS_AS_OF = "2001-08-02"
 
@@ -44,10 +44,11 @@ _filter("flt01_between_both", "ts BETWEEN timestamp '2024-01-10' AND timestamp '
         lambda: tw.time_between("ts", "2024-01-10", "2024-01-11"))
 _filter("flt01_between_left", "ts >= timestamp '2024-01-10' AND ts < timestamp '2024-01-11'",
         lambda: tw.time_between("ts", "2024-01-10", "2024-01-11", "left"))
-_filter("flt02_since", f"ts > {TS_AS_OF} - interval 24 hour", lambda: tw.since("ts", AS_OF, "24 hours"))
+_filter("flt02_since", f"ts > {TS_AS_OF} - interval 24 hour AND ts <= {TS_AS_OF}",
+        lambda: tw.since("ts", AS_OF, "24 hours"))
 _filter("flt03_today", "ts > timestamp '2024-01-30' AND ts <= timestamp '2024-01-30 18:00:00'",
         lambda: tw.today("ts", "2024-01-30 18:00:00"))
-_filter("flt04_this_week", f"ts > timestamp '2024-01-28' AND ts <= {TS_AS_OF}", lambda: tw.this_week("ts", AS_OF))
+_filter("flt04_this_week", f"ts > timestamp '2024-01-14' AND ts <= {TS_AS_OF}", lambda: tw.this_week("ts", AS_OF))
 _filter("flt05_rolling_yesterday", f"ts BETWEEN {TS_AS_OF} - interval 2 day AND {TS_AS_OF} - interval 1 day",
         lambda: tw.rolling_yesterday("ts", AS_OF))
 _filter("flt06_hour_window", "ts BETWEEN timestamp '2024-01-20 12:00:00' AND timestamp '2024-01-20 13:00:00'",
@@ -68,14 +69,14 @@ _filter("flt13_threshold", "o_totalprice > 100000", lambda: F.col("o_totalprice"
 _filter("flt14_status_list", "o_orderstatus IN ('O', 'P')", lambda: F.col("o_orderstatus").isin("O", "P"), "orders")
 _filter("flt16_last_year", "o_orderdate >= timestamp '2000-08-02'",
         lambda: F.col("o_orderdate") >= tw.ts_lit(tw.years_before(ORDERS_AS_OF)), "orders")
-_filter("flt16_last_30_days", "o_orderdate > timestamp '2001-07-03'",
-        lambda: tw.since("o_orderdate", ORDERS_AS_OF, "30 days"), "orders")
+_filter("flt16_last_30_days", "o_orderdate >= timestamp '2001-07-03'",
+        lambda: F.col("o_orderdate") >= tw.ts_lit(tw.moment(ORDERS_AS_OF) - tw.span("30 days")), "orders")
 _filter("flt17_any_like", "p_name ILIKE '%blue%' OR p_name ILIKE '%anvil%' OR p_name ILIKE '%RING%'",
         lambda: tx.any_like("p_name", ["%blue%", "%anvil%", "%RING%"]), "part")
 _filter("flt18_any_column_like", "p_name ILIKE '%red%' OR p_brand ILIKE '%#17' OR p_type ILIKE '%econ%'",
         lambda: tx.any_col_like([("p_name", "%red%"), ("p_brand", "%#17"), ("p_type", "%econ%")]), "part")
-_filter("flt20_prefix_recent", f"starts_with(event_type, 'pur') AND ts > {TS_AS_OF} - interval 24 hour",
-        lambda: F.col("event_type").startswith("pur") & tw.since("ts", AS_OF, "24h"))
+_filter("flt20_prefix_recent", f"starts_with(event_type, 'pur') AND ts > {TS_AS_OF} - interval 24 hour "
+        f"AND ts <= {TS_AS_OF}", lambda: F.col("event_type").startswith("pur") & tw.since("ts", AS_OF, "24h"))
 
 query("flt15_expiring", """SELECT o_orderkey, cast(end_date as varchar) AS end_date FROM (
   SELECT o_orderkey, cast(o_orderdate as date) + 365 AS end_date FROM orders)

@@ -11,7 +11,7 @@ from ..plans import logs as p
 from .bindings import over
 from .registry import query
 
-AS_OF = "2024-01-31 00:00:00"
+AS_OF = "2024-01-22 15:00:00"
 DAY_START, DAY_END = "2024-01-30 00:00:00", "2024-01-31 00:00:00"
 EVENING = "2024-01-30 18:00:00"
 
@@ -20,7 +20,8 @@ PERF = over("perf")
 _AVG = "cast(sum(cast(CounterValue as decimal(18,4))) as double) / count(CounterValue)"
 _HOUR = "time_bucket(interval 1 hour, TimeGenerated)"
 _DETAIL = "TimeGenerated, Source, EventID, RenderedDescription"
-_DAY_AGO = f"TimeGenerated > timestamp '{AS_OF}' - interval 24 hour"
+_DAY_AGO = f"TimeGenerated > timestamp '{AS_OF}' - interval 24 hour AND TimeGenerated <= timestamp '{AS_OF}'"
+_WEEK_AGO = _DAY_AGO.replace("24 hour", "7 day")
 _SLOWEST = (
     "SELECT TimeGenerated, try_cast(nullif(regexp_extract(RenderedDescription, "
     "'took (-?[0-9]+(\\.[0-9]+)?) seconds', 1), '') as double) AS Duration, RenderedDescription FROM log "
@@ -38,7 +39,7 @@ query("l02_latest_in_hour", LOG + """SELECT TimeGenerated, Source, EventLevelNam
   ORDER BY TimeGenerated DESC LIMIT 10""")(lambda s: p.l02(s.log, "2024-01-20 12:00:00"))
 
 query("l03_sql_errors_recent", LOG + f"""SELECT {_DETAIL} FROM log
-  WHERE TimeGenerated > timestamp '{AS_OF}' - interval 6 hour AND EventLevelName = 'Error'
+  WHERE {_DAY_AGO.replace('24 hour', '6 hour')} AND EventLevelName = 'Error'
   AND contains(lower(Source), 'mssql')""")(lambda s: p.l03(s.log, AS_OF))
 
 L04_SQL = PERF + f"""SELECT {_HOUR} AS TimeGenerated, {_AVG} AS AvgCPU FROM perf
@@ -53,7 +54,7 @@ query("l05_connections_in_range", PERF + f"""SELECT {_HOUR} AS TimeGenerated, ma
     lambda s: p.l05(s.perf, "2024-01-10", "2024-01-15"))
 
 query("l06_week_by_source", LOG + f"""SELECT Source, EventLevelName, count(*) AS "Count" FROM log
-  WHERE TimeGenerated > timestamp '2024-01-28' AND TimeGenerated <= timestamp '{AS_OF}'
+  WHERE TimeGenerated > timestamp '2024-01-21' AND TimeGenerated <= timestamp '{AS_OF}'
   AND EventLevelName IN ('Error', 'Warning') GROUP BY ALL""")(lambda s: p.l06(s.log, AS_OF))
 
 query("l07_disk_free_trend", PERF + f"""SELECT {_HOUR} AS TimeGenerated, {_AVG} AS AvgFreeSpace FROM perf
@@ -114,7 +115,10 @@ query("v10_count_by_level", LOG + "SELECT EventLevelName, count(*) AS count_ FRO
 query("v10_take_five", LOG + """SELECT TimeGenerated, Source, EventLevelName FROM log
   ORDER BY TimeGenerated DESC LIMIT 5""")(lambda s: p.v10_take(s.log))
 
-_NEWEST = "newest AS (SELECT * FROM log WHERE EventLog = 'Application' ORDER BY TimeGenerated DESC LIMIT {n})"
+_NEWEST = (
+    f"newest AS (SELECT * FROM log WHERE EventLog = 'Application' AND TimeGenerated <= timestamp '{AS_OF}' "
+    "ORDER BY TimeGenerated DESC LIMIT {n})"
+)
 
 query("v11_levels_of_newest", LOG.rstrip() + ", " + _NEWEST.format(n=200) + f"""
   SELECT EventLevelName, count(*) AS "Count" FROM newest WHERE Source LIKE 'MSSQL%' AND {_DAY_AGO}
@@ -187,32 +191,37 @@ query("q01_error_summary_total", LOG + f"""SELECT Source, EventID, count(*) AS "
   cast(sum(count(*)) OVER () as bigint) AS total FROM log WHERE {_DAY_AGO} AND EventLevelName = 'Error'
   GROUP BY Source, EventID""")(lambda s: q.q01(s.log, AS_OF, "24h"))
 
-query("q02_missing_databases", LOG + """SELECT regexp_extract(RenderedDescription, 'Database .(\\w+). does', 1)
-  AS database_name, count(*) AS "Count" FROM log WHERE EventID = 911 GROUP BY 1""")(lambda s: q.q02(s.log))
+query("q02_missing_databases", LOG + f"""SELECT regexp_extract(RenderedDescription, 'Database .(\\w+). does', 1)
+  AS database_name, count(*) AS "Count" FROM log WHERE {_WEEK_AGO} AND EventID = 911 GROUP BY 1""")(lambda s: q.q02(s.log, AS_OF, "7d"))
 
-query("q03_failed_logins_by_user", LOG + """SELECT regexp_extract(RenderedDescription, 'user .(\\w+).', 1)
-  AS login_user, count(*) AS "Count" FROM log WHERE EventID = 18456 GROUP BY 1""")(lambda s: q.q03(s.log))
+query("q03_failed_logins_by_user", LOG + f"""SELECT regexp_extract(RenderedDescription, 'user .(\\w+).', 1)
+  AS login_user, count(*) AS "Count" FROM log WHERE {_WEEK_AGO} AND EventID = 18456 GROUP BY 1""")(lambda s: q.q03(s.log, AS_OF, "7d"))
 
 query("q04_deadlock_or_timeout", LOG + f"""SELECT {_DETAIL} FROM log
-  WHERE RenderedDescription ILIKE '%deadlock%' OR RenderedDescription ILIKE '%timeout%'""")(
-    lambda s: q.q04(s.log))
+  WHERE {_WEEK_AGO} AND (RenderedDescription ILIKE '%deadlock%' OR RenderedDescription ILIKE '%timeout%')""")(
+    lambda s: q.q04(s.log, AS_OF, "7d"))
+
+query("q05_failed_backups", LOG + f"""SELECT TimeGenerated, Source, RenderedDescription FROM log
+  WHERE {_WEEK_AGO} AND EventID = 3041""")(lambda s: q.q05(s.log, AS_OF, "7d"))
 
-query("q05_failed_backups", LOG + """SELECT TimeGenerated, Source, RenderedDescription FROM log
-  WHERE EventID = 3041""")(lambda s: q.q05(s.log))
+query("q06_login_bursts", LOG + f"""SELECT Computer, time_bucket(interval 1 day, TimeGenerated) AS window_start,
+  count(*) AS attempts FROM log WHERE {_WEEK_AGO} AND EventID = 18456 GROUP BY ALL HAVING count(*) >= 2""")(
+    lambda s: q.q06(s.log, AS_OF, "1 day", 2, "7d"))
 
-query("q06_login_bursts", LOG + """SELECT Computer, time_bucket(interval 1 day, TimeGenerated) AS window_start,
-  count(*) AS attempts FROM log WHERE EventID = 18456 GROUP BY ALL HAVING count(*) >= 2""")(
-    lambda s: q.q06(s.log, "1 day", 2))
+query("q06_login_bursts_default", LOG + f"""SELECT 'vm' AS Computer, time_bucket(interval 10 minute, TimeGenerated) AS window_start,
+  count(*) AS attempts FROM log WHERE {_WEEK_AGO.replace('7 day', '30 day')} AND EventID = 18456 GROUP BY ALL
+  HAVING count(*) >= 3""")(
+    lambda s: q.q06(s.log.withColumn("Computer", F.lit("vm")), AS_OF, ago="90d"))
 
 query("q07_most_critical", LOG + f"""SELECT category, "Count", "Count" * CASE WHEN category IN
   ('deadlock', 'disk space', 'log full') THEN 5 WHEN category IN ('backup failure', 'failed login') THEN 4
   WHEN category IN ('timeout', 'slow query') THEN 3
   WHEN category IN ('missing database', 'missing object', 'constraint violation') THEN 2 ELSE 1 END AS score
-  FROM (SELECT {_CATEGORY} AS category, count(*) AS "Count" FROM log GROUP BY 1)
-  ORDER BY score DESC, category LIMIT 3""")(lambda s: q.q07(s.log, 3))
+  FROM (SELECT {_CATEGORY} AS category, count(*) AS "Count" FROM log WHERE {_WEEK_AGO} GROUP BY 1)
+  ORDER BY score DESC, category LIMIT 3""")(lambda s: q.q07(s.log, AS_OF, 3, "7d"))
 
-query("q08_disk_space", LOG + """SELECT TimeGenerated, Source, RenderedDescription FROM log
-  WHERE RenderedDescription ILIKE '%disk space%'""")(lambda s: q.q08(s.log))
+query("q08_disk_space", LOG + f"""SELECT TimeGenerated, Source, RenderedDescription FROM log
+  WHERE {_WEEK_AGO} AND RenderedDescription ILIKE '%disk space%'""")(lambda s: q.q08(s.log, AS_OF, "7d"))
 
 query("q09_day_timeline", LOG + f"""SELECT {_HOUR} AS hour, {_CATEGORY} AS category, count(*) AS "Count" FROM log
   WHERE TimeGenerated > timestamp '2024-01-30' AND TimeGenerated <= timestamp '{EVENING}' GROUP BY 1, 2""")(
@@ -221,24 +230,24 @@ query("q09_day_timeline", LOG + f"""SELECT {_HOUR} AS hour, {_CATEGORY} AS categ
 query("q10_deadlock_details", LOG + f"""SELECT TimeGenerated,
   {_fact('process_id', r'Process ([0-9]+)', 'bigint')},
   array_to_string({_TABLES_SQL}, ', ') AS tables, {_ANY_SQL} AS seconds FROM log
-  WHERE RenderedDescription ILIKE '%deadlock%'""")(lambda s: q.q10(s.log))
+  WHERE {_WEEK_AGO} AND RenderedDescription ILIKE '%deadlock%'""")(lambda s: q.q10(s.log, AS_OF, "7d"))
 
 query("q11_slowest_any_phrase", LOG + f"""SELECT TimeGenerated, {_ANY_SQL} AS seconds, RenderedDescription FROM log
-  WHERE RenderedDescription ILIKE '%slow query warning%'
-  ORDER BY seconds DESC NULLS LAST, TimeGenerated DESC LIMIT 5""")(lambda s: q.q11(s.log))
+  WHERE {_WEEK_AGO} AND RenderedDescription ILIKE '%slow query warning%'
+  ORDER BY seconds DESC NULLS LAST, TimeGenerated DESC LIMIT 5""")(lambda s: q.q11(s.log, AS_OF, ago="7d"))
 
 query("q12_tables_in_deadlocks", LOG + f"""SELECT table_name, count(*) AS messages FROM (
   SELECT DISTINCT TimeGenerated, unnest({_TABLES_SQL}) AS table_name FROM log
-  WHERE RenderedDescription ILIKE '%deadlock%') GROUP BY 1""")(lambda s: q.q12(s.log))
+  WHERE {_WEEK_AGO} AND RenderedDescription ILIKE '%deadlock%') GROUP BY 1""")(lambda s: q.q12(s.log, AS_OF, "7d"))
 
-query("q13_recommendations", LOG + """SELECT recommendation, count(*) AS messages FROM (
-  SELECT trim(unnest(string_split(RenderedDescription, '.'))) AS recommendation FROM log)
+query("q13_recommendations", LOG + f"""SELECT recommendation, count(*) AS messages FROM (
+  SELECT trim(unnest(string_split(RenderedDescription, '.'))) AS recommendation FROM log WHERE {_WEEK_AGO})
   WHERE recommendation ILIKE 'consider %' OR recommendation ILIKE '% recommended' GROUP BY 1""")(
-    lambda s: q.q13(s.log))
+    lambda s: q.q13(s.log, AS_OF, "7d"))
 
 query("q14_full_table_scans", LOG + f"""SELECT TimeGenerated,
   {_fact('rows_scanned', r'([0-9]+) rows scanned', 'bigint')}, {_ANY_SQL} AS seconds, RenderedDescription FROM log
-  WHERE RenderedDescription ILIKE '%full table scan%'""")(lambda s: q.q14(s.log))
+  WHERE {_WEEK_AGO} AND RenderedDescription ILIKE '%full table scan%'""")(lambda s: q.q14(s.log, AS_OF, "7d"))
 
 query("q15_error_categories", LOG + f"""SELECT {_CATEGORY} AS category, count(*) AS "Count" FROM log
-  GROUP BY 1""")(lambda s: q.q15(s.log))
+  WHERE {_WEEK_AGO} GROUP BY 1""")(lambda s: q.q15(s.log, AS_OF, "7d"))

@@ -8,13 +8,13 @@ from ..operators import collection as c
 from ..operators import quality as dq
 from ..operators import snapshots as snap
 from ..operators.joins import update_from
-from ..schemas import BUSINESS, DOMAINS, EVENT, FOREIGN_KEYS, PERF, conform
+from ..schemas import BUSINESS, EVENT, PERF, conform
 from ..session import fresh_path
 from ..sources import readers, writers
 from .bindings import over
 from .registry import query
 
-AS_OF = "2024-01-31 00:00:00"
+AS_OF = "2024-01-20 15:00:00"
 
 
 # Scans and schemas
@@ -124,7 +124,8 @@ query("src10_table_counts", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _COUNTED))(
     lambda s: readers.table_counts({t: s.table(t) for t in _COUNTED}))
 
-query("src11_retention", f"""SELECT * FROM events WHERE ts >= timestamp '{AS_OF}' - interval 7 day""")(
+query("src11_retention", f"""SELECT * FROM events WHERE ts >= timestamp '{AS_OF}' - interval 7 day
+  AND ts <= timestamp '{AS_OF}'""")(
     lambda s: c.retain(s.table("events"), "ts", AS_OF, 7))
 
 
@@ -228,28 +229,49 @@ query("snp06_surrogate_keys", """SELECT c_custkey, cast((SELECT max(o_orderkey)
 
 # What a relational server would enforce
 
-def _check_sql() -> str:
-    parts = []
-    for child, ck, parent, pk in FOREIGN_KEYS:
-        if ck != "preferred_agent_id":
-            parts.append(
-                f"SELECT '{child}.{ck} -> {parent}.{pk}' AS check_name, count(DISTINCT {ck}) AS bad_keys, "
-                f"count(*) AS bad_rows FROM {child} WHERE {ck} IS NOT NULL AND {ck} NOT IN (SELECT {pk} FROM {parent})"
-            )
-    for (table, col), values in DOMAINS.items():
-        if col != "payment_freq":
-            listed = ", ".join(f"'{v}'" for v in values)
-            parts.append(
-                f"SELECT '{table}.{col}' AS check_name, count(DISTINCT {col}) AS bad_keys, count(*) AS bad_rows "
-                f"FROM {table} WHERE {col} NOT IN ({listed})"
-            )
-    return " UNION ALL ".join(parts)
+_ORPHANS = """SELECT '{child}.{key} -> {parent}.{to}' AS check_name, count(DISTINCT {key}) AS bad_keys,
+  count(*) AS bad_rows FROM {rows} WHERE {key} IS NOT NULL AND {key} NOT IN (SELECT {to} FROM {parent})"""
+_OUTSIDE = """SELECT '{table}.{key}' AS check_name, count(DISTINCT {key}) AS bad_keys, count(*) AS bad_rows
+  FROM {rows} WHERE {key} NOT IN ({values})"""
+_AGENT_OF = "(SELECT *, customer_id % 15 AS preferred_agent_id FROM customers)"
+_PAID = "CASE policy_id % 4 WHEN 0 THEN 'Weekly' WHEN 1 THEN 'Monthly' WHEN 2 THEN 'Annually' END"
+_FREQUENCY = f"(SELECT *, {_PAID} AS payment_freq FROM policies)"
+
+
+def _orphans(child, key, parent, to, rows=None):
+    return _ORPHANS.format(child=child, key=key, parent=parent, to=to, rows=rows or child)
+
+
+def _outside(table, key, values, rows=None):
+    return _OUTSIDE.format(table=table, key=key, values=values, rows=rows or table)
+
+
+_CHECKS = " UNION ALL ".join([
+    _orphans("customers", "preferred_agent_id", "agents", "agent_id", _AGENT_OF),
+    _orphans("policies", "customer_id", "customers", "customer_id"),
+    _orphans("policies", "package_id", "packages", "package_id"),
+    _orphans("policies", "agent_id", "agents", "agent_id"),
+    _orphans("claims", "policy_id", "policies", "policy_id"),
+    _orphans("transactions", "policy_id", "policies", "policy_id"),
+    _orphans("beneficiaries", "policy_id", "policies", "policy_id"),
+    _outside("packages", "category", "'Life', 'Health', 'Auto', 'Property', 'Travel'"),
+    _outside("policies", "status", "'Active', 'Expired', 'Cancelled', 'Pending', 'Lapsed'"),
+    _outside("policies", "payment_freq", "'Monthly', 'Quarterly', 'Annually'", _FREQUENCY),
+    _outside("claims", "status", "'Submitted', 'UnderReview', 'Approved', 'Rejected', 'Paid', 'Appealed'"),
+    _outside("transactions", "transaction_type", "'PremiumPayment', 'ClaimPayout', 'Refund', 'Adjustment', 'Penalty'"),
+    _outside("transactions", "payment_method", "'GIRO', 'CreditCard', 'PayNow', 'Cash', 'BankTransfer'"),
+    _outside("transactions", "status", "'Completed', 'Pending', 'Failed', 'Reversed'"),
+])
 
 
 @query("dq01_constraint_checks", over("customers", "policies", "packages", "agents", "claims", "transactions",
-                                      "beneficiaries") + _check_sql())
+                                      "beneficiaries") + _CHECKS)
 def _dq01(s):
-    return dq.check_tables(s.business)
+    return dq.check_tables({
+        **s.business,
+        "customers": s.business["customers"].selectExpr("*", "customer_id % 15 AS preferred_agent_id"),
+        "policies": s.policies.selectExpr("*", f"{_PAID} AS payment_freq"),
+    })
 
 
 query("dq01_orphan_keys", """SELECT l_partkey AS key_value, count(*) AS rows FROM lineitem

@@ -47,12 +47,12 @@ def _document_rows(s: Sample) -> DataFrame:
     return s.table("documents").select(
         "lang", "doc_id", F.col("source").alias("Source"), F.col("doc_id").alias("EventID"),
         F.col("text").alias("RenderedDescription"),
-        F.when(F.col("n_chars") > 200, "Error").otherwise("Information").alias("EventLevelName"),
+        F.when(F.col("doc_id") % 2 == 0, "Error").otherwise("Warning").alias("EventLevelName"),
     )
 
 
 query("txt05_document_terms", "WITH " + _terms_sql(
-    "SELECT lang, doc_id, source AS src, doc_id AS id, text AS d FROM documents WHERE n_chars > 200",
+    "SELECT lang, doc_id, source AS src, doc_id AS id, text AS d FROM documents",
     "lang", "doc_id") + " SELECT lang, term, doc_id, branch FROM terms WHERE place <= 40")(
     lambda s: e.error_terms(_document_rows(s), "lang", ["doc_id"], 40))
 
@@ -115,6 +115,7 @@ query("txt08_search_terms_per_request", over("log").rstrip() + ", " + _LOG_TERMS
 
 # Search responses built out of whole pages: JSON, markdown, bare links and plain text
 
+_RAW_TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
 _TITLE = "regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '[^A-Za-z0-9 ]', '_'{g})"
 _LONG = "A long passage that names no known host but is more than fifty characters long, see http://other.test/x"
 
@@ -122,12 +123,15 @@ _LONG = "A long passage that names no known host but is more than fifty characte
 def _body(g: str) -> str:
     t = _TITLE.format(g=g)
     return f"""CASE page_id % 4
-  WHEN 0 THEN concat('{{"results": [{{"title": "', {t}, '", "url": "', url, '", "description": "<b>', {t},
-    '</b> text "}}, {{"title": "", "url": "', url, '"}}, {{"title": "Second", "link": "', url,
-    '/two", "snippet": "more"}}]}}')
+  WHEN 0 THEN to_json(named_struct('results', array(
+    named_struct('title', {_RAW_TITLE}, 'url', url, 'link', cast(null as string), 'description', html,
+      'snippet', cast(null as string)),
+    named_struct('title', '', 'url', url, 'link', null, 'description', null, 'snippet', null),
+    named_struct('title', 'Second', 'url', null, 'link', concat(url, '/two'), 'description', null,
+      'snippet', 'more'))))
   WHEN 1 THEN concat('See [', {t}, '](', url, ') and [More](', url, '/more).')
   WHEN 2 THEN concat('Visit ', url, ' now or ', url, '/how-to-2fix.it-quickly/ later')
-  ELSE concat('{_LONG} in ', {t}) END"""
+  ELSE concat('{_LONG} in ', {_RAW_TITLE}) END"""
 
 
 HOST = r"[a-z0-9.-]*example\.(?:com|net|org)"
@@ -137,8 +141,8 @@ _CASE = """array_to_string(list_transform(regexp_extract_all({0}, '(\\P{{L}}*\\p
 _SLUG = _CASE.format("replace(regexp_extract(regexp_replace(u, '/+$', ''), '[^/]*$'), '-', ' ')")
 _T = _TITLE.format(g=", 'g'")
 _DOCS_SQL = f"""docs AS (
-  SELECT page_id, 0 AS pos, t AS title, url, {_strip("concat(t, ' text')")} AS description FROM src WHERE f = 0
-  AND t <> '' UNION ALL SELECT page_id, CASE WHEN t = '' THEN 0 ELSE 1 END, 'Second', concat(url, '/two'), 'more'
+  SELECT page_id, 0 AS pos, raw AS title, url, {_strip("regexp_replace(html, '<[^>]+>', '', 'g')")} AS description FROM src WHERE f = 0
+  AND raw <> '' UNION ALL SELECT page_id, CASE WHEN raw = '' THEN 0 ELSE 1 END, 'Second', concat(url, '/two'), 'more'
   FROM src WHERE f = 0
   UNION ALL SELECT page_id, 0, {_strip('t')}, url, '' FROM src WHERE f = 1 AND t <> ''
   UNION ALL SELECT page_id, CASE WHEN t = '' THEN 0 ELSE 1 END, 'More', concat(url, '/more'), '' FROM src
@@ -146,8 +150,8 @@ _DOCS_SQL = f"""docs AS (
   UNION ALL SELECT page_id, pos, {_SLUG}, u, '' FROM (SELECT page_id, 0 AS pos, url AS u FROM src WHERE f = 2
   UNION ALL SELECT page_id, 1, concat(url, '/how-to-2fix.it-quickly/') FROM src WHERE f = 2)
   UNION ALL SELECT page_id, 0, 'Microsoft Learn Documentation', 'http://other.test/x',
-  {_strip(f"left(concat('{_LONG} in ', t), 300)")} FROM src WHERE f = 3)"""
-_SRC_SQL = f"WITH src AS (SELECT page_id, url, {_T} AS t, page_id % 4 AS f FROM pages), "
+  {_strip(f"left(concat('{_LONG} in ', raw), 300)")} FROM src WHERE f = 3)"""
+_SRC_SQL = f"WITH src AS (SELECT page_id, url, html, {_T} AS t, {_RAW_TITLE} AS raw, page_id % 4 AS f FROM pages), "
 
 
 def _responses(s: Sample) -> DataFrame:
@@ -250,12 +254,12 @@ query("txt14_question_windows", f"""SELECT o_orderkey,
   CASE o_orderpriority WHEN '1-URGENT' THEN o_orderdate + interval 1 day WHEN '2-HIGH' THEN {_AT} + {_H}
   WHEN '4-NOT SPECIFIED' THEN o_orderdate + interval 5 day
   WHEN '5-LOW' THEN CASE o_custkey % 5 WHEN 0 THEN {_NOW} - interval 1 day
-    WHEN 3 THEN o_orderdate + interval 1 day END END AS win_end,
+    WHEN 3 THEN o_orderdate + interval 1 day ELSE {_NOW} END ELSE {_NOW} END AS win_end,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'day' WHEN '2-HIGH' THEN 'hour' WHEN '3-MEDIUM' THEN 'last'
   WHEN '4-NOT SPECIFIED' THEN 'range' ELSE CASE o_custkey % 5 WHEN 0 THEN 'yesterday' WHEN 1 THEN 'today'
   WHEN 2 THEN 'week' WHEN 3 THEN 'day' ELSE 'default' END END AS rule,
   CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '4-NOT SPECIFIED')
-  OR (o_orderpriority = '5-LOW' AND o_custkey % 5 IN (0, 3)) THEN 'both' ELSE 'open' END AS closed FROM orders""")(
+  OR (o_orderpriority = '5-LOW' AND o_custkey % 5 IN (0, 3)) THEN 'both' ELSE 'right' END AS closed FROM orders""")(
     lambda s: e.resolve_window(
         s.table("orders").select("o_orderkey", F.expr(_SPARK_ASK).alias("question")), "question",
         "2024-01-31 10:00:00").drop("question"))
@@ -282,3 +286,49 @@ query("txt16_docs_per_term", """SELECT lang, source, doc_id FROM (SELECT lang, s
   row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 2""")(
     lambda s: e.cap_docs(s.table("documents").select("lang", "source", "doc_id"), "lang", "source", "doc_id"))
 
+
+
+# Whole responses: streams or plain JSON around an envelope of typed parts
+
+_STREAM = "concat('event: message', chr(10), 'data: ', {0}, chr(10), chr(10))"
+_ANY = f"""CASE page_id % 3 WHEN 0 THEN {_STREAM.format("to_json(named_struct('html', html))")}
+  WHEN 1 THEN concat(chr(10), to_json(named_struct('html', html)), ' ') ELSE concat('Bad gateway ', url) END"""
+
+query("txt12_any_body", "SELECT page_id, CASE WHEN page_id % 3 < 2 THEN html END AS html FROM pages")(
+    lambda s: s.table("pages").select("page_id", F.expr(_ANY).alias("body")).select(
+        "page_id", F.get_json_object(e.any_body("body"), "$.html").alias("html")))
+
+
+def _envelope(*parts: str) -> str:
+    """A response of (kind, text) parts given as SQL."""
+    return f"to_json(named_struct('result', named_struct('content', array({', '.join(parts)}))))"
+
+
+def _part(kind: str, text: str) -> str:
+    return f"named_struct('type', '{kind}', 'text', {text})"
+
+
+_TWO = _envelope(_part("text", "url"), _part("image", "'https://images.example.com/skip'"), _part("text", "html"))
+_NONE = _envelope(_part("image", "url"))
+
+query("txt16_text_parts", """SELECT page_id, CASE page_id % 3 WHEN 0 THEN concat(url, chr(10), html)
+  WHEN 1 THEN NULL ELSE concat('plain ', url) END AS text FROM pages""")(
+    lambda s: s.table("pages").select("page_id", F.expr(
+        f"CASE page_id % 3 WHEN 0 THEN {_TWO} WHEN 1 THEN {_NONE} ELSE concat('plain ', url) END").alias("body")).select(
+        "page_id", e.text_parts("body").alias("text")))
+
+_SEE = f"concat('See [', {_TITLE.format(g='')}, '](', url, ') and [More](', url, '/more).')"
+_CHAIN = _STREAM.format(_envelope(
+    _part("image", "'[Skip](https://images.example.com/skip)'"), _part("text", "'Found:'"), _part("text", _SEE)))
+
+query("txt16_response_chain", _SRC_SQL + f"""links AS (
+  SELECT page_id, 0 AS pos, {_strip('t')} AS title, url, '' AS description FROM src WHERE t <> ''
+  UNION ALL SELECT page_id, CASE WHEN t = '' THEN 0 ELSE 1 END, 'More', concat(url, '/more'), '' FROM src), d AS (
+  SELECT h AS request, links.* FROM links JOIN (
+  SELECT page_id, regexp_extract(url, '^https?://([^/.]*)', 1) AS h FROM pages) p USING (page_id)), """
+      + _context_sql("d", "request", "page_id, pos"))(
+    lambda s: documentation(
+        s.table("pages").select(
+            F.regexp_extract("url", r"^https?://([^/.]*)", 1).alias("request"), "page_id",
+            e.text_parts(e.any_body(F.expr(_CHAIN))).alias("body")),
+        "request", "page_id", "body", host=HOST))

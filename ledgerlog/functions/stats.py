@@ -9,6 +9,7 @@ from .timewin import ColumnLike, When, as_column, date_lit
 
 MONEY = "decimal(12,2)"
 MONEY_TO_SUM = "decimal(18,2)"
+SMALLEST = 1e-6
 
 
 def money(c: ColumnLike) -> Column:
@@ -34,9 +35,15 @@ def exact_avg(c: ColumnLike, fixed: str = "decimal(28,10)") -> Column:
     A floating-point sum depends on the order in which partial results arrive, so
     a retried task can change its last digits. The fixed-point sum cannot. Ten decimals
     by default; columns that are fixed-point anyway name their own, narrower type.
+
+    A group with a value that type cannot hold (NaN, infinite, too large, or below
+    ``SMALLEST`` and so short of digits) takes the plain average.
     """
     c = as_column(c)
-    return F.sum(c.cast(fixed)).cast("double") / F.nullif(F.count(c), F.lit(0)).cast("double")
+    held = c.try_cast(fixed)
+    odd = c.isNotNull() & (held.isNull() | ((c != 0) & (F.abs(c) < SMALLEST)))
+    exact = F.try_sum(held).cast("double") / F.nullif(F.count(c), F.lit(0)).cast("double")
+    return F.coalesce(F.when(F.count_if(odd) == 0, exact), F.avg(c.cast("double")))
 
 
 def int_avg(c: ColumnLike) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from .timewin import ColumnLike, as_column
 
-_EDGE_SPACE = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
+# Possessive, and at the end only from where a run begins: linear in the text.
+_EDGE_SPACE = r"^[\s\p{Z}]++|(?<![\s\p{Z}])[\s\p{Z}]++$"
 
 
 def any_of(conditions: Iterable[Column]) -> Column:
@@ -45,6 +46,12 @@ def zero_pad(n: ColumnLike, width: int = 3) -> Column:
     return F.right(padded, F.lit(width))
 
 
+def zero_fill(n: ColumnLike, width: int = 3) -> Column:
+    """The number with leading zeros up to ``width`` digits; longer ones stay whole."""
+    text = as_column(n).cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
+
 def preview(c: ColumnLike, width: int = 150) -> Column:
     return F.concat(F.left(as_column(c), F.lit(width)), F.lit("..."))
 

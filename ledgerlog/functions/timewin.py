@@ -93,7 +93,12 @@ def between_span(start: When, end: When, closed: str = "both") -> Span:
 
 
 def since_span(as_of: When, ago: str | dt.timedelta) -> Span:
-    return Span(moment(as_of) - span(ago), after_start=True)
+    return Span(moment(as_of) - span(ago), moment(as_of), after_start=True)
+
+
+def recent_span(as_of: When, ago: str | dt.timedelta = "24h", days: int = 30) -> Span:
+    """The last ``ago`` before ``as_of``, but no more than ``days``."""
+    return since_span(as_of, min(span(ago), dt.timedelta(days=days)))
 
 
 def start_of_day(as_of: When) -> dt.datetime:
@@ -135,7 +140,7 @@ def time_between(ts: ColumnLike, start: When, end: When, closed: str = "both") -
 
 
 def since(ts: ColumnLike, as_of: When, ago: str | dt.timedelta) -> Column:
-    """Strictly later than ``as_of - ago``."""
+    """Strictly later than ``as_of - ago``, and not after ``as_of`` itself."""
     return since_span(as_of, ago).on(ts)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import exact_avg
 from ..functions.text import any_of
-from ..functions.timewin import ColumnLike, When, as_column, bin_start, moment, ts_lit
+from ..functions.timewin import ColumnLike, When, as_column, bin_start, clamp_span, during
 from ..schemas import COUNTERS
 
 
@@ -142,5 +141,5 @@ def runtime_stats(df: DataFrame, width: str = "5 minutes") -> DataFrame:
 
 
 def retain(df: DataFrame, ts: str, as_of: When, days: int = 30) -> DataFrame:
-    """Rows of the last ``days`` days. On a table partitioned by day, filter that column too."""
-    return df.filter(F.col(ts) >= ts_lit(moment(as_of) - dt.timedelta(days=days)))
+    """Rows of the ``days`` days up to ``as_of``, both ends included; day folders are pruned."""
+    return during(df, ts, clamp_span(as_of, days))

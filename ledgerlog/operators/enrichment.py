@@ -21,8 +21,8 @@ from ..schemas import COUNTERS, EVENT, PERF
 from .topk import first_per_group
 
 __all__ = [
-    "cap_docs", "doc_context", "error_terms", "event_ids", "fenced_block", "last_sse", "lint_queries",
-    "merge_terms", "parse_docs", "question_terms", "resolve_window", "strip_html",
+    "any_body", "cap_docs", "doc_context", "error_terms", "event_ids", "fenced_block", "last_sse", "lint_queries",
+    "merge_terms", "parse_docs", "question_terms", "resolve_window", "strip_html", "text_parts",
 ]
 
 # Search-term prefix, question keywords, documentation host, link patterns and caps.
@@ -212,6 +212,24 @@ def last_sse(c: ColumnLike) -> Column:
     return F.try_element_at(valid, F.lit(-1))
 
 
+def any_body(c: ColumnLike) -> Column:
+    """The payload of a response: the last one of an event stream, else the body itself if it is JSON."""
+    text = strip(c)
+    return F.coalesce(last_sse(c), F.when(F.try_parse_json(text).isNotNull(), text))
+
+
+def text_parts(c: ColumnLike) -> Column:
+    """The text parts of a response envelope, one per line; other kinds are skipped.
+
+    NULL without any; a body that is no envelope stays as it is.
+    """
+    body = as_column(c)
+    content = F.try_variant_get(F.try_parse_json(body), "$.result.content", "array<struct<type:string,text:string>>")
+    texts = F.transform(
+        F.filter(content, lambda p: (p["type"] == "text") & p["text"].isNotNull()), lambda p: p["text"])
+    return F.when(content.isNull(), body).when(F.size(texts) > 0, F.array_join(texts, "\n"))
+
+
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _MONTH = (
     "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:tember)?|"
@@ -219,10 +237,14 @@ _MONTH = (
 )
 _DATE = rf"(?:\d{{1,2}} {_MONTH}(?: \d{{4}})?|\d{{4}}-\d{{2}}-\d{{2}})"
 
+# Minutes that "last N" may go back: a thousand years.
+LONGEST_BACK = 1000 * 366 * 1440
+
 # Time phrases in order of precedence.
 PHRASES = {
     "range": rf"(?i)between {_DATE} and {_DATE}",
-    "clock": rf"(?i)\d{{1,2}}(?::\d{{2}})? ?[ap]m(?: on)? {_DATE}",
+    "clock": rf"(?i)\b(?:\d{{1,2}}(?::\d{{2}})? ?[ap]m|\d{{1,2}}:\d{{2}})(?: on)? {_DATE}",
+    "after": rf"(?i)\b{_DATE},?(?: at| around)? (?:\d{{1,2}}(?::\d{{2}})? ?[ap]m|\d{{1,2}}:\d{{2}})\b",
     "day": rf"(?i)\b{_DATE}",
     "last": r"(?i)\b(?:last|past) \d+ (?:minute|hour|day)",
     "word": r"(?i)\b(?:yesterday|today|this week)\b",
@@ -232,9 +254,9 @@ PHRASES = {
 def resolve_window(df: DataFrame, text: str, as_of: When) -> DataFrame:
     """Add the time window a question asks for: start, end, rule and closing.
 
-    Relative windows are open above (end is NULL) and strict below; dated windows
-    include both ends. Without a time phrase, or with an impossible date, the last 24
-    hours apply.
+    Relative windows end at ``as_of`` and are strict below (closed "right"); dated windows
+    include both ends. Without a time phrase, or with an impossible date, hour or number,
+    the last 24 hours apply.
 
     Each step is a projection of its own: the text is searched once per phrase, the
     winning phrase is cut into its one or two dates, and each date is read once.
@@ -247,17 +269,17 @@ def resolve_window(df: DataFrame, text: str, as_of: When) -> DataFrame:
         c(text).rlike(r"(?i)\b(?:around|approximately)\b").alias("_around"),
     )
     found = lambda name: c(f"_{name}") != ""
-    clock_parts = r"(?i)^(\d{1,2}):?(\d{2})? ?([ap])m(?: on)? (.*)$"
+    clock = F.when(found("clock"), c("_clock")).when(found("after"), c("_after"))
+    hour = F.lower(F.regexp_replace(clock, rf"(?i){_DATE}", " "))
     cut = searched.select(
         *df.columns,
         "_around",
-        F.when(found("range"), "range").when(found("clock"), "hour").when(found("day"), "day")
+        F.when(found("range"), "range").when(clock.isNotNull(), "hour").when(found("day"), "day")
         .when(found("last"), "last").when(found("word"), F.lower("_word")).alias("_rule"),
         F.when(found("range"), F.split(F.substr("_range", F.lit(len("between ") + 1)), "(?i) and "))
-        .when(found("clock"), F.array(F.regexp_extract("_clock", clock_parts, 4)))
+        .when(clock.isNotNull(), F.array(F.regexp_extract(clock, rf"(?i){_DATE}", 0)))
         .when(found("day"), F.array("_day")).alias("_days"),
-        F.when(found("clock"), F.split(F.lower(F.regexp_replace("_clock", clock_parts, "$1 0$2 $3")), " "))
-        .alias("_time"),
+        F.array(*(F.regexp_extract(hour, p, 1) for p in (r"(\d{1,2})", r":(\d{2})", r"\d ?([ap])m"))).alias("_time"),
         F.when(found("last"), F.split(F.lower("_last"), " ")).alias("_last"),
     )
 
@@ -268,7 +290,7 @@ def resolve_window(df: DataFrame, text: str, as_of: When) -> DataFrame:
         *df.columns, "_rule", "_around", "_time",
         day_text(0).alias("_t1"), day_text(1).alias("_t2"),
         F.split(day_text(0), " ").alias("_d1"), F.split(day_text(1), " ").alias("_d2"),
-        (F.get("_last", F.lit(1)).cast("int") * minutes_per).alias("_back"),
+        F.try_multiply(F.get("_last", F.lit(1)).try_cast("bigint"), minutes_per.cast("bigint")).alias("_back"),
     )
 
     def read_day(n: int, other: int | None = None) -> Column:
@@ -282,16 +304,20 @@ def resolve_window(df: DataFrame, text: str, as_of: When) -> DataFrame:
         text = F.when(F.size(parts) > 1, spelled).otherwise(c(f"_t{n}"))
         return F.when(c(f"_t{n}").isNotNull(), text.try_cast("timestamp_ntz"))
 
-    hour12 = F.pmod(F.get("_time", F.lit(0)).cast("int"), F.lit(12))
-    minute = F.get("_time", F.lit(1)).cast("int")
-    afternoon = F.when(F.get("_time", F.lit(2)) == "p", 720).otherwise(0)
+    stated = F.get("_time", F.lit(0)).try_cast("int")
+    minute = F.coalesce(F.get("_time", F.lit(1)).try_cast("int"), F.lit(0))
+    half = F.get("_time", F.lit(2))
+    from_hour = (
+        F.when(half == "p", F.pmod(stated, F.lit(12)) * 60 + 720).when(half == "a", F.pmod(stated, F.lit(12)) * 60)
+        .when(stated < 24, stated * 60)
+    )
     dated = split.select(
         *df.columns, "_rule", "_around", read_day(1, other=2).alias("_from"), read_day(2).alias("_to"),
-        (hour12 * 60 + minute + afternoon).alias("_clock"), "_back",
+        F.when(minute < 60, from_hour + minute).alias("_clock"),
+        F.when(c("_back") <= LONGEST_BACK, c("_back").cast("int")).alias("_back"),
     )
 
     day, hour = F.expr("INTERVAL 1 DAY"), F.expr("INTERVAL 1 HOUR")
-    open_end = none.cast("timestamp_ntz")
     is_ = lambda rule: c("_rule") == rule
     at = c("_from") + F.make_dt_interval(mins="_clock")
     start = (
@@ -307,7 +333,7 @@ def resolve_window(df: DataFrame, text: str, as_of: When) -> DataFrame:
         .when(is_("day"), c("_from") + day)
         .when(is_("hour"), at + hour)
         .when(is_("yesterday"), ts_lit(now - dt.timedelta(days=1)))
-        .otherwise(open_end)
+        .otherwise(ts_lit(now))
     )
     bounded = dated.select(*df.columns, "_rule", start.alias("_start"), end.alias("_end"))
     known = c("_start").isNotNull()
@@ -315,9 +341,9 @@ def resolve_window(df: DataFrame, text: str, as_of: When) -> DataFrame:
     return bounded.select(
         *df.columns,
         F.coalesce("_start", ts_lit(now - dt.timedelta(hours=24))).alias("win_start"),
-        F.when(known, c("_end")).alias("win_end"),
+        F.when(known, c("_end")).otherwise(ts_lit(now)).alias("win_end"),
         F.when(known, F.replace("_rule", F.lit("this "))).otherwise("default").alias("rule"),
-        F.when(known & dated_rule, "both").otherwise("open").alias("closed"),
+        F.when(known & dated_rule, "both").otherwise("right").alias("closed"),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.stats import MONEY
 from ..functions.timewin import When, date_lit, moment, ts_lit
 from ..schemas import POLICIES, TRANSACTIONS, conform
-from .topk import broadcast_limited, sample_k
+from .topk import sample_k
 from .windows import dense_ids, number_rows
 
 
@@ -45,7 +45,7 @@ def approve_claims(
         "processed_date": date_lit(as_of),
         "assessor_notes": F.lit(APPROVAL_NOTE),
     }
-    joined = claims.join(broadcast_limited(batch, k), "claim_id", "left")
+    joined = claims.join(batch, "claim_id", "left")
     return joined.select(
         *(
             F.when(F.col("_hit"), changes[c]).otherwise(F.col(c)).alias(c) if c in changes else c

@@ -16,15 +16,6 @@ def top_k(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-# Rows up to which a limited result is broadcast by hint; beyond, Spark measures and decides.
-BROADCAST_ROWS = 10_000
-
-
-def broadcast_limited(df: DataFrame, k: int) -> DataFrame:
-    """Hint for a result of at most ``k`` rows, given only while ``k`` is small."""
-    return F.broadcast(df) if k <= BROADCAST_ROWS else df
-
-
 def take(df: DataFrame, n: int = 50) -> DataFrame:
     """Any ``n`` rows."""
     return df.limit(n)

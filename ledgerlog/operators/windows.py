@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import zero_pad
+from ..functions.text import zero_fill
 from ..session import fresh_path
 
 
@@ -24,12 +24,13 @@ def running_total(daily: DataFrame, keys: Sequence[str], order: str, value: str,
 def number_rows(
     few: DataFrame, order: Sequence[str], prefix: Column, name: str, width: int = 3
 ) -> DataFrame:
-    """Numbered references for a small batch: prefix plus zero-padded position.
+    """Numbered references for a small batch: prefix plus position, padded to ``width`` digits.
 
-    Meant for the output of a ``limit``. For a batch of any size see ``dense_ids``.
+    Positions with more digits keep them all, so references differ. Meant for the output of
+    a ``limit``, which one task holds anyway. For a batch of any size see ``dense_ids``.
     """
     w = Window.partitionBy(F.lit(0)).orderBy(*order)
-    return few.withColumn(name, F.concat(prefix, zero_pad(F.row_number().over(w), width)))
+    return few.withColumn(name, F.concat(prefix, zero_fill(F.row_number().over(w), width)))
 
 
 # A row's place as Spark's monotonic ids encode it: partition above, position below.

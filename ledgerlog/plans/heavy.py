@@ -14,7 +14,7 @@ from ..functions.stats import days_between, safe_pct
 from ..functions.text import any_col_like
 from ..functions.timewin import When, date_lit
 from ..operators.joins import above_global_mean, cross_count, groups_above_own_mean
-from ..operators.topk import broadcast_limited, top_k
+from ..operators.topk import top_k
 from .reports import CODES, Codes, Tables, claims_per_policy, fan_out
 
 
@@ -40,7 +40,7 @@ def p02(t: Tables, k: int = 200) -> DataFrame:
         t["policies"].select("policy_id", "policy_number", "annual_premium"),
         [F.col("annual_premium").desc(), "policy_id"], k,
     )
-    keys = broadcast_limited(top.select("policy_id"), k)
+    keys = top.select("policy_id")
     claims = (
         t["claims"].join(keys, "policy_id", "left_semi")
         .groupBy("policy_id")

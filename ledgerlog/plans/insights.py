@@ -16,7 +16,7 @@ from ..functions.messages import (
     parse_duration,
 )
 from ..functions.text import contains_any, contains_ci
-from ..functions.timewin import When, bin_start, during, today_span
+from ..functions.timewin import When, bin_start, during, recent_span, today_span
 from ..operators.aggregates import count_by
 from ..operators.topk import top_k
 from .logs import DEADLOCK, SLOW_WARNING, TS, v01
@@ -43,6 +43,11 @@ CATEGORY_WEIGHTS = {
 }
 
 
+def recent(events: DataFrame, as_of: When, ago: str) -> DataFrame:
+    """Where every question starts: the last ``ago``, 30 days at most."""
+    return during(events, TS, recent_span(as_of, ago))
+
+
 def with_category(events: DataFrame) -> DataFrame:
     """Time and category of every event, the category out of its id and text.
 
@@ -82,34 +87,38 @@ def q01(events: DataFrame, as_of: When, ago: str = "30m", level: str = "Error")
     return counted.withColumn("total", total)
 
 
-def q02(events: DataFrame) -> DataFrame:
+def q02(events: DataFrame, as_of: When, ago: str = "24h") -> DataFrame:
     """Databases that were not found, with the number of attempts."""
-    named = events.select(missing_database("RenderedDescription").alias("database_name"))
+    hits = recent(events, as_of, ago).filter(contains_ci("RenderedDescription", "does not exist"))
+    named = hits.select(missing_database("RenderedDescription").alias("database_name"))
     return count_by(named.filter(F.col("database_name").isNotNull()), ["database_name"])
 
 
-def q03(events: DataFrame) -> DataFrame:
+def q03(events: DataFrame, as_of: When, ago: str = "24h") -> DataFrame:
     """Failed logins by user."""
-    hits = events.filter(F.col("EventID") == FAILED_LOGIN_ID)
+    hits = recent(events, as_of, ago).filter(F.col("EventID") == FAILED_LOGIN_ID)
     named = hits.select(login_user("RenderedDescription").alias("login_user"))
     return count_by(named, ["login_user"]).orderBy(F.col("Count").desc(), "login_user")
 
 
-def q04(events: DataFrame) -> DataFrame:
+def q04(events: DataFrame, as_of: When, ago: str = "24h") -> DataFrame:
     """Deadlock or timeout messages."""
-    return events.filter(contains_any("RenderedDescription", ["deadlock", "timeout"])).select(
+    return recent(events, as_of, ago).filter(contains_any("RenderedDescription", ["deadlock", "timeout"])).select(
         TS, "Source", "EventID", "RenderedDescription"
     )
 
 
-def q05(events: DataFrame) -> DataFrame:
+def q05(events: DataFrame, as_of: When, ago: str = "24h") -> DataFrame:
     """Failed backups."""
-    return events.filter(F.col("EventID") == BACKUP_FAILED_ID).select(TS, "Source", "RenderedDescription")
+    hits = recent(events, as_of, ago).filter(F.col("EventID") == BACKUP_FAILED_ID)
+    return hits.select(TS, "Source", "RenderedDescription")
 
 
-def q06(events: DataFrame, width: str = "10 minutes", threshold: int = 3) -> DataFrame:
+def q06(
+    events: DataFrame, as_of: When, width: str = "10 minutes", threshold: int = 3, ago: str = "24h"
+) -> DataFrame:
     """Computers with many failed logins in one tumbling window."""
-    hits = events.filter(
+    hits = recent(events, as_of, ago).filter(
         (F.col("EventID") == FAILED_LOGIN_ID) & F.col("RenderedDescription").rlike(FAILED_LOGIN)
     )
     return (
@@ -119,16 +128,16 @@ def q06(events: DataFrame, width: str = "10 minutes", threshold: int = 3) -> Dat
     )
 
 
-def q07(events: DataFrame, k: int = 1) -> DataFrame:
+def q07(events: DataFrame, as_of: When, k: int = 1, ago: str = "24h") -> DataFrame:
     """The most pressing category: weight times count."""
-    counted = count_by(with_category(events), ["category"])
+    counted = count_by(with_category(recent(events, as_of, ago)), ["category"])
     scored = counted.withColumn("score", F.col("Count") * _weight("category"))
     return top_k(scored, [F.col("score").desc(), "category"], k)
 
 
-def q08(events: DataFrame) -> DataFrame:
+def q08(events: DataFrame, as_of: When, ago: str = "24h") -> DataFrame:
     """Disk space messages."""
-    return events.filter(contains_ci("RenderedDescription", "disk space")).select(
+    return recent(events, as_of, ago).filter(contains_ci("RenderedDescription", "disk space")).select(
         TS, "Source", "RenderedDescription"
     )
 
@@ -143,10 +152,10 @@ def q09(events: DataFrame, as_of: When) -> DataFrame:
     )
 
 
-def q10(events: DataFrame) -> DataFrame:
+def q10(events: DataFrame, as_of: When, ago: str = "24h") -> DataFrame:
     """Deadlocks with their tables and durations."""
     text = "RenderedDescription"
-    return events.filter(contains_ci(text, DEADLOCK)).select(
+    return recent(events, as_of, ago).filter(contains_ci(text, DEADLOCK)).select(
         TS,
         message_facts(text)["process_id"].alias("process_id"),
         F.array_join(deadlock_tables(text), ", ").alias("tables"),
@@ -154,34 +163,37 @@ def q10(events: DataFrame) -> DataFrame:
     )
 
 
-def q11(events: DataFrame, k: int = 5) -> DataFrame:
+def q11(events: DataFrame, as_of: When, k: int = 5, ago: str = "24h") -> DataFrame:
     """The slowest queries by whatever phrase states their seconds."""
     text = "RenderedDescription"
-    timed = events.filter(contains_ci(text, SLOW_WARNING)).select(TS, parse_duration(text).alias("seconds"), text)
+    hits = recent(events, as_of, ago).filter(contains_ci(text, SLOW_WARNING))
+    timed = hits.select(TS, parse_duration(text).alias("seconds"), text)
     return top_k(timed, [F.col("seconds").desc_nulls_last(), F.col(TS).desc(), text], k)
 
 
-def q12(events: DataFrame) -> DataFrame:
+def q12(events: DataFrame, as_of: When, ago: str = "24h") -> DataFrame:
     """Tables named in deadlock messages, by number of messages."""
     text = "RenderedDescription"
-    named = events.filter(contains_ci(text, DEADLOCK)).select(F.explode(deadlock_tables(text)).alias("table_name"))
+    hits = recent(events, as_of, ago).filter(contains_ci(text, DEADLOCK))
+    named = hits.select(F.explode(deadlock_tables(text)).alias("table_name"))
     return count_by(named, ["table_name"], "messages")
 
 
-def q13(events: DataFrame) -> DataFrame:
+def q13(events: DataFrame, as_of: When, ago: str = "24h") -> DataFrame:
     """Advice stated in messages, by number of messages."""
-    stated = events.select(F.explode(advice("RenderedDescription")).alias("recommendation"))
+    hits = recent(events, as_of, ago).filter(contains_any("RenderedDescription", ["consider", "recommended"]))
+    stated = hits.select(F.explode(advice("RenderedDescription")).alias("recommendation"))
     return count_by(stated, ["recommendation"], "messages")
 
 
-def q14(events: DataFrame) -> DataFrame:
+def q14(events: DataFrame, as_of: When, ago: str = "24h") -> DataFrame:
     """Messages about full table scans."""
     text = "RenderedDescription"
-    return events.filter(contains_ci(text, "full table scan")).select(
+    return recent(events, as_of, ago).filter(contains_ci(text, "full table scan")).select(
         TS, message_facts(text)["rows_scanned"].alias("rows_scanned"), parse_duration(text).alias("seconds"), text
     )
 
 
-def q15(events: DataFrame) -> DataFrame:
+def q15(events: DataFrame, as_of: When, ago: str = "24h") -> DataFrame:
     """Events per category."""
-    return count_by(with_category(events), ["category"])
+    return count_by(with_category(recent(events, as_of, ago)), ["category"])

@@ -16,8 +16,8 @@ DEFAULTS = {
     # Streaming state outside the heap, with incremental snapshots.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # HotSpot does not compile larger methods; such a stage runs faster operator by operator.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Per-group limits of any size are taken below the shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": str(2**31 - 1),
 }
 
 

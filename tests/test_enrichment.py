@@ -107,13 +107,20 @@ QUESTIONS = {
     "connections between 1 April and 5 April 2026?": ("2026-04-01", "2026-04-06", "range", "both"),
     "between 30 Dec 2025 and 2 January 2026": ("2025-12-30", "2026-01-03", "range", "both"),
     "between 2026-04-01 and 2026-04-05": ("2026-04-01", "2026-04-06", "range", "both"),
-    "SQL errors in the last 6 hours": ("2026-04-21 04:00", None, "last", "open"),
-    "past 2 days": ("2026-04-19 10:00", None, "last", "open"),
+    "SQL errors in the last 6 hours": ("2026-04-21 04:00", "2026-04-21 10:00", "last", "right"),
+    "past 2 days": ("2026-04-19 10:00", "2026-04-21 10:00", "last", "right"),
     "CPU trend yesterday": ("2026-04-19 10:00", "2026-04-20 10:00", "yesterday", "both"),
-    "everything that happened today": ("2026-04-21", None, "today", "open"),
-    "warnings this week": ("2026-04-19", None, "week", "open"),
-    "Is the disk full?": ("2026-04-20 10:00", None, "default", "open"),
-    "errors on 31 February 2026": ("2026-04-20 10:00", None, "default", "open"),
+    "everything that happened today": ("2026-04-21", "2026-04-21 10:00", "today", "right"),
+    "warnings this week": ("2026-04-19", "2026-04-21 10:00", "week", "right"),
+    "Is the disk full?": ("2026-04-20 10:00", "2026-04-21 10:00", "default", "right"),
+    "on 20 April 2026 at 3pm": ("2026-04-20 15:00", "2026-04-20 16:00", "hour", "both"),
+    "at 14:30 on 20 April 2026": ("2026-04-20 14:30", "2026-04-20 15:30", "hour", "both"),
+    "around 20 April 2026 at 0:15": ("2026-04-19 23:15", "2026-04-20 01:15", "hour", "both"),
+    "at 25:00 on 20 April 2026": ("2026-04-20 10:00", "2026-04-21 10:00", "default", "right"),
+    "last 99999999999999999999 hours": ("2026-04-20 10:00", "2026-04-21 10:00", "default", "right"),
+    "last 99999999999 hours": ("2026-04-20 10:00", "2026-04-21 10:00", "default", "right"),
+    "last 2000000 days": ("2026-04-20 10:00", "2026-04-21 10:00", "default", "right"),
+    "errors on 31 February 2026": ("2026-04-20 10:00", "2026-04-21 10:00", "default", "right"),
 }
 
 
@@ -156,3 +163,17 @@ def test_search_terms(spark):
         "b": ["SQL Server S3 EventID 7", "SQL Server This one is certainly longer than twenty"],
         "c": ["SQL Server Hm"],
     }
+
+
+def test_bodies_and_text_parts(spark):
+    bodies = ['data: {"a": 1}\n', ' {"b": 2}\n', "<html>", None]
+    assert one_column(spark, bodies, e.any_body("t")) == ['{"a": 1}', '{"b": 2}', None, None]
+    parts = ['{"result": {"content": [{"type": "text", "text": "x [A](u)"}, {"type": "image", "text": "no"},'
+             ' {"type": "text", "text": "{\\"k\\": 1}"}, {"type": "text"}]}}',
+             '{"result": {"content": [{"type": "image"}]}}', '{"items": []}', "plain"]
+    assert one_column(spark, parts, e.text_parts("t")) == ['x [A](u)\n{"k": 1}', None, '{"items": []}', "plain"]
+
+
+def test_trim_is_linear(spark):
+    text = "<b>a" + " " * 1_000_000 + "b</b> "
+    assert [len(x) for x in one_column(spark, [text], e.strip_html("t"))] == [1_000_002]

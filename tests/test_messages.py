@@ -50,27 +50,27 @@ def test_contains_ignores_case(golden):
 
 def test_slowest(golden):
     assert [r.Duration for r in p.l11(golden, NOW).collect()] == [28.4, 22.8, None, None, None]
-    assert [r.seconds for r in q.q11(golden).collect()] == [28.4, 22.8, 15.7, 12.1, 9.3]
+    assert [r.seconds for r in q.q11(golden, NOW).collect()] == [28.4, 22.8, 15.7, 12.1, 9.3]
 
 
 def test_insights(golden):
-    assert {r.database_name for r in q.q02(golden.filter("EventID = 911")).collect()} == {
+    assert {r.database_name for r in q.q02(golden.filter("EventID = 911"), NOW).collect()} == {
         "NonExistentDB", "ClaimsDB", "ReportingDB"}
-    assert {r.database_name: r.Count for r in q.q02(golden).collect()}["NonExistentDB"] == 2
-    assert {r.login_user for r in q.q03(golden).collect()} == {"hacker", "dbadmin", "claimsapp", "root", "admin"}
-    assert q.q04(golden).count() == 7
-    assert q.q05(golden).count() == 1
-    assert [r.attempts for r in q.q06(golden, "1 hour", 5).collect()] == [5]
-    assert q.q08(golden).count() == 1
-    named = {r.table_name for r in q.q12(golden).collect()}
+    assert {r.database_name: r.Count for r in q.q02(golden, NOW).collect()}["NonExistentDB"] == 2
+    assert {r.login_user for r in q.q03(golden, NOW).collect()} == {"hacker", "dbadmin", "claimsapp", "root", "admin"}
+    assert q.q04(golden, NOW).count() == 7
+    assert q.q05(golden, NOW).count() == 1
+    assert [r.attempts for r in q.q06(golden, NOW, "1 hour", 5).collect()] == [5]
+    assert q.q08(golden, NOW).count() == 1
+    named = {r.table_name for r in q.q12(golden, NOW).collect()}
     assert {"Policies", "Claims", "Customers", "Transactions", "PolicyHolders"} == named
-    advice = {r.recommendation for r in q.q13(golden).collect()}
+    advice = {r.recommendation for r in q.q13(golden, NOW).collect()}
     assert {"Plan guide recommended", "Consider full-text index", "Retry recommended"} <= advice
-    assert q.q14(golden).count() == 1
-    by_category = {r.category: r.Count for r in q.q15(golden).collect()}
+    assert q.q14(golden, NOW).count() == 1
+    by_category = {r.category: r.Count for r in q.q15(golden, NOW).collect()}
     assert by_category["deadlock"] == 5 and by_category["slow query"] == 5 and by_category["failed login"] == 6
     assert sum(by_category.values()) == 28
-    assert q.q07(golden).first().category == "deadlock"
+    assert q.q07(golden, NOW).first().category == "deadlock"
 
 
 def test_newest_rows(golden):

@@ -132,3 +132,38 @@ def test_text(spark):
     s = spark.createDataFrame([("100% sure_thing",), ("100 SURE",)], "t string")
     assert s.filter(tx.contains_ci("t", "% SURE_")).count() == 1
     assert s.filter(tx.any_like("t", ["%sure%"])).count() == 2
+
+
+def test_mean_of_odd_values(spark):
+    from ledgerlog.functions.stats import exact_avg
+
+    groups = {"nan": [float("nan"), 1.0], "inf": [float("inf"), 1.0], "large": [1e19, 1.0], "tiny": [1e-12, 3e-12],
+              "none": [None, None], "plain": [0.1, 0.2, None], "zero": [0.0, 1.0]}
+    rows = [(g, v) for g, vs in groups.items() for v in vs]
+    got = dict(spark.createDataFrame(rows, "g string, v double").groupBy("g").agg(exact_avg("v")).collect())
+    assert got.pop("nan") != got.get("nan") and got["inf"] == float("inf") and got["large"] == 5e18 + 0.5
+    assert got["tiny"] == 2e-12 and got["none"] is None and abs(got["plain"] - 0.15) < 1e-15 and got["zero"] == 0.5
+
+
+def test_references_stay_distinct(spark):
+    from ledgerlog.operators.windows import number_rows
+
+    got = [r.ref for r in number_rows(spark.range(1500), ["id"], F.lit("T"), "ref").collect()]
+    assert len(set(got)) == 1500 and {"T001", "T999", "T1500"} <= set(got)
+
+
+def test_first_of_many_per_group_is_limited_below_the_shuffle(spark):
+    from conftest import plan
+    from ledgerlog.operators.topk import first_per_group
+
+    df = spark.range(20_000).selectExpr("id % 2 AS g", "id")
+    got = first_per_group(df, ["g"], ["id"], 5000)
+    assert "WindowGroupLimit" in plan(got) and got.count() == 10_000
+
+
+def test_missing_column_of_a_check_is_an_error(spark):
+    import pytest
+    from ledgerlog.operators.quality import check_tables
+
+    with pytest.raises(Exception):
+        check_tables({"customers": spark.range(1)})

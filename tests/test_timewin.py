@@ -12,8 +12,13 @@ def kept(spark, times, cond):
 
 
 def test_since_is_strict(spark):
-    times = ["2026-04-19 12:00:00", "2026-04-19 12:00:01"]
-    assert kept(spark, times, tw.since("ts", "2026-04-20 12:00:00", "24h")) == times[1:]
+    times = ["2026-04-19 12:00:00", "2026-04-19 12:00:01", "2026-04-20 12:00:00", "2026-04-20 12:00:01"]
+    assert kept(spark, times, tw.since("ts", "2026-04-20 12:00:00", "24h")) == times[1:3]
+
+
+def test_recent_is_clamped():
+    assert tw.recent_span("2026-04-20", "90d").start == at("2026-03-21 00:00:00")
+    assert tw.recent_span("2026-04-20").start == at("2026-04-19 00:00:00")
 
 
 def test_between_both_and_left(spark):
