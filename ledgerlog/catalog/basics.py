@@ -223,6 +223,14 @@ query("agg03_hourly_max_mean", f"""SELECT {_HOUR} AS ts, event_type, max(value)
 query("agg04_mean_by", f"SELECT event_type, user_id, {_avg('value')} AS mean FROM events GROUP BY 1, 2")(
     lambda s: ag.mean_by(_events(s), ["event_type", "user_id"], "value", "mean"))
 
+query("agg04_mean_with_nan", f"""SELECT event_type, bool_or(event_id % 97 = 0) AS odd,
+  CASE WHEN NOT bool_or(event_id % 97 = 0) THEN {_avg('value')} END AS mean, user_id FROM events
+  GROUP BY event_type, user_id""")(
+    lambda s: ag.mean_by(
+        _events(s).withColumn("value", F.expr("CASE WHEN event_id % 97 = 0 THEN double('NaN') ELSE value END")),
+        ["event_type", "user_id"], "value", "mean",
+    ).select("event_type", F.isnan("mean").alias("odd"), F.nanvl("mean", F.lit(None).cast("double")).alias("mean"), "user_id"))
+
 query("agg05_distinct_counts", """SELECT l_returnflag, count(DISTINCT l_orderkey) AS distinct_l_orderkey,
   count(DISTINCT l_partkey) AS distinct_l_partkey, count(DISTINCT l_suppkey) AS distinct_l_suppkey
   FROM lineitem GROUP BY 1""")(

@@ -82,11 +82,11 @@ _KIND = "CASE WHEN event_type IN ('error', 'view') THEN 'Event' ELSE 'Perf' END"
 
 @query("str05_two_table_routing", f"SELECT {_KIND} AS destination, event_id, event_type FROM events")
 def _str05(s):
-    sinks = {"Event": fresh_path(s.spark, "event"), "Perf": fresh_path(s.spark, "perf")}
+    sink = fresh_path(s.spark, "routed")
     mixed = _events(s).withColumn("kind", F.expr(_KIND))
-    _finish(jobs.start_routing(mixed, sinks, fresh_path(s.spark, "progress")))
+    _finish(jobs.start_routing(mixed, sink, fresh_path(s.spark, "progress"), ts="ts"))
     parts = [
-        s.spark.read.parquet(path).select(F.lit(name).alias("destination"), "event_id", "event_type")
-        for name, path in sinks.items()
+        jobs.routed(s.spark, sink, name).select(F.lit(name).alias("destination"), "event_id", "event_type")
+        for name in jobs.ROUTED
     ]
     return parts[0].unionByName(parts[1])

@@ -81,5 +81,10 @@ def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
 
 
 def first_seen(df: DataFrame, cols: Sequence[str], pos: Sequence[str]) -> DataFrame:
-    """Distinct rows over ``cols``, each with its first position."""
+    """Distinct rows over ``cols``, each with its first position.
+
+    A position of one column is compared as it is, which needs no sort before the shuffle.
+    """
+    if len(pos) == 1:
+        return df.groupBy(*cols).agg(F.min(pos[0]).alias("_first")).select(*cols, F.struct(F.col("_first").alias(pos[0])).alias("first_pos"))
     return df.groupBy(*cols).agg(F.min(F.struct(*pos)).alias("first_pos"))

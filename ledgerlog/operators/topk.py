@@ -37,9 +37,19 @@ def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 
 
+_SIDE_BITS = 40
+
+
 def union_first_seen(a: DataFrame, b: DataFrame, group: str, value: str, pos: str, cap: int) -> DataFrame:
-    """Values of ``a`` then of ``b``, each once at its first place, ``cap`` per group."""
+    """Values of ``a`` then of ``b``, each once at its first place, ``cap`` per group.
+
+    Places are not negative.
+    """
     both = a.withColumn("_side", F.lit(0)).unionByName(b.withColumn("_side", F.lit(1)))
-    seen = both.groupBy(group, value).agg(F.min(F.struct("_side", pos)).alias("_at"))
+    # side and position in one number: a hash aggregation, without a sort in front of it
+    at = F.shiftleft(F.col("_side").cast("bigint"), _SIDE_BITS) + F.col(pos)
+    seen = both.groupBy(group, value).agg(F.min(at).alias("_at"))
     kept = first_per_group(seen, [group], ["_at"], cap)
-    return kept.select(group, value, F.col("_at._side").alias("side"), F.col(f"_at.{pos}").alias(pos))
+    return kept.select(
+        group, value, F.shiftright("_at", _SIDE_BITS).cast("int").alias("side"),
+        F.col("_at").bitwiseAND(F.lit((1 << _SIDE_BITS) - 1)).cast("int").alias(pos))

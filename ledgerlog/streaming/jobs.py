@@ -15,28 +15,34 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.text import contains_any
-from ..operators.collection import EVENT_RULES, EventRule, collect_counters, collect_events, route
+from ..operators.collection import EVENT_RULES, EventRule, collect_counters, collect_events
 
 LATENESS = "15 minutes"
+#: Files a micro-batch takes at most, so that a backlog comes in bounded pieces.
+FILES_PER_TRIGGER = 1000
+#: The two tables a mixed feed goes to.
+ROUTED = ("Event", "Perf")
 ALERT_WORDS = ("SLOW QUERY WARNING", "DEADLOCK")
 
 
 def read_stream(
-    spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None,
+    spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = FILES_PER_TRIGGER,
     name_filter: str | None = None,
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
     return reader.parquet(path)
 
 
-def _start(df: DataFrame, sink: str, checkpoint: str, every: str | None) -> StreamingQuery:
-    return _trigger(
-        df.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint), every
-    ).start()
+def _start(df: DataFrame, sink: str, checkpoint: str, every: str | None, *folders: str) -> StreamingQuery:
+    writer = df.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
+    return _trigger(writer.partitionBy(*folders) if folders else writer, every).start()
+
+
+def _daily(df: DataFrame, ts: str = "TimeGenerated") -> DataFrame:
+    """With the day its folder is named after, which ``timewin.during`` prunes by."""
+    return df.withColumn("event_date", F.to_date(ts))
 
 
 def _trigger(writer, every: str | None):
@@ -48,13 +54,13 @@ def start_event_ingest(
     events: DataFrame, sink: str, checkpoint: str, rules: Sequence[EventRule] = EVENT_RULES,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Append the events the collection rules keep."""
-    return _start(collect_events(events, rules), sink, checkpoint, every)
+    """Append the events the collection rules keep, in one folder per day."""
+    return _start(_daily(collect_events(events, rules)), sink, checkpoint, every, "event_date")
 
 
 def start_perf_ingest(feed: DataFrame, sink: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Append the samples of listed counter paths, split into columns."""
-    return _start(collect_counters(feed), sink, checkpoint, every)
+    """Append the samples of listed counter paths, split into columns, in one folder per day."""
+    return _start(_daily(collect_counters(feed)), sink, checkpoint, every, "event_date")
 
 
 def windowed(
@@ -118,20 +124,22 @@ def append_batch(sink: str) -> Callable[[DataFrame, int], None]:
 
 
 def start_routing(
-    mixed: DataFrame, sinks: dict[str, str], checkpoint: str, kind: str = "kind", every: str | None = None
+    mixed: DataFrame, sink: str, checkpoint: str, kind: str = "kind", ts: str = "TimeGenerated",
+    kinds: Sequence[str] = ROUTED, every: str | None = None,
 ) -> StreamingQuery:
-    """Write a mixed feed to its two tables, each micro-batch once per table.
+    """Write a mixed feed in folders by destination and day, each micro-batch once.
 
-    The batch is kept between the two writes so the source is read once.
+    Rows of other kinds are not for either table. ``routed`` reads one destination back.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        kept = batch.persist()
-        try:
-            for name, rows in route(kept, kind).items():
-                append_batch(sinks[name])(rows, number)
-        finally:
-            kept.unpersist()
+        rows = _daily(batch.filter(F.col(kind).isin(*kinds)), ts)
+        rows.write.mode("overwrite").partitionBy(kind, "event_date").parquet(f"{sink}/batch={number}")
 
     writer = mixed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
+
+
+def routed(spark: SparkSession, sink: str, name: str, kind: str = "kind") -> DataFrame:
+    """The rows of one destination; other folders are not read."""
+    return spark.read.parquet(sink).filter(F.col(kind) == name).drop("batch", kind)

@@ -151,6 +151,19 @@ def test_redelivery_alerts_and_routing(spark):
     alarm = fresh_path(spark, "alarm")
     run(jobs.start_alerts(stream_of(spark, [rows], ddl), jobs.append_batch(alarm), fresh_path(spark, "cp")))
     assert sorted(r.id for r in spark.read.parquet(alarm).collect()) == [0, 3, 6]
-    sinks = {"Event": fresh_path(spark, "e"), "Perf": fresh_path(spark, "p")}
-    run(jobs.start_routing(stream_of(spark, [rows[:4], rows[4:]], ddl), sinks, fresh_path(spark, "cp")))
-    assert spark.read.parquet(sinks["Event"]).count() == 4 and spark.read.parquet(sinks["Perf"]).count() == 5
+    sink = fresh_path(spark, "routed")
+    run(jobs.start_routing(stream_of(spark, [rows[:4], rows[4:]], ddl), sink, fresh_path(spark, "cp"), ts="ts"))
+    assert jobs.routed(spark, sink, "Event").count() == 4 and jobs.routed(spark, sink, "Perf").count() == 5
+
+
+def test_ingested_events_are_pruned_by_day(spark, golden):
+    from conftest import NOW, plan
+    from ledgerlog.plans import logs
+
+    source = fresh_path(spark, "feed")
+    golden.write.parquet(source)
+    sink = fresh_path(spark, "ingest")
+    stream = jobs.read_stream(spark, source, spark.read.parquet(source).schema)
+    run(jobs.start_event_ingest(stream, sink, fresh_path(spark, "cp")))
+    found = logs.l10(spark.read.parquet(sink), NOW)
+    assert "PartitionFilters: [isnotnull(event_date" in plan(found) and found.count() == 5
