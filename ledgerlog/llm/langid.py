@@ -15,9 +15,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import hashed_sample
+
 UNDETERMINED = "und"
 SAMPLE = 500
 LONGEST = 4
@@ -132,9 +134,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"),
                        (F.lit(True) if usable is None else usable).alias("usable"))
     rows = rows.where("usable AND id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (rows.select("id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample)
-              .select("id").distinct())
+    chosen = hashed_sample(rows.select("id", "lang"), "lang", "id", sample).select("id").distinct()
     counts = (rows.join(chosen, "id", "left_semi").select("lang", "text")
               .mapInArrow(_counted, "lang string, n int, gram string, count bigint")
               .groupBy("lang", "n", "gram").agg(F.sum("count").alias("count"))

@@ -10,7 +10,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PIECE_BYTES = 2 << 20
@@ -61,6 +61,19 @@ def remainder(key: str | Column, divisor: int) -> Column:
     return F.crc32((F.col(key) if isinstance(key, str) else key).cast("string").cast("binary")) % divisor
 
 
+def hashed_sample(rows: DataFrame, group: str, key: str, n: int) -> DataFrame:
+    """At most ``n`` rows of each group: those whose keys have the smallest hashes.
+
+    Rows far beyond the n-th hash go before the ranking, so no task sees much more than
+    ``n`` rows of a group, however many tasks there are. ``group`` must have few values.
+    """
+    sizes = F.broadcast(rows.groupBy(group).agg(F.count("*").alias("_size")))  # one row per group
+    share = F.xxhash64(key) / F.lit(2.0**64) + 0.5
+    near = rows.join(sizes, group).where(share <= 4.0 * n / F.col("_size"))
+    order = Window.partitionBy(group).orderBy(F.xxhash64(key), key)
+    return near.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= n).drop("_place", "_size")
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches of about ``limit`` bytes of ``text``; a longer row is a batch by itself."""
     for batch in batches:

@@ -12,9 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import hashed_sample
+
 PER_LABEL = 3000
 LEAST_DOCS = 12
 LEAST_DEVIATION = 5.0
@@ -156,9 +158,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     known = (labels.where(F.lit(True) if usable is None else usable)
              .select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label"))
              .where("id IS NOT NULL AND label IN (0, 1)").groupBy("id").agg(F.max("label").alias("label")))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = (known.join(texts.select("id").distinct(), "id").withColumn("place", F.row_number().over(order))
-              .where(F.col("place") <= per_label).select("id", "label"))
+    chosen = hashed_sample(known.join(texts.select("id").distinct(), "id"), "label", "id", per_label)
     sample = texts.join(F.broadcast(chosen), "id").select("text", "label")  # at most 2 * per_label rows
     counts = (sample.mapInArrow(_seen, "feature string, clean bigint, toxic bigint").groupBy("feature")
               .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
