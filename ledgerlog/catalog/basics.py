@@ -11,6 +11,7 @@ from ..operators import aggregates as ag
 from ..operators import joins as jn
 from ..operators import topk as tk
 from ..operators import windows as wn
+from ..session import fresh_path
 from .registry import query
 
 AS_OF = "2024-01-20 15:00:00"
@@ -342,8 +343,9 @@ query("win02_numbered_references", """SELECT o_orderkey, concat('REF', right(con
         "ref"))
 
 query("win03_row_sequence", """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders
-  WHERE o_orderstatus = 'F'""")(
-    lambda s: wn.dense_ids(s.table("orders").filter("o_orderstatus = 'F'").select("o_orderkey"), "o_orderkey", "n"))
+ """)(
+    lambda s: wn.dense_ids(
+        s.table("orders").select("o_orderkey"), "o_orderkey", "n", fresh_path(s.spark, "numbered")))
 
 query("srt01_one_key", "SELECT event_id, value FROM events")(
     lambda s: _events(s).select("event_id", "value").orderBy(F.col("value").desc(), "event_id"))

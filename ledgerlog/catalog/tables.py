@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import collection as c
@@ -159,12 +161,12 @@ def _snk02_log(s):
     )
 
 
-@query("snk03_temp_snapshot", """SELECT o_orderstatus, count(*) AS n FROM orders
-  WHERE o_totalprice > 100000 GROUP BY 1""")
+@query("snk03_temp_snapshot", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
 def _snk03(s):
-    s.table("orders").filter("o_totalprice > 100000").createOrReplaceTempView("snapshot_of_orders")
-    out = s.spark.sql("SELECT o_orderstatus, count(*) AS n FROM snapshot_of_orders GROUP BY o_orderstatus")
-    s.spark.catalog.dropTempView("snapshot_of_orders")
+    view = f"snapshot_{uuid.uuid4().hex}"
+    s.table("orders").createOrReplaceTempView(view)
+    out = s.spark.sql(f"SELECT o_orderstatus, count(*) AS n FROM {view} GROUP BY o_orderstatus")
+    s.spark.catalog.dropTempView(view)
     return out
 
 
@@ -224,7 +226,8 @@ def _snp05(s):
 
 query("snp06_surrogate_keys", """SELECT c_custkey, cast((SELECT max(o_orderkey) FROM orders)
   + row_number() OVER (ORDER BY c_custkey) as bigint) AS o_orderkey FROM customer""")(
-    lambda s: snap.assign_keys(s.table("orders"), s.table("customer").select("c_custkey"), "o_orderkey", "c_custkey"))
+    lambda s: snap.assign_keys(s.table("orders"), s.table("customer").select("c_custkey"), "o_orderkey", "c_custkey",
+                               fresh_path(s.spark, "numbered")))
 
 
 # What a relational server would enforce

@@ -96,13 +96,14 @@ def conform_transactions(batch: DataFrame) -> DataFrame:
     return conform(batch, TRANSACTIONS)
 
 
-def assign_keys(old: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
+def assign_keys(old: DataFrame, batch: DataFrame, key: str, order: str, path: str) -> DataFrame:
     """Give a batch surrogate keys that continue after the largest old one.
 
-    The old maximum joins in as a scalar subquery; the numbering itself is sliced.
+    The old maximum joins in as a scalar subquery; the numbering itself is sliced and
+    keeps its rows in ``path`` (see ``dense_ids``).
     """
     last = old.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint").alias("m")).scalar()
-    numbered = dense_ids(batch, order, "_seq")
+    numbered = dense_ids(batch, order, "_seq", path)
     return numbered.withColumn(key, F.col("_seq") + last).drop("_seq")
 
 

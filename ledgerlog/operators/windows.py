@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import zero_fill
-from ..session import fresh_path
 
 
 def running_total(daily: DataFrame, keys: Sequence[str], order: str, value: str, name: str) -> DataFrame:
@@ -37,16 +36,18 @@ def number_rows(
 _POSITION_BITS = 33
 
 
-def dense_ids(df: DataFrame, key: str, name: str, start: int = 1, slices: int | None = None) -> DataFrame:
+def dense_ids(
+    df: DataFrame, key: str, name: str, path: str, start: int = 1, slices: int | None = None
+) -> DataFrame:
     """Gapless ids in the order of a unique ``key``, without a global sort task.
 
     The rows are range-partitioned and sorted, and written with their partition and
-    position to the shared folder, so that a lost executor cannot shift a boundary.
-    What is left is to add the row counts of the partitions before.
+    position to ``path``, a new folder that all executors reach, so that a lost executor
+    cannot shift a boundary. What is left is to add the row counts of the partitions before.
+    The result reads ``path``; once it is stored elsewhere, ``session.remove`` may delete it.
     """
     spark = df.sparkSession
     ranged = df.repartitionByRange(*([slices] if slices else []), key).sortWithinPartitions(key)
-    path = fresh_path(spark, "numbered")
     ranged.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
     placed = spark.read.parquet(path).withColumn("_slice", F.shiftright("_at", _POSITION_BITS))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,21 +30,21 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, for written tables and stream checkpoints.
+    """Folder every executor can reach, for callers that cannot name one.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master without
-    that setting falls back to a temporary folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``; where that is unset it lies below the
+    warehouse. Library functions do not choose: they take the folder as an argument.
     """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlog-"))
-    return context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/intermediate").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written intermediate once nothing reads it any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -12,6 +12,7 @@ from ledgerlog.operators import aggregates as ag
 from ledgerlog.operators import joins as jn
 from ledgerlog.operators import topk as tk
 from ledgerlog.operators import windows as wn
+from ledgerlog.session import fresh_path
 
 
 @pytest.fixture(scope="module")
@@ -101,12 +102,12 @@ def test_first_per_group_and_union(df, pairs):
 def test_dense_ids(spark, slices):
     keys = random.Random(3).sample(range(10**6), 500)
     d = spark.createDataFrame([(k,) for k in keys], "k bigint")
-    got = {r.k: r.n for r in wn.dense_ids(d, "k", "n", 11, slices).collect()}
+    got = {r.k: r.n for r in wn.dense_ids(d, "k", "n", fresh_path(spark, "n"), 11, slices).collect()}
     assert got == {k: i for i, k in enumerate(sorted(keys), 11)}
 
 
 def test_dense_ids_of_nothing(spark):
-    assert wn.dense_ids(spark.range(0), "id", "n").count() == 0
+    assert wn.dense_ids(spark.range(0), "id", "n", fresh_path(spark, "n")).count() == 0
 
 
 def test_samples_repeat(df):

@@ -11,6 +11,7 @@ from ledgerlog.operators import snapshots as snap
 from ledgerlog.plans import heavy as h
 from ledgerlog.plans import reports as r
 from ledgerlog.schemas import BUSINESS, conform
+from ledgerlog.session import fresh_path
 
 AS_OF = "2026-04-20"
 
@@ -175,7 +176,7 @@ def test_snapshot_steps(spark, t):
     grown = snap.insert_rows(t["transactions"], snap.conform_transactions(batch))
     assert grown.count() == t["transactions"].count() + 2
     keys = batch.select(F.col("policy_id").alias("x"))
-    keyed = snap.assign_keys(t["transactions"], keys, "transaction_id", "x")
+    keyed = snap.assign_keys(t["transactions"], keys, "transaction_id", "x", fresh_path(spark, "n"))
     assert sorted(x.transaction_id for x in keyed.collect()) == [6, 7]
     swapped = snap.replace_where(t["agents"], t["agents"].filter("agent_id = 1").withColumn("branch", F.lit("East")),
                                  "agent_id")
