@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embeddings, extraction, langid, minhash, suffixes, toxicity, warc
+from . import bpe, chat, embeddings, extraction, langid, minhash, sharding, suffixes, toxicity, warc
 from .shared import remainder, scratch, shipped, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,12 @@ def op6_warc_dictionary(spark: SparkSession, folder: str) -> DataFrame:
         digest.alias("payload_digest"), "record_type", "refers_to")
 
 
+@query
+def op7_lookup_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    shards = [f"shard-{i:03d}" for i in range(256)]
+    return sharding.place(table(spark, folder, "documents").select("doc_id"), ["doc_id"], shards)
+
+
 @query
 def op8_text_blocks(spark: SparkSession, folder: str) -> DataFrame:
     found = extraction.extract(table(spark, folder, "pages"))
