@@ -76,6 +76,7 @@ def p03b(t: Tables, factor: float = 2) -> DataFrame:
     return t["customers"].join(owners, "customer_id", "left_semi")
 
 
+# The wildcards of the documented lookup.
 LOOKUPS = (("full_name", "%Tan%"), ("email", "%gmail%"), ("nric_last4", "%1234%"))
 
 

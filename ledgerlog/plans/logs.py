@@ -26,6 +26,7 @@ from ..functions.timewin import (
 from ..operators.aggregates import bin_agg, count_by, mean_by
 from ..operators.topk import top_k
 
+# The time column, and the words and sources of the messages.
 TS = "TimeGenerated"
 SLOW = "SLOW QUERY"
 SLOW_WARNING = "SLOW QUERY WARNING"

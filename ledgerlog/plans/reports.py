@@ -439,6 +439,7 @@ def _monthly(t: Tables, kind: str, status: str) -> DataFrame:
     )
 
 
+# The documented search words.
 KEYWORDS = ("%hospital%", "%vehicle%", "%damage%")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import (
     DecimalType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructType,
     TimestampType,
@@ -22,6 +23,7 @@ _TYPES = {
     "DATE": DateType(),
     "DOUBLE": DoubleType(),
     "INT": IntegerType(),
+    "BIGINT": LongType(),
     "STRING": StringType(),
     "TIMESTAMP": TimestampType(),
     **{f"DECIMAL({p},2)": DecimalType(p, 2) for p in (5, 10, 12, 15)},
@@ -66,25 +68,25 @@ CUSTOMERS = _table(
 )
 
 POLICIES = _table(
-    "policy_id INT, policy_number STRING, customer_id INT, package_id INT, agent_id INT, "
+    "policy_id BIGINT, policy_number STRING, customer_id INT, package_id INT, agent_id INT, "
     "start_date DATE, end_date DATE, status STRING, sum_insured DECIMAL(15,2), "
     "annual_premium DECIMAL(10,2), payment_freq STRING, created_at TIMESTAMP"
 )
 
 CLAIMS = _table(
-    "claim_id INT, claim_number STRING, policy_id INT, claim_date DATE, incident_date DATE, "
+    "claim_id BIGINT, claim_number STRING, policy_id BIGINT, claim_date DATE, incident_date DATE, "
     "claim_amount DECIMAL(12,2), approved_amount DECIMAL(12,2), status STRING, category STRING, "
     "description STRING, assessor_notes STRING, processed_date DATE"
 )
 
 TRANSACTIONS = _table(
-    "transaction_id INT, transaction_ref STRING, policy_id INT, transaction_date TIMESTAMP, "
+    "transaction_id BIGINT, transaction_ref STRING, policy_id BIGINT, transaction_date TIMESTAMP, "
     "amount DECIMAL(12,2), transaction_type STRING, payment_method STRING, status STRING, "
     "reference_id INT, remarks STRING"
 )
 
 BENEFICIARIES = _table(
-    "beneficiary_id INT, policy_id INT, full_name STRING, relationship STRING, "
+    "beneficiary_id BIGINT, policy_id BIGINT, full_name STRING, relationship STRING, "
     "percentage DECIMAL(5,2), nric_last4 STRING, phone STRING"
 )
 

@@ -55,8 +55,19 @@ def result_page(df: DataFrame, n: int = 50) -> DataFrame:
     return df.limit(n)
 
 
-def result_status(page: DataFrame) -> str:
-    return "Query executed successfully but returned 0 rows." if page.isEmpty() else "OK"
+# What a reader is told about a result.
+NO_ROWS = "Query executed successfully but returned 0 rows."
+NO_TABLE = "Query returned no tables."
+PARTIAL = "Partial results (query may have timed out): "
+
+
+def result_status(page: DataFrame | None, partial_error: str | None = None) -> str:
+    """State of a result: absent, cut short with its reason, empty, or OK."""
+    if partial_error is not None:
+        return PARTIAL + partial_error
+    if page is None:
+        return NO_TABLE
+    return NO_ROWS if page.isEmpty() else "OK"
 
 
 def result_rows(page: DataFrame, n: int = 50) -> list[dict]:

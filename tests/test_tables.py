@@ -85,6 +85,8 @@ def test_result_pages(spark):
     assert page.count() == 50 and writers.result_status(page) == "OK"
     assert writers.result_rows(spark.range(80))[0].keys() == {"id"}
     assert "0 rows" in writers.result_status(spark.range(0))
+    assert writers.result_status(None) == "Query returned no tables."
+    assert writers.result_status(page, "timed out").endswith("timed out): timed out")
 
 
 def test_bucketed_join_needs_no_shuffle(spark):
