@@ -21,11 +21,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MOST_ARCS = 600_000
-MOST_PIECES = 400_000
+from .shared import pieces as pieces_of
+
+MOST_ARCS = 300_000
+MOST_PIECES = 250_000
 CHUNK = 1 << 16
-#: So many longer tokens are looked through when a state is pruned.
-FEW = 0
 
 # White space as Unicode defines it.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -56,14 +56,8 @@ class Transducer:
                     node = self.next[step] = len(self.token)
                     self.token.append(-1)
             self.token[node] = rank
-        self.below: dict[int, list[int]] = {}
-        for token, rank in ranks.items():
-            node = 0
-            for byte in token[:-1]:
-                node = self.next[node << 8 | byte]
-                if node:
-                    self.below.setdefault(node, []).append(rank)
-        self._alive: dict[tuple[int, int], bool] = {}
+        #: Nodes from which a token goes on.
+        self.inner = {step >> 8 for step in self.next}
         self._pairs: dict[tuple[int, int], bool] = {}
         self._reset()
 
@@ -98,17 +92,6 @@ class Transducer:
             self._pairs[before, token] = known
         return known
 
-    def may_go_on(self, before: int, node: int) -> bool:
-        """Whether some longer token through ``node`` may stand after ``before``."""
-        known = self._alive.get((before, node))
-        if known is None:
-            if len(self._alive) > MOST_ARCS:
-                self._alive.clear()
-            longer = self.below.get(node, ())
-            known = len(longer) > FEW or any(self.may_follow(before, t) for t in longer)
-            self._alive[before, node] = known
-        return known
-
     def _arc(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         open_, last = self.states[state]
         grown = []
@@ -121,7 +104,7 @@ class Transducer:
                 token = token_of[node]
                 if ending is None and token >= 0 and self.may_follow(before, token):
                     ending = (*tail, token)
-                if self.may_go_on(before, node):
+                if node in self.inner:
                     grown.append((node, tail))
         if ending is None:
             raise ValueError("a byte is missing in the vocabulary")
@@ -200,17 +183,15 @@ class Utf8Stream:
         yield state
 
 
-_KEPT: dict[int, tuple] = {}
+_KEPT: dict[str, tuple] = {}
 
 
-def _machines(ranks) -> tuple[Transducer, Utf8Stream, dict[str, bytes]]:
-    """One per worker process, kept between its tasks."""
-    key = len(ranks.value), hash(frozenset(list(ranks.value.items())[-64:]))
-    if key not in _KEPT:
-        _KEPT.clear()
-        made = Transducer(ranks.value)
-        _KEPT[key] = made, Utf8Stream(made.bytes), {}
-    return _KEPT[key]
+def _kept(kind: str, ranks, make):
+    """What ``make`` builds of the ranks; one per worker process, kept between its tasks."""
+    key = len(ranks), hash(frozenset(list(ranks.items())[-64:]))
+    if kind not in _KEPT or _KEPT[kind][0] != key:
+        _KEPT[kind] = key, make(ranks)
+    return _KEPT[kind][1]
 
 
 def packed(machine: Transducer, stretches, pieces, kept: dict[str, bytes], text: str) -> bytes:
@@ -238,10 +219,10 @@ def chunks(ids: bytes) -> Iterator[list[int]]:
 
 def _encoded(ranks, pattern: str, stretches: str | None, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, _, kept = _machines(ranks)
+        machine, kept = _kept("encode", ranks.value, lambda r: (Transducer(r), {}))
         pieces = regex.compile(pattern).findall
         whole = re.compile(stretches).findall if stretches else pieces
-        for batch in batches:
+        for batch in pieces_of(batches, "text"):
             ids = [packed(machine, whole, pieces, kept, t.as_py() or "") for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(ids, pa.binary())],
                                              [*names, "ids"])
@@ -251,8 +232,8 @@ def _encoded(ranks, pattern: str, stretches: str | None, names: list[str]):
 
 def _decoded(ranks, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, stream, _ = _machines(ranks)
-        for batch in batches:
+        stream = _kept("decode", ranks.value, lambda r: Utf8Stream({rank: token for token, rank in r.items()}))
+        for batch in pieces_of(batches, "ids"):
             texts = [None if x.as_py() is None else b"".join(stream.decode(chunks(x.as_py())))
                      for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.binary())],
