@@ -14,6 +14,7 @@ import base64
 import re
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -183,15 +184,26 @@ class Utf8Stream:
         yield state
 
 
-_KEPT: dict[str, tuple] = {}
+class Vocabulary:
+    """Ranks to broadcast. What a worker process builds of them lives as long as its copy."""
 
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+
+    def __getstate__(self) -> dict:
+        return {"ranks": self.ranks}
+
+    @cached_property
+    def machine(self) -> Transducer:
+        return Transducer(self.ranks)
 
-def _kept(kind: str, ranks, make):
-    """What ``make`` builds of the ranks; one per worker process, kept between its tasks."""
-    key = len(ranks), hash(frozenset(list(ranks.items())[-64:]))
-    if kind not in _KEPT or _KEPT[kind][0] != key:
-        _KEPT[kind] = key, make(ranks)
-    return _KEPT[kind][1]
+    @cached_property
+    def stream(self) -> Utf8Stream:
+        return Utf8Stream({rank: token for token, rank in self.ranks.items()})
+
+    @cached_property
+    def kept(self) -> dict[str, bytes]:
+        return {}
 
 
 def packed(machine: Transducer, stretches, pieces, kept: dict[str, bytes], text: str) -> bytes:
@@ -217,25 +229,30 @@ def chunks(ids: bytes) -> Iterator[list[int]]:
         yield view[at:at + CHUNK].tolist()
 
 
-def _encoded(ranks, pattern: str, stretches: str | None, names: list[str]):
+def _decode(stream: Utf8Stream, ids: bytes | None) -> bytes | None:
+    return None if ids is None else b"".join(stream.decode(chunks(ids)))
+
+
+def _encoded(vocabulary, pattern: str, stretches: str | None, names: list[str], both: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, kept = _kept("encode", ranks.value, lambda r: (Transducer(r), {}))
+        known = vocabulary.value
         pieces = regex.compile(pattern).findall
         whole = re.compile(stretches).findall if stretches else pieces
         for batch in pieces_of(batches, "text"):
-            ids = [packed(machine, whole, pieces, kept, t.as_py() or "") for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(ids, pa.binary())],
-                                             [*names, "ids"])
+            ids = [packed(known.machine, whole, pieces, known.kept, t.as_py() or "") for t in batch.column("text")]
+            columns = [*(batch.column(n) for n in names), pa.array(ids, pa.binary())]
+            if both:
+                columns.append(pa.array([_decode(known.stream, x) for x in ids], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, [*names, "ids", "decoded"][:len(columns)])
 
     return run
 
 
-def _decoded(ranks, names: list[str]):
+def _decoded(vocabulary, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream = _kept("decode", ranks.value, lambda r: Utf8Stream({rank: token for token, rank in r.items()}))
+        stream = vocabulary.value.stream
         for batch in pieces_of(batches, "ids"):
-            texts = [None if x.as_py() is None else b"".join(stream.decode(chunks(x.as_py())))
-                     for x in batch.column("ids")]
+            texts = [_decode(stream, x.as_py()) for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.binary())],
                                              [*names, "decoded"])
 
@@ -246,28 +263,31 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
-def encode(df: DataFrame, ranks, pattern: str, stretches: str | None = STRETCHES, text: str = "text",
-           keep: tuple[str, ...] = ()) -> DataFrame:
+def encode(df: DataFrame, vocabulary, pattern: str, stretches: str | None = STRETCHES, text: str = "text",
+           keep: tuple[str, ...] = (), decoded: bool = False) -> DataFrame:
     """The columns ``keep`` and ``ids``: the token ids as little-endian unsigned 32-bit integers.
 
-    ``ranks`` is a broadcast of :func:`read_ranks`, whose size the vocabulary file bounds. Each
+    ``vocabulary`` is a broadcast of a :class:`Vocabulary`, whose size its file bounds. Each
     match of ``pattern`` is encoded by itself. ``stretches`` finds parts of a text that matches
-    never cross (None: do without). NULL is encoded as the empty text, without tokens.
-    Repeated rows stay; an empty table gives an empty result; only ``keep`` is carried along,
-    under its own names.
+    never cross (None: do without). With ``decoded`` the ids are decoded again in the same pass,
+    as :func:`decode` does. NULL is encoded as the empty text, without tokens. Repeated rows
+    stay; an empty table gives an empty result; only ``keep`` is carried along, under its own
+    names.
     """
     kept = df.select(*(F.col(f"`{c}`") for c in keep))
     rows = df.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)), F.col(f"`{text}`").alias("text"))
     names = [f"c{i}" for i in range(len(keep))]
-    schema = ", ".join([f"{n} {f.dataType.simpleString()}" for n, f in zip(names, kept.schema.fields)] + ["ids binary"])
-    out = rows.mapInArrow(_encoded(ranks, pattern, stretches, names), schema)
-    return out.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), "ids")
+    made = ["ids", "decoded"] if decoded else ["ids"]
+    schema = ", ".join([f"{n} {f.dataType.simpleString()}" for n, f in zip(names, kept.schema.fields)]
+                       + [f"{n} binary" for n in made])
+    out = rows.mapInArrow(_encoded(vocabulary, pattern, stretches, names, decoded), schema)
+    return out.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), *made)
 
 
-def decode(df: DataFrame, ranks, ids: str = "ids") -> DataFrame:
+def decode(df: DataFrame, vocabulary, ids: str = "ids") -> DataFrame:
     """All columns and ``decoded``, the bytes of the ids; NULL ids give NULL."""
     rest = [c for c in df.columns if c not in (ids, "decoded")]
     names = [f"c{i}" for i in range(len(rest))] + ["ids"]
     rows = df.select(*(F.col(f"`{c}`").alias(n) for c, n in zip([*rest, ids], names)))
-    out = rows.mapInArrow(_decoded(ranks, names), _ddl(rows) + ", decoded binary")
+    out = rows.mapInArrow(_decoded(vocabulary, names), _ddl(rows) + ", decoded binary")
     return out.select(*(F.col(n).alias(c) for n, c in zip(names, [*rest, ids])), "decoded")

@@ -18,14 +18,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import hashed_sample
+from .shared import hashed_sample, pieces
 
 UNDETERMINED = "und"
 SAMPLE = 500
 LONGEST = 4
 LEAST_COUNT = 3
 SMOOTHING = 0.5
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -142,13 +142,13 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     return Model(counts.toArrow())
 
 
-def _predicted(shared, names: list[str]):
+def _predicted(shared, names: list[str], again: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in pieces(batches, "text"):
             found = [model.predict(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array([x for x, _ in found], pa.string()),
+                [*(batch.column("text" if n == again else n) for n in names), pa.array([x for x, _ in found], pa.string()),
                  pa.array([x for _, x in found], pa.float64())], [*names, "lang_pred", "score"])
 
     return run
@@ -163,8 +163,11 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
     they are not kept; an empty table gives an empty result.
     """
     names = [f"c{i}" for i in range(len(keep))]
-    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)), F.col(f"`{text}`").alias("text"))
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
+    again = next((n for c, n in zip(keep, names) if c == text), None)  # a kept text is sent to the task once
+    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names) if n != again),
+                       F.col(f"`{text}`").alias("text"))
+    kinds = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names))).schema.fields
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in kinds]
                        + ["lang_pred string", "score double"])
-    out = rows.mapInArrow(_predicted(docs.sparkSession.sparkContext.broadcast(model), names), schema)
+    out = rows.mapInArrow(_predicted(docs.sparkSession.sparkContext.broadcast(model), names, again), schema)
     return out.select(*(F.col(n).alias(c) for c, n in zip(keep, names)), "lang_pred", "score")

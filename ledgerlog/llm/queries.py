@@ -51,9 +51,9 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def encoded(docs: DataFrame) -> DataFrame:
     """``doc_id``, token counts and digests of the ids and of what they decode to."""
-    ranks = docs.sparkSession.sparkContext.broadcast(bpe.read_ranks(public_tokenizers.path(RANKS)))
-    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=("doc_id",))
-    return bpe.decode(ids, ranks).select(
+    vocabulary = bpe.Vocabulary(bpe.read_ranks(public_tokenizers.path(RANKS)))
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    return bpe.encode(docs, shared, public_tokenizers.PATTERN, keep=("doc_id",), decoded=True).select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import hashed_sample
+from .shared import hashed_sample, pieces
 
 PER_LABEL = 3000
 LEAST_DOCS = 12
@@ -26,7 +26,7 @@ RATE = 0.1
 PENALTY = 1e-5
 THRESHOLD = 0.7
 SENTENCE = 0.5
-KEPT_WORDS = 500_000
+KEPT_WORDS = 250_000
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORDY = re.compile(r"[^.!?\n]*?[^\W_][^.!?\n]*")
@@ -178,15 +178,15 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return Model(bias, {f: float(w) for f, w in zip(names, weights) if abs(w) > 1e-3})
 
 
-def _scored(shared, names: list[str]):
+def _scored(shared, names: list[str], again: str | None):
     kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in pieces(batches, "text"):
             found = [model.score(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array([s for s, _ in found], pa.float64()),
+                [*(batch.column("text" if n == again else n) for n in names), pa.array([s for s, _ in found], pa.float64()),
                  pa.array([b for _, b in found], kind)], [*names, "score", "sentences"])
 
     return run
@@ -200,9 +200,12 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     table gives an empty result.
     """
     names = [f"c{i}" for i in range(len(keep))]
-    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)), F.col(f"`{text}`").alias("text"))
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
+    again = next((n for c, n in zip(keep, names) if c == text), None)  # a kept text is sent to the task once
+    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names) if n != again),
+                       F.col(f"`{text}`").alias("text"))
+    kinds = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names))).schema.fields
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in kinds]
                        + ["score double", "sentences array<struct<begin: int, end: int, score: double>>"])
-    out = rows.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(model), names), schema)
+    out = rows.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(model), names, again), schema)
     return out.select(*(F.col(n).alias(c) for c, n in zip(keep, names)), "score",
                       F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"), "sentences")

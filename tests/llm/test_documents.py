@@ -245,10 +245,12 @@ def test_invalid_bytes_pass_through_the_stream():
 
 
 def test_encode_awkward(spark, ranks, reference):
-    shared = spark.sparkContext.broadcast(ranks)
+    shared = spark.sparkContext.broadcast(bpe.Vocabulary(ranks))
     rows = awkward(spark).withColumn("ids", F.lit("clash")).withColumn("decoded", F.lit("clash"))
     out = bpe.decode(bpe.encode(rows, shared, public_tokenizers.PATTERN, keep=("doc_id", "text")), shared)
     assert out.columns == ["doc_id", "text", "ids", "decoded"] and out.count() == 11
+    once = bpe.encode(rows, shared, public_tokenizers.PATTERN, keep=("doc_id", "text"), decoded=True)
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, out.collect()))
     for row in out.collect():
         want = reference.encode_ordinary(row.text or "")
         assert bytes(row.ids) == b"".join(i.to_bytes(4, "little") for i in want)
