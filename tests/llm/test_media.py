@@ -79,6 +79,31 @@ def test_recall_without_folding(spark):
     assert found >= 0.95 * 3000
 
 
+def matrix_links(rows, cosine=0.93):
+    """Links of each vector, all of one label, by the full matrix."""
+    x = np.array([v for _, v, _ in rows], np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    return (x @ x.T >= cosine).sum(1) - 1
+
+
+@pytest.mark.parametrize("exact, block", [(8192, 300), (200, 2048)])
+def test_wide_cluster_of_mutual_links(spark, monkeypatch, exact, block):
+    """Thousands of vectors linked to one another, of which no two lie within half the angle."""
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    rng = np.random.default_rng(12)
+    side = rng.standard_normal((2000, 64))
+    side[:, 0] = 0
+    side *= math.sqrt(1 - 0.945) / np.linalg.norm(side, axis=1)[:, None]
+    side[:, 0] = math.sqrt(0.945)
+    rows = [(int(i), v.tolist(), 0) for i, v in enumerate(side)]
+    want = matrix_links(rows)
+    assert want.mean() > 1500
+    out = embeddings.near_vectors(vectors(spark, rows), cell=64, exact=exact).collect()
+    found = np.array([r.n_links for r in sorted(out)])
+    assert all(r.component_id == 0 for r in out)
+    assert (found == want).all() if exact > len(rows) else 0.99 * want.sum() <= found.sum() <= want.sum()
+
+
 def test_passes_grow_with_the_table():
     assert embeddings.passes_for(10, 0.93) == embeddings.LEAST_PASSES
     assert embeddings.passes_for(10**8, 0.93) > embeddings.passes_for(10**6, 0.93) > 8
