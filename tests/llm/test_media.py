@@ -104,6 +104,24 @@ def test_wide_cluster_of_mutual_links(spark, monkeypatch, exact, block):
     assert (found == want).all() if exact > len(rows) else 0.99 * want.sum() <= found.sum() <= want.sum()
 
 
+def test_links_between_rims_of_folded_groups(spark):
+    """Groups whose leaders lie up to twice the angle apart, linked by one pair of members only."""
+    rng = np.random.default_rng(21)
+    base = rng.standard_normal((1000, 32))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    side = rng.standard_normal((1000, 32))
+    side -= (side * base).sum(1)[:, None] * base
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    half, edge = 0.48 * math.acos(0.93), math.acos(0.932)
+    at = [-half] * 4 + [0, edge] + [edge + half] * 4
+    points = [math.cos(a) * base + math.sin(a) * side + 1e-4 * rng.standard_normal((1000, 32)) for a in at]
+    rows = [(int(i), v.tolist(), 0) for i, v in enumerate(np.concatenate(points))]
+    out = sorted(embeddings.near_vectors(vectors(spark, rows), cell=64, exact=200).collect())
+    heads = np.array([r.component_id for r in out]).reshape(10, 1000)
+    assert (matrix_links(rows)[4000:6000] == 5).all()
+    assert (heads == heads[0]).all(0).mean() >= 0.99
+
+
 def test_passes_grow_with_the_table():
     assert embeddings.passes_for(10, 0.93) == embeddings.LEAST_PASSES
     assert embeddings.passes_for(10**8, 0.93) > embeddings.passes_for(10**6, 0.93) > 8
