@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ from .shared import hashed_sample, pieces
 
 PER_LABEL = 3000
 LEAST_DOCS = 12
+FLOOR = 3
+LEAST_SHARE = 0.04
 LEAST_DEVIATION = 5.0
 PREFIXES = (3, 4, 5, 6, 7, 8)
 STEPS = 400
@@ -27,6 +30,7 @@ PENALTY = 1e-5
 THRESHOLD = 0.7
 SENTENCE = 0.5
 KEPT_WORDS = 250_000
+NEVER = -30.0
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORDY = re.compile(r"[^.!?\n]*?[^\W_][^.!?\n]*")
@@ -84,19 +88,29 @@ def _bagged(index):
     return run
 
 
+def support(n0: int, n1: int) -> int:
+    """Documents a feature must be found in: a share of the rarer label's, ``FLOOR`` to ``LEAST_DOCS``."""
+    return max(FLOOR, min(LEAST_DOCS, ceil(LEAST_SHARE * min(n0, n1))))
+
+
 def fit(labels: np.ndarray, sizes: np.ndarray, cells: list[list[int]], n_features: int) -> tuple[float, np.ndarray]:
-    """Bias and weights of highest penalised likelihood of the document labels, by Adam."""
+    """Bias and weights of highest penalised likelihood of the document labels, by Adam.
+
+    Both labels weigh the same, but the bias stays so low that the length of no document met here
+    makes it toxic by itself. Without features, nothing is toxic.
+    """
     bags = sizes > 0
     labels, sizes, cells = labels[bags].astype(float), sizes[bags], [c for c, b in zip(cells, bags) if b]
-    if not len(labels):
-        return -10.0, np.zeros(n_features)
+    if not len(labels) or not n_features:
+        return NEVER, np.zeros(n_features)
     heads = np.cumsum(sizes) - sizes
     doc = np.repeat(np.arange(len(sizes)), sizes)
     flat = [np.array(c, np.int64).reshape(-1, 3) + [[head, 0, 0]] for c, head in zip(cells, heads)]
     row, col, count = np.concatenate(flat).T
     balance = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
+    highest = float(np.log(np.expm1(-np.log1p(-SENTENCE) / sizes.max())))
     theta = np.zeros(n_features + 1)
-    theta[-1] = -6.0
+    theta[-1] = min(-6.0, highest)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
         z = np.bincount(row, count * theta[col], len(doc)) + theta[-1]
@@ -111,6 +125,7 @@ def fit(labels: np.ndarray, sizes: np.ndarray, cells: list[list[int]], n_feature
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         theta += RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        theta[-1] = min(theta[-1], highest)
     return float(theta[-1]), theta[:-1]
 
 
@@ -149,9 +164,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """A model of at most ``per_label`` labelled documents of each label, chosen by a hash of their keys.
 
     ``usable`` is a condition on the labels' rows. Features are words and word beginnings found in
-    ``LEAST_DOCS`` of the documents, whose toxic share is ``LEAST_DEVIATION`` standard deviations off. Labels other
+    ``support`` of the documents, ``FLOOR`` of them with the label they speak for, whose toxic share is
+    ``LEAST_DEVIATION`` standard deviations off. Labels other
     than 0 and 1, NULL keys and labels without a document teach nothing; of repeated labels of a
-    document the largest counts. Without both labels every score is near 0.
+    document the largest counts. Without both labels or without features every score is near 0.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
@@ -160,16 +176,17 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
              .where("id IS NOT NULL AND label IN (0, 1)").groupBy("id").agg(F.max("label").alias("label")))
     chosen = hashed_sample(known.join(texts.select("id").distinct(), "id"), "label", "id", per_label)
     sample = texts.join(F.broadcast(chosen), "id").select("text", "label")  # at most 2 * per_label rows
-    counts = (sample.mapInArrow(_seen, "feature string, clean bigint, toxic bigint").groupBy("feature")
-              .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-              .where(F.col("clean") + F.col("toxic") >= LEAST_DOCS))
     sizes = {r["label"]: r["n"] for r in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     if not n0 or not n1:
-        return Model(-10.0, {})
+        return Model(NEVER, {})
     both = F.col("clean") + F.col("toxic")
-    deviation = F.abs(F.col("toxic") - both * n1 / (n0 + n1)) / (F.sqrt(both * n0 * n1) / (n0 + n1))
-    telling = counts.where(deviation >= LEAST_DEVIATION).select("feature")
+    counts = (sample.mapInArrow(_seen, "feature string, clean bigint, toxic bigint").groupBy("feature")
+              .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(both >= support(n0, n1)))
+    expected = both * n1 / (n0 + n1)
+    deviation = F.abs(F.col("toxic") - expected) / (F.sqrt(both * n0 * n1) / (n0 + n1))
+    backed = F.when(F.col("toxic") > expected, F.col("toxic")).otherwise(F.col("clean")) >= FLOOR
+    telling = counts.where((deviation >= LEAST_DEVIATION) & backed).select("feature")
     names = sorted(r["feature"] for r in telling.toLocalIterator())
     index = spark.sparkContext.broadcast({f: i for i, f in enumerate(names)})
     bags = sample.mapInArrow(_bagged(index), "label int, n int, cells array<int>").toArrow()

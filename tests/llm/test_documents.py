@@ -338,6 +338,21 @@ def test_toxicity_awkward(spark):
     assert toxicity.score(docs(spark, []), model).collect() == []
 
 
+def test_toxicity_of_few_toxic_labels(spark):
+    """Six toxic documents teach their common word; without one, long texts are not toxic."""
+    rng = random.Random(8)
+    rows = [(i, ". ".join(" ".join(f"w{rng.randrange(60)}" for _ in range(6)) for _ in range(1 + i % 60)) + ".")
+            for i in range(200)]
+    marks = spark.createDataFrame([(i, int(i % 30 == 29)) for i in range(200)], "doc_id bigint, toxic int")
+    bare = toxicity.train(docs(spark, rows), marks)
+    assert toxicity.score(docs(spark, rows), bare).where("predicted = 1").count() == 0
+    rows = [(i, t + (" What vile stuff." if i % 30 == 29 else "")) for i, t in rows]
+    model = toxicity.train(docs(spark, rows), marks)
+    found = toxicity.score(docs(spark, rows), model).where("predicted = 1").collect()
+    assert {r.doc_id for r in found} == set(range(29, 200, 30))
+    assert toxicity.support(10**5, 6) == toxicity.FLOOR and toxicity.support(10**5, 10**5) == toxicity.LEAST_DOCS
+
+
 def test_noisy_or_agrees_with_the_full_product():
     model = toxicity.Model(-3.0, {"=bad": 4.0})
     text = "a b. c bad d! e\nf_ __ ."
