@@ -402,3 +402,49 @@ def test_pipeline_stages(spark, small):
     out = p.run(spark, small)
     assert set(out.columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
     assert 0 < out.count() <= once.count()
+
+
+def test_op3_digests_of_every_row(spark, reference, small):
+    rows = QUERIES["op3_byte_bpe"](spark, small).join(spark.read.parquet(f"{small}/documents.parquet"), "doc_id").collect()
+    assert len(rows) == spark.read.parquet(f"{small}/documents.parquet").count()
+    for row in rows:
+        ids = reference.encode_ordinary(row.text or "")
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256((row.text or "").encode()).hexdigest()
+
+
+def test_pipeline_matches_plain_python(spark, reference, small):
+    """The five stages in plain Python; only the two trained models are taken from the library."""
+    import corpus_pipeline as p
+    from ledgerlog.llm.queries import language_model, toxicity_model
+
+    table = spark.read.parquet(f"{small}/documents.parquet")
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    langs = language_model(table)
+    rows = {r.doc_id: r.text for r in table.collect() if langs.predict(r.text or "")[0] != langid.UNDETERMINED}
+    left = table.where(F.col("doc_id").isin(list(rows)))
+    toxic = toxicity_model(left, spark.read.parquet(f"{small}/labels.parquet"))
+    clean = [(k, t) for k, t in rows.items() if toxic.score(t)[0] < toxicity.THRESHOLD]
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
+    assert all(labels.get(k) for k in set(rows) - dict(clean).keys())  # no document labelled clean goes
+    least = brute_components(clean, 5)
+    windows = {}
+    split = re.compile(r"[a-z0-9\u0080-\U0010ffff]+").findall
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for _, text in items:
+        w = split((text or "").translate(lower))
+        k = min(13, len(w))
+        windows.setdefault(k, set()).update(tuple(w[i:i + k]) for i in range(len(w) - k + 1) if k)
+    want = {}
+    for key, text in clean:
+        w = split((text or "").translate(lower))
+        hit = {j for k, seen in windows.items() for i in range(len(w) - k + 1) if tuple(w[i:i + k]) in seen
+               for j in range(i, i + k)}
+        if least[key] == key and not (hit and 20 * len(hit) >= len(w)):
+            ids = reference.encode_ordinary(text)
+            want[key] = (len(ids), hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest(),
+                         hashlib.sha256(text.encode()).hexdigest())
+    found = p.run(spark, small).collect()
+    assert len(found) == len(want)
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in found} == want
