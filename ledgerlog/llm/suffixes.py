@@ -1,8 +1,9 @@
 """Benchmark decontamination: suffix arrays of the training text, searched with every test suffix.
 
 Each shard of documents (a few megabytes of a partition) becomes an array of word numbers and a
-suffix array over it. Every suffix of every test item is looked up by binary search, word by
-word; an occurrence of a whole window is a hit, and the match is followed to its longest extent.
+suffix array over it. Every suffix of a test item that holds a whole window (of a shorter item:
+the item) is looked up by binary search, word by word; an occurrence of a whole window is a hit,
+and the match is followed to its longest extent. Matches shorter than the window are not reported.
 The array holds the suffixes a search can reach: those that begin with as many words of the test
 vocabulary as the shortest window has. Test items are sent in blocks of bounded size.
 """
@@ -221,7 +222,8 @@ def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     ``longest_item``, ``contaminated``.
 
     ``hits`` are disjoint [begin, end) word intervals that test windows cover; ``n_hit`` is their
-    length; ``longest`` is the longest verbatim match in words, ``longest_at`` where it starts. A
+    length; ``longest`` is the longest verbatim match in words among those of a whole window or a
+    whole shorter item (0 without one), ``longest_at`` where it starts. A
     document is contaminated when 20 * n_hit >= n_words and n_hit > 0.
 
     NULL texts and texts without words have no words, hits or items, and items without words or

@@ -186,6 +186,14 @@ def test_overlaps_awkward_and_empty(spark):
     assert none.where("n_hit > 0").count() == 0 and none.count() == 11
 
 
+def test_matches_below_the_window_are_not_reported(spark):
+    assert "shorter than the window are not reported" in suffixes.__doc__
+    words = [f"q{i}" for i in range(20)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    found = by_key(suffixes.overlaps(docs(spark, [(1, " ".join(words[8:])), (2, " ".join(words[6:]))]), bench))
+    assert [(r.n_hit, r.longest) for r in found[1] + found[2]] == [(0, 0), (14, 14)]
+
+
 def test_suffix_array_orders_suffixes():
     import numpy as np
 
