@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embeddings, extraction, langid, minhash, sharding, suffixes, toxicity, warc
+from . import bpe, chat, embeddings, extraction, langid, minhash, naming, sharding, suffixes, toxicity, warc
 from .shared import remainder, scratch, shipped, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,6 +128,21 @@ def op10_chat_parts(spark: SparkSession, folder: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+@query
+def op13_block_naming(spark: SparkSession, folder: str) -> DataFrame:
+    return naming.exact_groups(table(spark, folder, "documents"))
+
+
+ORACLES["op13_block_naming"] = """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), g AS (
+  SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
+"""
+
 ORACLES["op6_warc_dictionary"] = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
