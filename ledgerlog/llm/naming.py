@@ -33,10 +33,11 @@ _SHIFT = "10000000000000000000"
 _NO_KEY = "-9223372036854775809"
 
 _LEFT = "chunk bigint, at binary, sizes binary, codes binary"
+_CHUNKS = ["chunk", "ids", "digests", "at", "sizes", "codes", "local", "block"]
 
 
 def _blocks(size: int, limit: int):
-    """One row per chunk: keys and digests of its texts, its distinct blocks, and each text as places among them."""
+    """A row per chunk: keys and digests of its texts, and each text as places among the distinct blocks; a row per such block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for number, part in enumerate(pieces(batches, "text", limit)):
@@ -49,11 +50,15 @@ def _blocks(size: int, limit: int):
                 starts = range(a, max(b, a + 1), size)
                 sizes.append(len(starts))
                 codes += [places.setdefault(text[i:min(i + size, b)], len(places)) for i in starts]
+            chunk = (task << 32) + number
             yield pa.RecordBatch.from_arrays(
-                [pa.array([(task << 32) + number]), _one(part.column("id"), pa.list_(pa.int64())),
-                 pa.array([b"".join(digests)]), *_packed(np.arange(len(sizes)), sizes, codes),
-                 pa.array([list(places)], pa.list_(pa.binary()))],
-                ["chunk", "ids", "digests", "at", "sizes", "codes", "blocks"])
+                [pa.array([chunk]), _one(part.column("id"), pa.list_(pa.int64())), pa.array([b"".join(digests)]),
+                 *_packed(np.arange(len(sizes)), sizes, codes), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary())],
+                _CHUNKS)
+            blocks, n = list(places), len(places)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, chunk)), pa.nulls(n, pa.list_(pa.int64())), *(pa.nulls(n, pa.binary()) for _ in range(4)),
+                 pa.array(np.arange(n, dtype=np.int32)), pa.array(blocks, pa.binary())], _CHUNKS)
 
     return run
 
@@ -215,10 +220,10 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     folder = scratch(spark, "naming")
     rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
     base = written(rows.mapInArrow(_blocks(size, chunk), "chunk bigint, ids array<bigint>, digests binary, at binary, "
-                                   "sizes binary, codes binary, blocks array<binary>"), f"{folder}/blocks")
-    whole = written(base.select("chunk", "ids", "digests"), f"{folder}/keys")
-    names = _named(base.select("chunk", F.posexplode("blocks").alias("local", "block")), ["block"])
-    state, results, number = base, None, 0
+                                   "sizes binary, codes binary, local int, block binary"), f"{folder}/blocks")
+    state, results, number = base.where("local IS NULL"), None, 0
+    whole = written(state.select("chunk", "ids", "digests"), f"{folder}/keys")
+    names = _named(base.where("local IS NOT NULL").select("chunk", "local", "block"), ["block"])
     while True:
         state = written(state.select("chunk", "at", "sizes", "codes").join(names, "chunk").mapInArrow(
             _paired, f"{_LEFT}, left array<bigint>, right array<bigint>, done binary, ends binary"),
