@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embeddings, extraction, langid, minhash, naming, negatives, sharding, suffixes, toxicity, warc
+from . import bpe, chat, collocations, embeddings, extraction, langid, minhash, naming, negatives, sharding, suffixes, toxicity, warc
 from .shared import remainder, scratch, shipped, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,6 +159,41 @@ QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DE
 """
 
 
+@query
+def op12_trie_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op12_trie_collocations"] = """
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), p AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM t
+), f AS MATERIALIZED (
+  SELECT lang, w[i:i + k - 1] AS g, count(*) AS f
+  FROM p, (VALUES (1), (2), (3), (4)) AS s(k), unnest(range(1, len(w) - k + 2)) AS r(i)
+  GROUP BY ALL HAVING count(*) >= 30
+), cut AS (
+  SELECT c.lang, c.g, c.f AS a, l.f AS l, r.f AS r, (CAST(2000000 AS HUGEINT) * c.f) // (l.f + r.f) AS score
+  FROM f c, unnest(range(1, len(c.g))) AS u(k)
+  JOIN f l ON l.lang = c.lang AND l.g = c.g[1:k] JOIN f r ON r.lang = c.lang AND r.g = c.g[k + 1:]
+  WHERE len(c.g) > 1
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.g ORDER BY score, k) = 1
+), held AS (
+  SELECT lang, c.g[i:i + m - 1] AS g, max(c.f) AS longest
+  FROM f c, unnest(range(2, len(c.g))) AS u(m), unnest(range(1, len(c.g) - m + 2)) AS v(i) GROUP BY ALL
+), kept AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, CAST(score AS BIGINT) AS score
+  FROM cut LEFT JOIN held USING (lang, g) WHERE longest IS NULL OR 100 * longest < 80 * a
+)
+SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n, score
+FROM kept JOIN (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang) USING (lang)
+WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER w <= 2000
+"""
+
+
 @query
 def op13_block_naming(spark: SparkSession, folder: str) -> DataFrame:
     return naming.exact_groups(table(spark, folder, "documents"))

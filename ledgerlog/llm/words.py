@@ -100,14 +100,17 @@ def _powers(base: int, n: int) -> np.ndarray:
 _RANDOM = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def hashes(words: Words) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, block by block, so that memory stays small for long texts."""
+def hashes(words: Words, random: np.ndarray = _RANDOM) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, block by block, so that memory stays small for long texts.
+
+    ``random`` has an odd number for each byte.
+    """
     found = np.empty(len(words.starts), np.uint64)
     begin = 0
     while begin < len(found):
         at = words.starts[begin]
         end = max(begin + 1, int(np.searchsorted(words.ends, at + BLOCK_BYTES, "right")))
-        total = _RANDOM[words.data[at:words.ends[end - 1]]]
+        total = random[words.data[at:words.ends[end - 1]]]
         total *= _powers(_BASE, len(total))
         np.cumsum(total, out=total)
         left = words.starts[begin:end] - at
