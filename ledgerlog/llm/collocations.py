@@ -29,6 +29,7 @@ NOMINATIONS = 4 << 20
 TRIE_PHRASES = 250_000
 BROADCAST_BYTES = 64 << 20
 SALT_ROWS = 20_000
+SLICE = 4096
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: Words ``[^\x20\x09]+`` of pieces; NUL is a word byte, so it becomes 255, which UTF-8 lacks.
@@ -212,7 +213,10 @@ def _compiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counted(group):
-    """How often each state of the tries is reached, from all positions of the texts of their languages."""
+    """How often each state of the tries is reached, from all positions of the texts of their languages.
+
+    Counts leave a task packed, in slices of ``SLICE`` states.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = [(shard, lang, Trie(*(np.frombuffer(part, kind) for part, kind in zip(parts, (np.int64, np.int32, np.int32)))))
                  for shard, lang, *parts in group.value]
@@ -226,9 +230,36 @@ def _counted(group):
                         totals[i] += np.bincount(reached, minlength=len(trie.base))
         for (shard, _, _), total in zip(tries, totals):
             at = np.flatnonzero(total)
+            slices, first = np.unique(at // SLICE, return_index=True)
+            cuts = [*first.tolist(), len(at)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), shard)), pa.array(at.astype(np.int32)), pa.array(total[at])],
-                ["shard", "state", "f"])
+                [pa.array(np.full(len(slices), shard)), pa.array(slices.astype(np.int32)),
+                 pa.array([(at[a:b] % SLICE).astype(np.uint16).tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
+                 pa.array([total[at[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())],
+                ["shard", "slice", "states", "counts"])
+
+    return run
+
+
+def _summed(least: int):
+    """Sums of the slices, which come ordered, where they reach ``least``."""
+    def total(key: tuple[int, int], sums: np.ndarray) -> pa.RecordBatch:
+        at = np.flatnonzero(sums >= least)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(at), key[0])), pa.array((key[1] * SLICE + at).astype(np.int32)), pa.array(sums[at])],
+            ["shard", "state", "f"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = None, np.zeros(SLICE, np.int64)
+        for batch in batches:
+            for shard, part, states, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if (shard, part) != now:
+                    if now:
+                        yield total(now, sums)
+                    now, sums = (shard, part), np.zeros(SLICE, np.int64)
+                sums[np.frombuffer(states, np.uint16)] += np.frombuffer(counts, np.int64)
+        if now:
+            yield total(now, sums)
 
     return run
 
@@ -289,9 +320,10 @@ def _trie_counts(tokens: DataFrame, phrases: DataFrame, least: int, folder: str)
     for number, names in enumerate(groups):
         rows = whole.where(F.col("shard").isin(names)).select("shard", "lang", "vocabulary", "base", "check").collect()
         group = spark.sparkContext.broadcast([tuple(r) for r in rows])  # at most BROADCAST_BYTES, or one trie
-        reached = tokens.select("lang", "hashes", "codes").mapInArrow(_counted(group), "shard bigint, state int, f bigint")
-        part = written(reached.groupBy("shard", "state").agg(F.sum("f").alias("f")).where(F.col("f") >= least),
-                       f"{folder}/counts-{number}")
+        reached = tokens.select("lang", "hashes", "codes").mapInArrow(
+            _counted(group), "shard bigint, slice int, states binary, counts binary")
+        part = written(reached.repartition("shard", "slice").sortWithinPartitions("shard", "slice").mapInArrow(
+            _summed(least), "shard bigint, state int, f bigint"), f"{folder}/counts-{number}")
         group.destroy()
         counts = part if counts is None else counts.unionByName(part)
     if counts is None:
