@@ -197,7 +197,7 @@ query("jn11_update_from_join", """SELECT c_custkey, coalesce(o.last, c_name) AS
   SELECT o_custkey, max(o_orderpriority) AS last FROM orders GROUP BY 1) o ON o_custkey = c_custkey""")(
     lambda s: jn.update_from(
         s.table("customer").select("c_custkey", "c_name"),
-        s.table("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderpriority").alias("last")),
+        ag.greatest_text(s.table("orders").withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"], "o_orderpriority", "last"),
         "c_custkey", {"c_name": "last"}))
 
 query("jn12_self_cross_count", """SELECT cast(count(*) as double) AS pair_count FROM customer a, customer b

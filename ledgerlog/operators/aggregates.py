@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import MONEY_TO_SUM, days_between, exact_avg, int_avg, money, month_of
 from ..functions.timewin import bin_start
+from .extremum import first_of
+from .topk import first_per_group
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "Count") -> DataFrame:
@@ -76,6 +78,15 @@ def distinct_list(
     )
 
 
+def greatest_text(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """The greatest text of each group; NULL only where a group has nothing else.
+
+    Equal texts go in a hash aggregation first, so only distinct ones are compared.
+    """
+    unique = df.select(*keys, F.col(value).alias(name)).distinct()
+    return first_per_group(unique, keys, [F.desc_nulls_last(name)], 1)
+
+
 def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct().orderBy(col)
 
@@ -83,8 +94,11 @@ def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
 def first_seen(df: DataFrame, cols: Sequence[str], pos: Sequence[str]) -> DataFrame:
     """Distinct rows over ``cols``, each with its first position.
 
-    A position of one column is compared as it is, which needs no sort before the shuffle.
+    A position of one column is compared as it is, several as packed numbers: neither needs a sort before the shuffle.
     """
     if len(pos) == 1:
         return df.groupBy(*cols).agg(F.min(pos[0]).alias("_first")).select(*cols, F.struct(F.col("_first").alias(pos[0])).alias("first_pos"))
-    return df.groupBy(*cols).agg(F.min(F.struct(*pos)).alias("first_pos"))
+    places = [f"_pos{i}" for i in range(len(pos))]
+    rows = df.select(*cols, *(F.col(c).alias(p) for c, p in zip(pos, places)))
+    return first_of(rows, cols, places, places).select(
+        *cols, F.struct(*(F.col(p).alias(c) for c, p in zip(pos, places))).alias("first_pos"))

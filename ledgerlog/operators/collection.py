@@ -12,6 +12,7 @@ from ..functions.stats import exact_avg
 from ..functions.text import any_of
 from ..functions.timewin import ColumnLike, When, as_column, bin_start, clamp_span, during
 from ..schemas import COUNTERS
+from .extremum import first_of
 
 
 @dataclass(frozen=True)
@@ -107,12 +108,10 @@ def sample(
     df: DataFrame, width: str = "60 seconds", series: Sequence[str] = SERIES, ts: str = "TimeGenerated",
     value: str = "CounterValue",
 ) -> DataFrame:
-    """One row per series and interval: the latest value."""
-    return (
-        df.groupBy(*series, bin_start(ts, width).alias("_bin"))
-        .agg(F.max(F.struct(ts, value)).alias("_last"))
-        .select(*series, F.col("_bin").alias("interval_start"), "_last.*")
-    )
+    """One row per series and interval: the latest value, of several at that time the largest."""
+    binned = df.withColumn("_bin", bin_start(ts, width))
+    latest = first_of(binned, [*series, "_bin"], [ts, value], [ts, value], last=True)
+    return latest.select(*series, F.col("_bin").alias("interval_start"), ts, value)
 
 
 def route(df: DataFrame, kind: str = "kind") -> dict[str, DataFrame]:

@@ -18,6 +18,7 @@ from ..functions.text import (
 )
 from ..functions.timewin import ColumnLike, When, as_column, moment, start_of_day, start_of_week, ts_lit
 from ..schemas import COUNTERS, EVENT, PERF
+from .extremum import fetched, first_of
 from .topk import first_per_group
 
 __all__ = [
@@ -55,7 +56,7 @@ def error_terms(
 
     A row yields an id term and a sentence term. Repeats are dropped by a grouped
     minimum of their position (id terms compare as terms, sentence terms as bare
-    sentences), then a rank limit that is applied before the shuffle.
+    sentences), packed into numbers, then a rank limit that is applied before the shuffle.
     """
     desc = F.coalesce(F.col("RenderedDescription"), F.lit(""))
     sentence = first_sentence(desc)
@@ -67,24 +68,22 @@ def error_terms(
     )
     by_id = F.when(
         F.coalesce(F.col("EventID"), F.lit(0)) != 0,
-        F.struct(F.lit(0).alias("branch"), id_term.alias("seen_as"), id_term.alias("term")),
+        F.struct(F.lit(0).alias("branch"), id_term.alias("seen_as")),
     )
     by_text = F.when(
         (F.length(desc) > 20) & (sentence != ""),
-        F.struct(
-            F.lit(1).alias("branch"), sentence.alias("seen_as"),
-            F.concat(F.lit(TERM_PREFIX), sentence).alias("term"),
-        ),
+        F.struct(F.lit(1).alias("branch"), sentence.alias("seen_as")),
     )
     candidates = (
         df.filter(F.lower("EventLevelName").isin(*levels))
-        .select(group, *order, F.explode(F.array_compact(F.array(by_id, by_text))).alias("c"))
-    )
-    first = candidates.groupBy(group, F.col("c.seen_as").alias("seen_as")).agg(
-        F.min(F.struct(*order, F.col("c.branch").alias("branch"), F.col("c.term").alias("term"))).alias("at")
+        .select(group, *order, F.inline(F.array_compact(F.array(by_id, by_text))))
     )
-    kept = first_per_group(first, [group], ["at"], k)
-    return kept.select(group, F.col("at.term").alias("term"), *(f"at.{o}" for o in order), "at.branch")
+    place = [*order, "branch"]
+    first = first_of(candidates, [group, "seen_as"], place, place)
+    # what a term is follows from what it was seen as
+    term = F.when(F.col("branch") == 0, F.col("seen_as")).otherwise(F.concat(F.lit(TERM_PREFIX), F.col("seen_as")))
+    kept = first_per_group(first.withColumn("term", term), [group], [*place, "term"], k)
+    return kept.select(group, "term", *place)
 
 
 def event_ids(c: ColumnLike) -> Column:
@@ -179,10 +178,17 @@ def cap_docs(df: DataFrame, key: str, term: str, pos: str, k: int = 2) -> DataFr
 
 
 def unique_docs(df: DataFrame, key: str, order: Sequence[str], cap: int = MAX_SNIPPETS) -> DataFrame:
-    """Documents of a request, each URL once at its first place, ``cap`` per request."""
-    rest = [c for c in df.columns if c not in (key, "url", *order)]
-    first = df.groupBy(key, "url").agg(F.min(F.struct(*order, *rest)).alias("at"))
-    return first_per_group(first, [key], ["at"], cap).select(key, "url", "at.*")
+    """Documents of a request, each URL once at its first place, ``cap`` per request.
+
+    Places are compared without the documents; titles and descriptions are fetched for those kept. At equal places a hash
+    of the row decides.
+    """
+    rest = [c for c in df.columns if c not in (key, "url")]
+    rows = df.withColumn("_row", F.xxhash64(*rest))
+    place = [*order, "_row"]
+    first = first_of(rows, [key, "url"], place, place)
+    kept = first_per_group(first, [key], [*place, "url"], cap)
+    return fetched(rows, kept, [key, "url", *place]).select(key, "url", *rest)
 
 
 def doc_context(df: DataFrame, key: str, order: Sequence[str], cap: int = MAX_SNIPPETS) -> DataFrame:

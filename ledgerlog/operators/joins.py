@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .extremum import first_whole
+
 
 def star_join(fact: DataFrame, dims: Iterable[tuple[DataFrame, str | list[str]]]) -> DataFrame:
     """Inner joins of a fact with its dimensions on equally named keys."""
@@ -99,17 +101,15 @@ def with_named(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
 
 
 def pick_one(base: DataFrame, detail: DataFrame, on: str, order: Sequence[str | Column]) -> DataFrame:
-    """One detail row per base row: the first in ``order``.
+    """One detail row per base row: the first in ``order``, NULL first.
 
-    A minimum over an ordering struct combines before the shuffle; a ranked window
-    would move every detail row of a hot key to one task.
+    The order is compared as packed numbers, in hash aggregations that combine before the shuffle; a
+    ranked window would move every detail row of a hot key to one task.
     """
-    others = [c for c in detail.columns if c != on]
-    best = (
-        detail.groupBy(on)
-        .agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_pick"))
-        .select(on, "_pick.*")
-    )
+    places = [f"_order{i}" for i in range(len(order))]
+    rows = detail.select(*detail.columns, *(
+        (F.col(o) if isinstance(o, str) else o).alias(p) for o, p in zip(order, places)))
+    best = first_whole(rows, [on], places).drop(*places)
     return base.join(best, on, "inner")
 
 
