@@ -22,6 +22,19 @@ def star_join(fact: DataFrame, dims: Iterable[tuple[DataFrame, str | list[str]]]
     return reduce(lambda left, dim: left.join(dim[0], dim[1], "inner"), dims, fact)
 
 
+def with_matches(fact: DataFrame, dims: Iterable[tuple[DataFrame, str]]) -> DataFrame:
+    """Rows of a fact that an inner join with all dimensions would keep; only their keys are read."""
+    return reduce(lambda left, dim: left.join(dim[0].select(dim[1]), dim[1], "left_semi"), dims, fact)
+
+
+def fetch(few: DataFrame, details: Iterable[tuple[DataFrame, str]]) -> DataFrame:
+    """Inner joins of a few rows, such as the first k of an order, with wide tables.
+
+    The rows are broadcast to each table, so that none of its columns is shuffled; their number must be bounded.
+    """
+    return reduce(lambda left, detail: F.broadcast(left).join(detail[0], detail[1], "inner"), details, few)
+
+
 def attach_aggs(
     base: DataFrame,
     detail: DataFrame,

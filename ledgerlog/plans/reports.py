@@ -36,7 +36,7 @@ from ..functions.timewin import (
     years_before,
 )
 from ..operators.aggregates import day_stats, monthly_stats
-from ..operators.joins import attach_aggs, star_join, update_from
+from ..operators.joins import attach_aggs, fetch, star_join, update_from, with_matches
 from ..operators.topk import top_k
 from ..operators.windows import running_total
 
@@ -74,7 +74,7 @@ def fan_out(count: str) -> Column:
     return F.greatest(F.coalesce(F.col(count), F.lit(0)), F.lit(1))
 
 
-def _named_customers(t: Tables, *cols: str) -> DataFrame:
+def _named_customers(t: Tables, *cols: str | Column) -> DataFrame:
     return t["customers"].select("customer_id", *cols)
 
 
@@ -87,16 +87,22 @@ def _named_agents(t: Tables) -> DataFrame:
 
 
 def b01(t: Tables, codes: Codes = CODES, k: int = 20) -> DataFrame:
-    """Customers with active policies, first by name."""
+    """Customers with active policies, first by name.
+
+    The first k are found on keys and names alone; the other columns are fetched for them.
+    """
     active = t["policies"].filter(F.col("status") == codes.active)
-    rows = star_join(
-        active,
-        [(_named_customers(t, "full_name", "email", "phone"), "customer_id"), (_named_packages(t), "package_id")],
-    ).select(
+    keys = with_matches(active.select("policy_id", "policy_number", "customer_id", "package_id"),
+                        [(t["packages"], "package_id")])
+    first = top_k(star_join(keys, [(_named_customers(t, "full_name"), "customer_id")]), ["full_name", "policy_number"], k)
+    rows = fetch(first, [
+        (t["policies"].select("policy_id", "status", "annual_premium"), "policy_id"),
+        (_named_customers(t, "email", "phone"), "customer_id"), (_named_packages(t), "package_id"),
+    ])
+    return top_k(rows, ["full_name", "policy_number"], k).select(
         "customer_id", "full_name", "email", "phone", "policy_number", "status", "annual_premium",
         "package_name", F.col("package_category").alias("category"),
     )
-    return top_k(rows, ["full_name", "policy_number"], k)
 
 
 def b02(t: Tables, codes: Codes = CODES) -> DataFrame:
@@ -116,21 +122,33 @@ def b02(t: Tables, codes: Codes = CODES) -> DataFrame:
     )
 
 
+def _first_claims(t: Tables, claims: DataFrame, order: Sequence[Column | str], wanted: Sequence[Column | str], k: int,
+                  policy: Sequence[str], name: str | Column) -> DataFrame:
+    """The first k claims of an order over ``claim_*`` columns, with their policy, customer and package.
+
+    They are found on keys and order columns; claims whose policy, customer or package is missing go there. Then
+    whole claims are read for the k keys, and the rest is fetched for them.
+    """
+    ordered = ["claim_id", "claim_date", "claim_amount", "policy_id"]
+    keys = star_join(claims.select(*ordered), [(t["policies"].select("policy_id", "customer_id", "package_id"), "policy_id")])
+    keys = with_matches(keys, [(t["customers"], "customer_id"), (t["packages"], "package_id")])
+    first = top_k(keys, order, k).select("claim_id")
+    few = claims.select(*wanted, "policy_id").join(F.broadcast(first), "claim_id", "left_semi")
+    rows = fetch(few, [
+        (t["policies"].select("policy_id", "customer_id", "package_id", *policy), "policy_id"),
+        (_named_customers(t, name), "customer_id"), (_named_packages(t), "package_id"),
+    ])
+    return top_k(rows, order, k)
+
+
 def b03(t: Tables, as_of: When, codes: Codes = CODES, k: int = 30) -> DataFrame:
     """Oldest pending claims."""
-    pending = t["claims"].filter(F.col("status").isin(*codes.pending_claims)).select(
-        "claim_id", "claim_number", "claim_date", "claim_amount", F.col("category").alias("claim_category"),
-        F.col("status").alias("claim_status"), "policy_id",
-    )
-    rows = star_join(
-        pending,
-        [
-            (t["policies"].select("policy_id", "policy_number", "customer_id", "package_id"), "policy_id"),
-            (_named_customers(t, F.col("full_name").alias("customer_name")), "customer_id"),
-            (_named_packages(t), "package_id"),
-        ],
-    )
-    return top_k(rows, ["claim_date", "claim_id"], k).select(
+    pending = t["claims"].filter(F.col("status").isin(*codes.pending_claims))
+    wanted = ["claim_id", "claim_number", "claim_date", "claim_amount", F.col("category").alias("claim_category"),
+              F.col("status").alias("claim_status")]
+    rows = _first_claims(t, pending, ["claim_date", "claim_id"], wanted, k, ["policy_number"],
+                         F.col("full_name").alias("customer_name"))
+    return rows.select(
         "claim_number", "claim_date", "claim_amount", "claim_category", "claim_status", "policy_number",
         "customer_name", "package_name", days_between("claim_date", as_of=as_of).alias("days_pending"),
     )
@@ -336,13 +354,13 @@ def b11(t: Tables, codes: Codes = CODES, k: int = 30) -> DataFrame:
         )
         .filter("n = 1")
     )
-    rows = star_join(
-        single, [(_named_customers(t, "full_name", "email"), "customer_id"), (_named_packages(t), "package_id")]
-    ).select(
+    order = [F.col("annual_premium").desc(), "customer_id"]
+    first = top_k(with_matches(single, [(t["customers"], "customer_id"), (t["packages"], "package_id")]), order, k)
+    rows = fetch(first, [(_named_customers(t, "full_name", "email"), "customer_id"), (_named_packages(t), "package_id")])
+    return top_k(rows, order, k).select(
         "customer_id", "full_name", "email", F.col("package_category").alias("current_category"),
         F.col("package_name").alias("current_package"), "annual_premium",
     )
-    return top_k(rows, [F.col("annual_premium").desc(), "customer_id"], k)
 
 
 def b12(t: Tables) -> DataFrame:
@@ -354,20 +372,23 @@ def b12(t: Tables) -> DataFrame:
 
 
 def b16(t: Tables, k: int = 20, precision: int = 5) -> DataFrame:
-    """Policies by share of the insured sum claimed."""
+    """Policies by share of the insured sum claimed; the names are fetched for the first k."""
     policies = t["policies"].filter(F.col("sum_insured") > 0).select(
-        "policy_id", "policy_number", "customer_id", "package_id", "sum_insured", "status"
+        "policy_id", "policy_number", "customer_id", "package_id", "sum_insured"
     )
     used = attach_aggs(policies, t["claims"], "policy_id", [F.sum("claim_amount").alias("claimed")])
-    rows = star_join(
-        used, [(_named_customers(t, "full_name"), "customer_id"), (_named_packages(t), "package_id")]
-    )
     claimed = F.coalesce(F.col("claimed"), F.lit(0))
-    out = rows.select(
-        "policy_number", "full_name", "package_name", "sum_insured", claimed.alias("total_claimed"),
-        safe_pct(claimed, F.col("sum_insured"), precision, 1).alias("utilisation_pct"), "status",
+    shares = with_matches(used, [(t["customers"], "customer_id"), (t["packages"], "package_id")]).select(
+        "policy_id", "policy_number", "customer_id", "package_id", "sum_insured", claimed.alias("total_claimed"),
+        safe_pct(claimed, F.col("sum_insured"), precision, 1).alias("utilisation_pct"),
     )
-    return top_k(out, [F.col("utilisation_pct").desc_nulls_last(), "policy_number"], k)
+    order = [F.col("utilisation_pct").desc_nulls_last(), "policy_number"]
+    rows = fetch(top_k(shares, order, k), [
+        (t["policies"].select("policy_id", "status"), "policy_id"), (_named_customers(t, "full_name"), "customer_id"),
+        (_named_packages(t), "package_id"),
+    ])
+    return top_k(rows, order, k).select(
+        "policy_number", "full_name", "package_name", "sum_insured", "total_claimed", "utilisation_pct", "status")
 
 
 def b17(t: Tables, codes: Codes = CODES) -> DataFrame:
@@ -445,17 +466,8 @@ KEYWORDS = ("%hospital%", "%vehicle%", "%damage%")
 
 def b20(t: Tables, patterns: Sequence[str] = KEYWORDS, k: int = 15) -> DataFrame:
     """Largest claims whose description holds a keyword."""
-    hits = t["claims"].filter(any_like("description", patterns)).select(
-        "claim_id", "claim_number", "description", "claim_amount", "status", "policy_id"
-    )
-    rows = star_join(
-        hits,
-        [
-            (t["policies"].select("policy_id", "customer_id", "package_id"), "policy_id"),
-            (_named_customers(t, "full_name"), "customer_id"),
-            (_named_packages(t), "package_id"),
-        ],
-    )
-    return top_k(rows, [F.col("claim_amount").desc(), "claim_id"], k).select(
+    hits = t["claims"].filter(any_like("description", patterns))
+    wanted = ["claim_id", "claim_number", "description", "claim_amount", "status"]
+    return _first_claims(t, hits, [F.col("claim_amount").desc(), "claim_id"], wanted, k, [], "full_name").select(
         "claim_number", "description", "claim_amount", "status", "full_name", "package_name"
     )

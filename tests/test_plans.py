@@ -98,3 +98,40 @@ def test_results_do_not_depend_on_partitioning(spark):
     want = sorted(map(tuple, reports.b05(tables, CODES).collect()))
     shuffled = {k: v.repartition(7, F.rand(1)) for k, v in tables.items()}
     assert sorted(map(tuple, reports.b05(shuffled, CODES).collect())) == want
+
+
+WIDE = {"email", "phone", "package_name", "claim_number", "description", "annual_premium", "claim_category"}
+
+
+def _moved(node):
+    """Names of the columns of each exchange that is no broadcast."""
+    if node.nodeName() == "Exchange":
+        yield set(node.output().mkString(",").replace("#", ",").split(","))
+    for i in range(node.children().size()):
+        yield from _moved(node.children().apply(i))
+
+
+@pytest.mark.parametrize("name", ["b01", "b03", "b11", "b16", "b20"])
+def test_top_k_reports_move_no_wide_columns(spark, name):
+    """Neither before the limit nor when the first k are fetched; names in the sort order excepted."""
+    tables = Sample(spark, SMALL).business
+    more = {"b01": (CODES,), "b03": ("2024-01-31", CODES), "b11": (CODES,)}.get(name, ())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        moved = list(_moved(getattr(reports, name)(tables, *more)._jdf.queryExecution().executedPlan()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    wide = WIDE - ({"annual_premium"} if name == "b11" else set())
+    assert moved and not any(columns & wide for columns in moved)
+
+
+def test_constraint_checks_are_one_aggregation(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["dq01_constraint_checks"](spark, SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # seven tables, of which the sample makes two from two others
+    assert len(re.findall(r"\bExchange\b", text)) < 12 and text.count("FileScan") == 9

@@ -190,3 +190,41 @@ def test_constraint_checks(spark, t):
     bad = {x.check_name: (x.bad_keys, x.bad_rows) for x in dq.check_tables(broken).collect() if x.bad_rows}
     assert bad == {"claims.policy_id -> policies.policy_id": (1, 1), "claims.status": (1, 1)}
     assert not [x for x in dq.check_tables(t).collect() if x.bad_rows]
+
+
+def test_constraint_checks_with_hot_and_null_keys(spark, t):
+    """A third of all claims has one missing policy; NULL keys and values break nothing; parents may be unused."""
+    broken = dict(t)
+    claim = t["claims"].limit(1)
+    many = claim.crossJoin(spark.range(3000).select(F.col("id").alias("n")))
+    broken["claims"] = many.withColumn("policy_id", F.expr("CASE n % 3 WHEN 0 THEN 77 WHEN 1 THEN 1 END")).withColumn(
+        "status", F.expr("CASE n % 4 WHEN 0 THEN 'Odd' WHEN 1 THEN \"it's\" WHEN 2 THEN 'Paid' END")).drop("n")
+    broken["policies"] = t["policies"].where("policy_id = 1").unionByName(
+        t["policies"].where("policy_id = 2").withColumn("agent_id", F.lit(None).cast("int")).withColumn("package_id", F.lit(5)))
+    got = {x.check_name: (x.bad_keys, x.bad_rows) for x in dq.check_tables(broken).collect()}
+    assert len(got) == 14
+    assert {k: v for k, v in got.items() if v != (0, 0)} == {
+        "claims.policy_id -> policies.policy_id": (1, 1000), "claims.status": (2, 1500),
+        "policies.package_id -> packages.package_id": (1, 1),
+        "transactions.policy_id -> policies.policy_id": (1, t["transactions"].where("policy_id NOT IN (1, 2)").count()),
+        **({"beneficiaries.policy_id -> policies.policy_id": (
+            t["beneficiaries"].where("policy_id NOT IN (1, 2)").select("policy_id").distinct().count(),
+            t["beneficiaries"].where("policy_id NOT IN (1, 2)").count())}
+           if t["beneficiaries"].where("policy_id NOT IN (1, 2)").count() else {})}
+
+
+@pytest.mark.parametrize("missing", ["customers", "packages", "policies"])
+def test_orphans_take_no_place_in_top_k_reports(spark, t, missing):
+    """A row without its customer, package or policy must not push out one that has them."""
+    some = dict(t)
+    key = {"customers": "customer_id", "packages": "package_id", "policies": "policy_id"}[missing]
+    some[missing] = t[missing].where(f"{key} <> 1")
+    if "phone" not in some["customers"].columns:
+        some["customers"] = some["customers"].withColumn("phone", F.lit("1"))
+    for report in (r.b01, lambda x, k: r.b03(x, AS_OF, k=k), r.b11, r.b16, r.b20):
+        full = [tuple(x) for x in report(some, k=50).collect()]
+        for k in (1, 2):
+            assert [tuple(x) for x in report(some, k=k).collect()] == full[:k]
+    want = t["policies"].where("status = 'Active'").join(some["customers"].select("customer_id"), "customer_id").join(
+        some["packages"].select("package_id"), "package_id").join(some["policies"].select("policy_id"), "policy_id").count()
+    assert len(r.b01(some, k=50).collect()) == want
