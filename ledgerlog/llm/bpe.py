@@ -3,9 +3,9 @@
 A prefix of a piece has exactly one encoding, and its last token is the one token that ends
 there and may follow the encoding of what stands before it: two tokens may be neighbours when
 encoding their joined bytes gives them back. The transducer reads bytes; its state is the set
-of positions from which a token may still run on, each with the tokens between the last settled
-position and it. A token is emitted as soon as all of them agree on it, so the lookahead is
-bounded by the longest token. States and arcs are made when first met and kept.
+of positions from which a token may still run on, each with the token that ends there. An arc gives the token
+that ends behind its byte. Tokens up to the position that all open ones go back to are settled and leave; the
+lookahead is bounded by the longest token. States and arcs are made when first met and kept.
 """
 
 from __future__ import annotations
@@ -24,9 +24,13 @@ from pyspark.sql import functions as F
 
 from .shared import pieces as pieces_of
 
-MOST_ARCS = 300_000
-MOST_PIECES = 250_000
+MOST_ARCS = 500_000
+#: Stretches in each of two generations; what is not met while one fills up is forgotten.
+MOST_PIECES = 200_000
 CHUNK = 1 << 16
+#: Tokens take the lower bits of an arc or an open position, nodes and states those above.
+SHIFT = 24
+LOW = (1 << SHIFT) - 1
 
 # White space as Unicode defines it.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -46,99 +50,141 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes = {rank: token for token, rank in ranks.items()}
+        self.length = {rank: len(token) for token, rank in ranks.items()}
         self.next: dict[int, int] = {}
-        self.token = [-1]
+        self.token, self.depth = [-1], [0]
         for token, rank in ranks.items():
             node = 0
             for byte in token:
                 step = node << 8 | byte
-                node = self.next.get(step, 0)
-                if not node:
-                    node = self.next[step] = len(self.token)
+                child = self.next.get(step, 0)
+                if not child:
+                    child = self.next[step] = len(self.token)
                     self.token.append(-1)
+                    self.depth.append(self.depth[node] + 1)
+                node = child
             self.token[node] = rank
+        if max(len(self.token), max(self.bytes, default=0) + 2) > LOW:
+            raise ValueError("the vocabulary is too large")
         #: Nodes from which a token goes on.
         self.inner = {step >> 8 for step in self.next}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
+        self._halves: dict[int, tuple[int, int] | None] = {}
         self._reset()
 
     def _reset(self) -> None:
-        start = (((0, ()),), -1)
+        # The root, with no token before it.
+        start = (0,)
         self.states = [start]
         self.numbers = {start: 0}
-        self.arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self.arcs: dict[int, int] = {}
 
-    def merged(self, piece: bytes) -> list[int]:
-        """Plain merging, lowest rank first; for the few bytes of two tokens."""
+    def merged(self, piece: bytes, until: int = 1) -> list[int]:
+        """Plain merging, lowest rank first, down to ``until`` parts; for the few bytes of a token or two."""
         parts = [piece[i:i + 1] for i in range(len(piece))]
-        while True:
+        while len(parts) > until:
             best, where = None, -1
             for i in range(len(parts) - 1):
                 rank = self.ranks.get(parts[i] + parts[i + 1])
                 if rank is not None and (best is None or rank < best):
                     best, where = rank, i
             if best is None:
-                return [self.ranks[p] for p in parts]
+                break
             parts[where:where + 2] = [parts[where] + parts[where + 1]]
+        return [self.ranks[p] for p in parts]
+
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens merged last into ``token``; None for a single byte, or if merging does not arrive at it."""
+        known = self._halves.get(token, 0)
+        if known == 0:
+            whole = self.bytes[token]
+            parts = self.merged(whole, 2) if len(whole) > 1 else []
+            known = self._halves[token] = tuple(parts) if len(parts) == 2 else None
+        return known
 
     def may_follow(self, before: int, token: int) -> bool:
-        known = self._pairs.get((before, token))
+        key = (before + 1) << SHIFT | token
+        known = self._pairs.get(key)
         if known is None:
             if len(self._pairs) > MOST_ARCS:
                 self._pairs.clear()
-            if before < 0:
-                known = self.merged(self.bytes[token]) == [token]
-            else:
-                known = self.merged(self.bytes[before] + self.bytes[token]) == [before, token]
-            self._pairs[before, token] = known
+            known = self._pairs[key] = self._reached(token) and (before < 0 or self._stay_apart(before, token))
         return known
 
-    def _arc(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        open_, last = self.states[state]
-        grown = []
-        step, token_of = self.next.get, self.token
-        ending = None
-        for entry, tail in open_:
-            node = step(entry << 8 | byte)
+    def _reached(self, token: int) -> bool:
+        return self.length[token] == 1 or self.halves(token) is not None
+
+    def _stay_apart(self, left: int, right: int) -> bool:
+        """No merge across the border comes before those that make up ``left`` and ``right``.
+
+        The last tokens to appear at the border are taken apart first, the one with the higher rank, at equal ranks the
+        right one; a merge of the two that stood there before must have come later than what was taken apart. Merging
+        takes equal ranks from the left, so a merge across the border at the rank of a merge right of it comes first.
+        """
+        ranks, names = self.ranks, self.bytes
+        limit = LOW
+        while True:
+            joined = ranks.get(names[left] + names[right])
+            if joined is not None and joined < limit:
+                return False
+            parts_left, parts_right = self.halves(left), self.halves(right)
+            if parts_left is not None and (parts_right is None or left > right):
+                limit, left = left, parts_left[1]
+            elif parts_right is not None:
+                limit, right = right + 1, parts_right[0]
+            else:
+                return True
+
+    def _arc(self, state: int, byte: int) -> int:
+        grown, ending = [], -1
+        step, token_of, inner = self.next.get, self.token, self.inner
+        for place in self.states[state]:
+            node = step(place >> SHIFT << 8 | byte)
             if node:
-                before = tail[-1] if tail else last
-                token = token_of[node]
-                if ending is None and token >= 0 and self.may_follow(before, token):
-                    ending = (*tail, token)
-                if node in self.inner:
-                    grown.append((node, tail))
-        if ending is None:
+                if ending < 0 and token_of[node] >= 0 and self.may_follow((place & LOW) - 1, token_of[node]):
+                    ending = token_of[node]
+                if node in inner:
+                    grown.append(node << SHIFT | place & LOW)
+        if ending < 0:
             raise ValueError("a byte is missing in the vocabulary")
-        grown.append((0, ending))
-        shared = grown[0][1]
-        agreed = len(shared)
-        for _, tail in grown:
-            if tail[:agreed] != shared[:agreed]:
-                agreed = min(agreed, len(tail))
-                while tail[:agreed] != shared[:agreed]:
-                    agreed -= 1
-        out = shared[:agreed]
-        if agreed:
-            grown = [(node, tail[agreed:]) for node, tail in grown]
-            last = out[-1]
-        after = (tuple(grown), last if any(not tail for _, tail in grown) else -1)
+        grown.append(ending + 1)
+        after = tuple(grown)
         number = self.numbers.get(after)
         if number is None:
             number = self.numbers[after] = len(self.states)
             self.states.append(after)
-        self.arcs[state << 8 | byte] = number, out
-        return number, out
+        found = self.arcs[state << 8 | byte] = number << SHIFT | ending
+        return found
+
+    def _back(self, ends: list[int], at: int) -> list[int]:
+        """The tokens up to a position, from those that end at each."""
+        found, length = [], self.length
+        while at:
+            token = ends[at - 1]
+            found.append(token)
+            at -= length[token]
+        found.reverse()
+        return found
+
+    def _settled(self, ends: list[int], state: int) -> int:
+        """The position that all open ones go back to."""
+        open_ = {len(ends) - self.depth[place >> SHIFT] for place in self.states[state]}
+        while len(open_) > 1:
+            last = max(open_)
+            open_.remove(last)
+            open_.add(last - self.length[ends[last - 1]])
+        return open_.pop()
 
     def encode(self, piece: bytes) -> list[int]:
         """The tokens of one piece."""
         if len(self.arcs) > MOST_ARCS:
             self._reset()
         arcs = self.arcs
-        state, tokens = 0, []
+        state, tokens, ends = 0, [], []
         for byte in piece:
             found = arcs.get(state << 8 | byte)
             if found is None:
-                if len(arcs) > 4 * MOST_ARCS:  # within one very long piece: keep only where we are
+                if len(arcs) > 2 * MOST_ARCS:  # within one very long piece: keep only where we are
                     here = self.states[state]
                     self._reset()
                     arcs = self.arcs
@@ -146,11 +192,13 @@ class Transducer:
                     if state == len(self.states):
                         self.states.append(here)
                 found = self._arc(state, byte)
-            state, out = found
-            if out:
-                tokens += out
-        tokens += self.states[state][0][-1][1]
-        return tokens
+            state = found >> SHIFT
+            ends.append(found & LOW)
+            if len(ends) >= CHUNK:
+                at = self._settled(ends, state)
+                tokens += self._back(ends, at)
+                del ends[:at]
+        return tokens + self._back(ends, len(ends))
 
 
 class Utf8Stream:
@@ -184,6 +232,18 @@ class Utf8Stream:
         yield state
 
 
+class Kept(dict):
+    """Packed tokens of stretches met lately; clearing keeps one older generation."""
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict[str, bytes] = {}
+
+    def clear(self) -> None:
+        self.old = dict(self)
+        super().clear()
+
+
 class Vocabulary:
     """Ranks to broadcast. What a worker process builds of them lives as long as its copy."""
 
@@ -202,8 +262,8 @@ class Vocabulary:
         return Utf8Stream({rank: token for token, rank in self.ranks.items()})
 
     @cached_property
-    def kept(self) -> dict[str, bytes]:
-        return {}
+    def kept(self) -> Kept:
+        return Kept()
 
 
 def packed(machine: Transducer, stretches, pieces, kept: dict[str, bytes], text: str) -> bytes:
@@ -212,8 +272,10 @@ def packed(machine: Transducer, stretches, pieces, kept: dict[str, bytes], text:
     for stretch in stretches(text):
         found = kept.get(stretch)
         if found is None:
-            ids = [i for piece in pieces(stretch) for i in machine.encode(piece.encode())]
-            found = array("I", ids).tobytes()
+            found = kept.old.get(stretch) if isinstance(kept, Kept) else None
+            if found is None:
+                ids = [i for piece in pieces(stretch) for i in machine.encode(piece.encode())]
+                found = array("I", ids).tobytes()
             if len(stretch) < 64:
                 if len(kept) >= MOST_PIECES:
                     kept.clear()

@@ -4,9 +4,11 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -266,6 +268,56 @@ def test_encode_awkward(spark, ranks, reference):
     assert bpe.encode(rows.where("false"), shared, public_tokenizers.PATTERN).collect() == []
 
 
+def test_neighbours_agree_with_merging(ranks, machine):
+    """Taking tokens apart at their border tells the same as merging their joined bytes."""
+    rng = random.Random(5)
+    ids = list(ranks.values())
+    pairs = {(rng.choice(ids), rng.choice(ids)) for _ in range(4000)}
+    for _ in range(40000):
+        whole = machine.bytes[rng.choice(ids)]
+        cut = rng.randrange(len(whole) + 1)
+        if whole[:cut] in ranks and whole[cut:] in ranks:
+            pairs.add((ranks[whole[:cut]], ranks[whole[cut:]]))
+    for a, b in pairs:
+        assert machine.may_follow(a, b) == (machine.merged(machine.bytes[a] + machine.bytes[b]) == [a, b])
+
+
+@pytest.mark.parametrize("chunk,arcs", [(1, 500), (7, 20), (150, 5)])
+def test_settled_tokens_leave_long_pieces(ranks, reference, monkeypatch, chunk, arcs):
+    """Pieces far beyond the lookahead, and states and arcs forgotten within one piece, change nothing."""
+    monkeypatch.setattr(bpe, "CHUNK", chunk)
+    monkeypatch.setattr(bpe, "MOST_ARCS", arcs)
+    machine = bpe.Transducer(ranks)
+    rng = random.Random(chunk)
+    for alphabet in ("a", "ab", "abcdefghijklmnopqrstuvwxyz", " ", "é日"):
+        piece = "".join(rng.choices(alphabet, k=1500))
+        whole = b"".join(reference.decode_single_token_bytes(i) for i in machine.encode(piece.encode()))
+        assert whole == piece.encode()
+        assert machine.encode(piece.encode()) == reference._encode_single_piece(piece.encode())
+
+
+def test_forgotten_stretches_are_encoded_again(ranks, reference, monkeypatch, machine):
+    monkeypatch.setattr(bpe, "MOST_PIECES", 3)
+    kept = bpe.Kept()
+    split, pieces = re.compile(bpe.STRETCHES).findall, regex.compile(public_tokenizers.PATTERN).findall
+    text = " ".join(f"word{i % 9} the" for i in range(60))
+    for _ in range(2):
+        ids = np.frombuffer(bpe.packed(machine, split, pieces, kept, text), "<u4").tolist()
+        assert ids == reference.encode_ordinary(text) and len(kept) <= 3 and len(kept.old) <= 3
+
+
+def test_op3_equals_the_public_library_on_every_row(spark, reference, middle):
+    rows = QUERIES["op3_byte_bpe"](spark, middle).join(spark.read.parquet(f"{middle}/documents.parquet"), "doc_id")
+    n = 0
+    for row in rows.toLocalIterator():
+        ids = reference.encode_ordinary(row.text or "")
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256((row.text or "").encode()).hexdigest()
+        n += 1
+    assert n == 1000
+
+
 def test_op3_digests(spark, reference, small):
     rows = QUERIES["op3_byte_bpe"](spark, small).join(spark.read.parquet(f"{small}/documents.parquet"), "doc_id")
     for row in rows.limit(40).collect():
