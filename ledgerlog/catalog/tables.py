@@ -12,7 +12,7 @@ from ..operators import snapshots as snap
 from ..operators.joins import update_from
 from ..schemas import BUSINESS, EVENT, PERF, conform
 from ..session import fresh_path
-from ..sources import readers, writers
+from ..sources import readers, textindex, writers
 from .bindings import over
 from .registry import query
 
@@ -161,6 +161,28 @@ def _snk02_log(s):
     )
 
 
+def _indexed(s, rows, folder, columns):
+    path, index = fresh_path(s.spark, folder), fresh_path(s.spark, f"{folder}-index")
+    rows.write.parquet(path)
+    textindex.index_files(s.spark, path, columns, index)
+    return lambda *pairs: textindex.search(s.spark, path, index, pairs)
+
+
+@query("flt17_indexed_patterns", """SELECT doc_id, lang FROM documents
+  WHERE text ILIKE '%license%' OR text ILIKE '%email%' OR source ILIKE '%forum%'""")
+def _flt17_indexed(s):
+    docs = s.table("documents").select("doc_id", "lang", "source", "text").repartition(16, "doc_id")
+    search = _indexed(s, docs, "texts", ["text", "source"])
+    return search(("text", "%license%"), ("text", "%email%"), ("source", "%forum%")).select("doc_id", "lang")
+
+
+@query("flt09_indexed_messages", over("log") + """SELECT Computer, TimeGenerated, RenderedDescription FROM log
+  WHERE RenderedDescription ILIKE '%deadlock%'""")
+def _flt09_indexed(s):
+    rows = s.log.select("Computer", "TimeGenerated", "RenderedDescription").repartition(16, "Computer")
+    return _indexed(s, rows, "messages", ["RenderedDescription"])(("RenderedDescription", "%deadlock%"))
+
+
 @query("snk03_temp_snapshot", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
 def _snk03(s):
     view = f"snapshot_{uuid.uuid4().hex}"
