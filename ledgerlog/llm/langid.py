@@ -135,7 +135,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
                        (F.lit(True) if usable is None else usable).alias("usable"))
     rows = rows.where("usable AND id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     chosen = hashed_sample(rows.select("id", "lang"), "lang", "id", sample).select("id").distinct()
-    counts = (rows.join(chosen, "id", "left_semi").select("lang", "text")
+    counts = (rows.join(F.broadcast(chosen), "id", "left_semi").select("lang", "text")  # at most ``sample`` ids a language
               .mapInArrow(_counted, "lang string, n int, gram string, count bigint")
               .groupBy("lang", "n", "gram").agg(F.sum("count").alias("count"))
               .where(F.col("count") >= LEAST_COUNT))

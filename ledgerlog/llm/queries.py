@@ -17,6 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 RANKS = "byte_bpe_50k.tiktoken"
+#: Words of a shingle in ``op4`` and in the stage of the pipeline that calls the same operator.
+SHINGLE_WORDS = 4
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -65,7 +67,7 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op4_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, folder, "documents"), words=4)
+    return minhash.near_duplicates(table(spark, folder, "documents"), words=SHINGLE_WORDS)
 
 
 @query

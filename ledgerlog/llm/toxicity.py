@@ -1,7 +1,9 @@
 """Toxicity by multiple-instance learning: documents are bags of sentences.
 
-Only documents have labels. A sentence scores s = sigmoid(bias + weights of its words), and the
-document 1 - product of (1 - s) (noisy-or). The weights follow from the likelihood of the
+Only documents have labels. A sentence scores s = sigmoid(bias + weights of its words). With
+leak = sigmoid(bias), the document scores 1 - (1 - leak) * product of (1 - s) / (1 - leak) over the
+sentences with s > leak: a noisy-or whose leak counts once a document, so that sentences without
+evidence add nothing, however many there are. The weights follow from the likelihood of the
 document labels, so blame falls on the sentences that explain them; these are reported.
 """
 
@@ -31,9 +33,9 @@ THRESHOLD = 0.7
 SENTENCE = 0.5
 KEPT_WORDS = 250_000
 NEVER = -30.0
+HIGHEST_LEAK = -4.0
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
-_WORDY = re.compile(r"[^.!?\n]*?[^\W_][^.!?\n]*")
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -96,8 +98,8 @@ def support(n0: int, n1: int) -> int:
 def fit(labels: np.ndarray, sizes: np.ndarray, cells: list[list[int]], n_features: int) -> tuple[float, np.ndarray]:
     """Bias and weights of highest penalised likelihood of the document labels, by Adam.
 
-    Both labels weigh the same, but the bias stays so low that the length of no document met here
-    makes it toxic by itself. Without features, nothing is toxic.
+    Both labels weigh the same, but the bias stays at ``HIGHEST_LEAK`` or below, since its sigmoid is what
+    a document scores without evidence. Without features, nothing is toxic.
     """
     bags = sizes > 0
     labels, sizes, cells = labels[bags].astype(float), sizes[bags], [c for c, b in zip(cells, bags) if b]
@@ -108,24 +110,27 @@ def fit(labels: np.ndarray, sizes: np.ndarray, cells: list[list[int]], n_feature
     flat = [np.array(c, np.int64).reshape(-1, 3) + [[head, 0, 0]] for c, head in zip(cells, heads)]
     row, col, count = np.concatenate(flat).T
     balance = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
-    highest = float(np.log(np.expm1(-np.log1p(-SENTENCE) / sizes.max())))
     theta = np.zeros(n_features + 1)
-    theta[-1] = min(-6.0, highest)
+    theta[-1] = min(-6.0, HIGHEST_LEAK)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
-        z = np.bincount(row, count * theta[col], len(doc)) + theta[-1]
-        z = np.clip(z, -30, 30)
-        s = 1 / (1 + np.exp(-z))
-        clean = np.add.reduceat(-np.logaddexp(0, z), heads)  # log of the product of 1 - s
+        evidence = np.bincount(row, count * theta[col], len(doc))
+        told = evidence >= 0
+        z = np.clip(evidence + theta[-1], -30, 30)
+        s = np.where(told, 1 / (1 + np.exp(-z)), 0.0)
+        leak = 1 / (1 + np.exp(-theta[-1]))
+        base = np.logaddexp(0, theta[-1])
+        clean = -base - np.add.reduceat(np.where(told, np.logaddexp(0, z) - base, 0.0), heads)
         p = np.clip(-np.expm1(clean), 1e-12, 1)
         pull = np.where(labels == 1, np.exp(clean) / p, -1.0) * balance
         slope = pull[doc] * s
-        gradient = np.append(np.bincount(col, count * slope[row], n_features), slope.sum())
+        of_bias = slope.sum() - leak * (pull[doc] * told).sum() + leak * pull.sum()
+        gradient = np.append(np.bincount(col, count * slope[row], n_features), of_bias)
         gradient[:-1] -= PENALTY * theta[:-1]
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         theta += RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-        theta[-1] = min(theta[-1], highest)
+        theta[-1] = min(theta[-1], HIGHEST_LEAK)
     return float(theta[-1]), theta[:-1]
 
 
@@ -146,14 +151,19 @@ class Model:
 
     def score(self, text: str | None) -> tuple[float, list[dict]]:
         """The document's score and the sentences that score ``SENTENCE`` or more."""
-        clean, blamed = 0.0, []
-        weight = self.weight
-        if not any(map(weight, set(_WORD.findall((text or "").lower())))):
-            n = len(_WORDY.findall(text or ""))
-            return float(-np.expm1(-n * np.log1p(np.exp(self.bias)))), blamed
+        text, blamed = text or "", []
+        if not _WORD.search(text):
+            return 0.0, blamed
+        base, weight = float(np.logaddexp(0, self.bias)), self.weight
+        clean = -base
+        if not any(map(weight, set(_WORD.findall(text.lower())))):
+            return float(-np.expm1(clean)), blamed
         for begin, end, words in sentences_of(text):
-            z = min(30.0, max(-30.0, self.bias + sum(map(weight, words))))
-            clean -= np.log1p(np.exp(z)) if z else np.log(2.0)
+            evidence = sum(map(weight, words))
+            if evidence <= 0:
+                continue
+            z = min(30.0, self.bias + evidence)
+            clean -= float(np.logaddexp(0, z)) - base
             if z >= 0:
                 blamed.append({"begin": begin, "end": end, "score": float(1 / (1 + np.exp(-z)))})
         return float(-np.expm1(clean)), blamed
@@ -213,7 +223,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     """The columns ``keep``, then ``score``, ``predicted`` (1 from ``THRESHOLD`` on) and ``sentences``.
 
     ``sentences`` are the [begin, end) character ranges of sentences that score ``SENTENCE`` or
-    more. NULL and wordless texts score 0. Repeated rows stay; other columns are ignored; an empty
+    more. NULL and wordless texts score 0, texts without evidence the sigmoid of the bias, whatever their length. Repeated rows stay; other columns are ignored; an empty
     table gives an empty result.
     """
     names = [f"c{i}" for i in range(len(keep))]

@@ -1,6 +1,7 @@
 """Language, toxicity, near-duplicates, decontamination and tokens on small and awkward tables."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -413,21 +414,61 @@ def test_toxicity_of_few_toxic_labels(spark):
     assert toxicity.support(10**5, 6) == toxicity.FLOOR and toxicity.support(10**5, 10**5) == toxicity.LEAST_DOCS
 
 
-def test_noisy_or_agrees_with_the_full_product():
-    model = toxicity.Model(-3.0, {"=bad": 4.0})
-    text = "a b. c bad d! e\nf_ __ ."
-    parts = [1 / (1 + 2.718281828459045 ** -(-3.0 + 4.0 * ("bad" in w))) for _, _, w in toxicity.sentences_of(text)]
-    clean = 1.0
-    for p in parts:
-        clean *= 1 - p
-    assert abs(model.score(text)[0] - (1 - clean)) < 1e-12
-    assert abs(model.score("a. b. c")[0] - (1 - (1 - 1 / (1 + 2.718281828459045**3)) ** 3)) < 1e-12
+def test_leaky_noisy_or_agrees_with_the_full_product():
+    model = toxicity.Model(-3.0, {"=bad": 4.0, "=good": -2.0})
+    leak = 1 / (1 + math.exp(3.0))
+    clean = 1 - leak
+    text = "a b. c bad d! e\nf_ __ . good day. bad good"
+    for _, _, w in toxicity.sentences_of(text):
+        s = 1 / (1 + math.exp(3.0 - 4.0 * ("bad" in w) + 2.0 * ("good" in w)))
+        clean *= (1 - s) / (1 - leak) if s > leak else 1
+    score, blamed = model.score(text)
+    assert abs(score - (1 - clean)) < 1e-12
+    assert [text[b["begin"]:b["end"]] for b in blamed] == [" c bad d"]
+    assert abs(model.score("a. b. c")[0] - leak) < 1e-12
+    assert [model.score(t)[0] for t in (None, "", "_ ... \n!")] == [0.0] * 3
 
 
-@settings(max_examples=100, deadline=None)
-@given(st.text(alphabet="ab_.!?\n é1", max_size=60))
-def test_sentences_with_words_are_counted_alike(text):
-    assert len(toxicity._WORDY.findall(text)) == len(toxicity.sentences_of(text))
+def test_length_is_no_evidence(spark):
+    texts, marks = labelled(spark)
+    model = toxicity.train(texts, marks)
+    for sentence in ("The weather is fine. ", "Nothing to see here\n"):
+        assert model.score(sentence * 100_000)[0] < 0.1
+        assert model.score(sentence * 50_000 + "What a vile thing. " + sentence * 50_000)[0] >= toxicity.THRESHOLD
+
+
+def test_training_agrees_with_plain_loops(monkeypatch):
+    """Adam over the gradient of the documents' likelihood, sentence by sentence."""
+    monkeypatch.setattr(toxicity, "STEPS", 12)
+    rng = random.Random(4)
+    bags = [[{rng.randrange(4): rng.randrange(1, 3) for _ in range(rng.randrange(3))} for _ in range(rng.randrange(5))]
+            for _ in range(25)]
+    labels = [i % 2 for i in range(25)]
+    cells = [[v for i, s in enumerate(bag) for k, c in s.items() for v in (i, k, c)] for bag in bags]
+    bias, weights = toxicity.fit(np.array(labels), np.array([len(b) for b in bags]), cells, 4)
+    used = [(label, bag) for label, bag in zip(labels, bags) if bag]
+    of = [sum(x == k for x, _ in used) for k in (0, 1)]
+    theta, first, second = [0.0] * 4 + [-6.0], [0.0] * 5, [0.0] * 5
+    for step in range(1, 13):
+        gradient = [-toxicity.PENALTY * x for x in theta[:4]] + [0.0]
+        leak = 1 / (1 + math.exp(-theta[4]))
+        for label, bag in used:
+            told = [(s, e) for s in bag if (e := sum(c * theta[k] for k, c in s.items())) >= 0]
+            clean = 1 - leak
+            for _, e in told:
+                clean *= (1 - 1 / (1 + math.exp(-theta[4] - e))) / (1 - leak)
+            pull = (clean / (1 - clean) if label else -1.0) * 0.5 / of[label]
+            gradient[4] += pull * leak
+            for s, e in told:
+                score = 1 / (1 + math.exp(-theta[4] - e))
+                gradient[4] += pull * (score - leak)
+                for k, c in s.items():
+                    gradient[k] += pull * c * score
+        for i, g in enumerate(gradient):
+            first[i], second[i] = 0.9 * first[i] + 0.1 * g, 0.999 * second[i] + 0.001 * g * g
+            theta[i] += toxicity.RATE * (first[i] / (1 - 0.9**step)) / (math.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
+        theta[4] = min(theta[4], toxicity.HIGHEST_LEAK)
+    assert np.allclose([*weights, bias], theta, atol=1e-6)
 
 
 def test_split_of_sliced_and_null_columns():
@@ -443,6 +484,30 @@ def test_split_of_sliced_and_null_columns():
 # the pipeline
 
 
+def test_pipeline_filters_awkward_rows(spark, small):
+    """Empty tables, NULL and repeated ids, extra columns whose names the operators use."""
+    import corpus_pipeline as p
+
+    text = "one two three four five six seven eight nine ten"
+    rows = spark.createDataFrame(
+        [(1, text, "a"), (2, text, "b"), (2, text, "b"), (None, text, "c"), (4, None, "d"), (5, "", "e"), (None, None, None)],
+        "doc_id bigint, text string, score string").withColumn("kept", F.lit(0)).withColumn("lang", F.lit("en"))
+    for stage in (p.near_duplicates, p.decontamination, p.toxic, p.language):
+        assert stage(spark, rows.limit(0), small).collect() == []
+        assert stage(spark, rows, small).columns == rows.columns
+    once = p.near_duplicates(spark, rows, small).collect()
+    assert sorted((r.doc_id or 0, r.score or "") for r in once) == [(0, ""), (0, "c"), (1, "a"), (4, "d"), (5, "e")]
+    assert p.decontamination(spark, rows, small).count() == p.toxic(spark, rows, small).count() == 7
+
+
+def test_pipeline_filters_do_not_shuffle_texts(spark, small):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    plan = p.without(docs, docs.where("doc_id % 7 = 0"), "gone")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_pipeline_stages(spark, small):
     import corpus_pipeline as p
 
@@ -454,7 +519,7 @@ def test_pipeline_stages(spark, small):
     kept = p.language(spark, table, small)
     assert kept.columns == rows.columns and {r.doc_id for r in table.select("doc_id").subtract(kept.select("doc_id")).collect()} == {9001, 9002}
     once = p.near_duplicates(spark, rows, small)
-    groups = {r.doc_id: r.component_id for r in minhash.near_duplicates(rows).collect()}
+    groups = {r.doc_id: r.component_id for r in minhash.near_duplicates(rows, words=4).collect()}
     assert sorted(r.doc_id for r in once.select("doc_id").collect()) == sorted(set(groups.values()))
     clean = p.decontamination(spark, rows, small)
     bad = suffixes.overlaps(rows, spark.read.parquet(f"{small}/benchmark.parquet")).where("contaminated").count()
@@ -488,7 +553,7 @@ def test_pipeline_matches_plain_python(spark, reference, small):
     clean = [(k, t) for k, t in rows.items() if toxic.score(t)[0] < toxicity.THRESHOLD]
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
     assert all(labels.get(k) for k in set(rows) - dict(clean).keys())  # no document labelled clean goes
-    least = brute_components(clean, 5)
+    least = brute_components(clean, 4)
     windows = {}
     split = re.compile(r"[a-z0-9\u0080-\U0010ffff]+").findall
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
