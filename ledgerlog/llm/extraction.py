@@ -22,9 +22,14 @@ from .shared import pieces
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe select button svg math object".split())
+RAW = frozenset("script style title textarea template iframe select button svg".split())
+#: Of these an end tag that is missing is the end of the page; the others hold text then.
+ENDLESS = frozenset("script style".split())
+#: The next of these ends the one before, which then had no end tag.
+UNNESTED = frozenset("button select".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
-                   "span strike strong sub sup time tt u var wbr img".split())
+                   "span strike strong sub sup time tt u var wbr img math mi mn mo ms mtext mrow msup msub mfrac "
+                   "msqrt object".split())
 CONTENT_TAGS = frozenset(["article", "main"])
 BOILER_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
 #: Class and id words that mark a container; soft ones do not within the article or beside content words.
@@ -140,7 +145,10 @@ def _mark(name: str, attributes: str, within_article: bool) -> tuple[int, int]:
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The text blocks of a page in order; comments, scripts, styles and form controls have none."""
+    """The text blocks of a page in order; comments, scripts, styles and form controls have none.
+
+    A form control or drawing that is never closed is read as text, so that it cannot swallow the rest of the page.
+    """
     found: list[Block] = []
     open_ = _Open()
     parts: list[str] = []
@@ -150,13 +158,14 @@ def blocks_of(page: str) -> list[Block]:
     def end() -> None:
         nonlocal linked
         if parts:
-            text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
+            text = _SPACE.sub(" ", "".join(parts)).strip()
             if text:
                 words = text.count(" ") + 1
                 found.append(Block(text, int(open_.boiler > 0), int(open_.article > 0), words, min(1.0, linked / words)))
             parts.clear()
         linked = 0
 
+    ends: dict[str, re.Pattern | None] = {}
     at, size = 0, len(page)
     while at < size:
         begin = page.find("<", at)
@@ -164,7 +173,7 @@ def blocks_of(page: str) -> list[Block]:
         # Without a tag there the text goes on, a less-than sign included.
         stop = size if begin < 0 else begin if m else begin + 1
         if stop > at:
-            text = page[at:stop]
+            text = html.unescape(page[at:stop])  # a reference ends where a tag begins
             parts.append(text)
             if links:
                 linked += len(text.split())
@@ -183,9 +192,14 @@ def blocks_of(page: str) -> list[Block]:
             open_.close(name)
             continue
         if name in RAW:
-            closing = re.compile(f"</{re.escape(name)}\\b[^>]*>?", re.I).search(page, at)
-            at = closing.end() if closing else size
-            continue
+            if name not in ends:
+                ends[name] = re.compile(f"<{'/?' if name in UNNESTED else '/'}{name}\\b[^>]*>?", re.I)
+            closing = ends[name].search(page, at) if ends[name] else None
+            if closing and closing[0].startswith("</") or name in ENDLESS:
+                at = closing.end() if closing else size
+                continue
+            if not closing:
+                ends[name] = None  # nor will a later one find an end
         if name == "a":
             links = 1
         if name not in INLINE:

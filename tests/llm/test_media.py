@@ -204,6 +204,21 @@ def test_labelled_table_is_learned():
     assert hits.all() and len(table) < 200
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><p>First part.</p><button>Like<p>Second part.</p></article>", "First part. Like Second part."),
+    ("<article><p>One</p><select><option>x<p>Two</article>", "One x Two"),
+    ("<article>a<button>b<p>c</p><button>d</button><p>e</p></article>", "a b c e"),
+    ("<article>a<button>b</button><select><option>c</select> d</article>", "a d"),
+    ("<article><p>We have <math><mi>x</mi>=2</math> here</p><object>o</object></article>", "We have x=2 here o"),
+    ("<article>x<noscript>y</noscript><svg><text>no</text></svg>z<svg>open</article>", "x y z open"),
+    ("<article>one<script>two</article>", "one"),
+    ("<article>a &<i>lt;</i> b &amp;lt; &lt; c</article>", "a &lt; b &lt; < c"),
+    ("<article>a &<b>amp;</b></article>", "a &amp;"),
+])
+def test_open_elements_and_split_references(page, text):
+    assert " ".join(extraction.main_text(page, extraction._tree()).split()) == text
+
+
 def test_extract_table(spark):
     rows = pages(spark, [(1, "u", None), (2, None, ""), (3, "u", PAGE), (3, "u", PAGE), (None, "u", "<article>x" + " y" * 300_000)])
     out = extraction.extract(rows).collect()
