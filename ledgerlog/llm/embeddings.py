@@ -1,9 +1,11 @@
 """Near-duplicate vectors by sorted projection passes.
 
-A pass gives each vector the signs of random projections, concatenated to one number. Vectors
-whose first bits agree share a cell, and all vectors of a cell are compared with one another, in
-blocks of bounded size, however many they are. Links of all passes are united. Before that,
-dense groups are folded: in the order of the numbers, a vector joins a leader among the last
+A pass gives each vector the signs of random projections, concatenated to one number. The vectors
+of a label are ordered by it, and each is compared with at least the next ``CELL`` ones: blocks of
+that many, each with itself and the one after. Vectors whose first bits agree follow one another
+(a cell); a cell that is larger than a window is compared in full, in blocks of bounded size, so
+that every cell is compared whole, however many share it. Links of all passes are united. Before
+that, dense groups are folded: in the order of the numbers, a vector joins a leader among the last
 ones when it lies within half the threshold angle, so that all members of a leader are linked to one
 another by the triangle inequality, and a group of thousands of copies needs no list of pairs.
 Every vector then brings its leader into its own cell: leaders of linked members may lie
@@ -21,38 +23,44 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
+from ..operators.windows import dense_ids
 from .components import connected
 from .shared import scratch, written
 
 WINDOW = 64
 FOLDS = 3
-RECALL = 0.99
-LEAST_PASSES = 1
+RECALL = 0.9999
 BITS = 62
-CELL = 512
+CELL = 1024
 BLOCK = 2048
-EXACT = 8192
 STRIP = 256
 SLACK = 1e-7
+#: In place of a cell: rows of a window of the order.
+ORDER = -1
 
 
-def bits_for(n: int, cell: int = CELL, exact: int = EXACT) -> int:
-    """Leading bits that name a cell: up to ``exact`` vectors share one, more are dealt to cells of ``cell`` on average."""
-    return 0 if n <= exact else max(0, ceil(log2(n / cell)))
+def bits_for(n: int, cell: int = CELL) -> int:
+    """Leading bits that name a cell, so that ``n`` evenly spread vectors fill cells of at most ``cell``."""
+    return max(0, ceil(log2(max(n, 1) / cell)))
 
 
-def passes_for(n: int, cosine: float, cell: int = CELL, recall: float = RECALL, exact: int = EXACT) -> int:
+def passes_for(n: int, cosine: float, cell: int = CELL, recall: float = RECALL) -> int:
     """Passes in which a pair at the threshold shares a cell at least once with probability ``recall``.
 
     Each bit agrees with probability 1 - angle / pi, whatever other vectors there are.
     """
-    meet = (1 - acos(cosine) / pi) ** bits_for(n, cell, exact)
-    return LEAST_PASSES if meet > recall else max(LEAST_PASSES, ceil(log(1 - recall) / log(1 - meet)))
+    meet = (1 - acos(cosine) / pi) ** bits_for(n, cell)
+    return 1 if meet > recall else ceil(log(1 - recall) / log(1 - meet))
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, dim).astype(float)
+    """Packed vectors as rows of doubles, each divided by a power of two: no cosine changes, no square overflows."""
+    packed = b"".join(column.to_pylist())
+    number = np.float32 if len(packed) == 4 * dim * len(column) else np.float64
+    rows = np.frombuffer(packed, number).reshape(-1, dim).astype(float)
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1))[1][:, None])
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -63,18 +71,27 @@ def _projections(dim: int, number: int) -> np.ndarray:
     return np.random.default_rng([dim, number]).standard_normal((dim, BITS))
 
 
-def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Usable vectors: labelled, finite, not zero; packed as 32-bit floats."""
-    for batch in batches:
-        rows = []
-        for key, label, vector in zip(*(batch.column(c).to_pylist() for c in ("id", "label", "vector"))):
-            if key is None or label is None or not vector or None in vector:
-                continue
-            values = np.array(vector, np.float32)
-            if np.isfinite(values).all() and values.any():
-                rows.append({"id": key, "label": label, "dim": len(values), "vector": values.tobytes()})
-        yield pa.RecordBatch.from_pylist(rows, pa.schema(
-            [("id", pa.int64()), ("label", pa.int64()), ("dim", pa.int32()), ("vector", pa.binary())]))
+def _bundles(number: type):
+    """Usable vectors: labelled, finite, not zero; packed in the type they came in."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for key, label, vector in zip(*(batch.column(c).to_pylist() for c in ("id", "label", "vector"))):
+                if key is None or label is None or not vector or None in vector:
+                    continue
+                values = np.array(vector, number)
+                if np.isfinite(values).all() and values.any():
+                    rows.append({"id": key, "label": label, "dim": len(values), "vector": values.tobytes()})
+            yield pa.RecordBatch.from_pylist(rows, pa.schema(
+                [("id", pa.int64()), ("label", pa.int64()), ("dim", pa.int32()), ("vector", pa.binary())]))
+
+    return run
+
+
+def _numbers(rows: np.ndarray, number: int) -> np.ndarray:
+    """The concatenated signs of each row in a pass."""
+    signs = (rows @ _projections(rows.shape[1], number) > 0).astype(np.int64)
+    return signs @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
 
 
 def _keyed(numbers: list[int], rest: list[str]):
@@ -86,11 +103,9 @@ def _keyed(numbers: list[int], rest: list[str]):
                 part = batch.filter(pa.array(dims == dim))
                 rows = matrix(part.column("vector"), dim)
                 for number in numbers:
-                    bits = (rows @ _projections(dim, number) > 0).astype(np.int64)
-                    keys = bits @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
                     yield pa.RecordBatch.from_arrays(
                         [*(part.column(c) for c in rest), pa.array(np.full(len(rows), number, np.int32)),
-                         pa.array(keys)], [*rest, "pass", "key"])
+                         pa.array(_numbers(rows, number))], [*rest, "pass", "key"])
 
     return run
 
@@ -133,33 +148,36 @@ def _folded(limit: float, window: int):
     return run
 
 
-def _cells(numbers: list[int], bits: int):
-    """The cell of each vector in each pass, with the vector's leader."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            dims = batch.column("dim").to_numpy()
-            for dim in np.unique(dims).tolist():
-                part = batch.filter(pa.array(dims == dim))
-                rows = matrix(part.column("vector"), dim)
-                for number in numbers:
-                    signs = (rows @ _projections(dim, number)[:, :bits] > 0).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("label"), part.column("dim"), pa.array(np.full(len(rows), number, np.int32)),
-                         pa.array(signs @ (1 << np.arange(bits, dtype=np.int64))), part.column("leader")],
-                        ["label", "dim", "pass", "cell", "leader"])
-
-    return run
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of each vector in each pass of its label, and its cell, with the vector's leader."""
+    for batch in batches:
+        dims, passes, bits = (batch.column(c).to_numpy() for c in ("dim", "passes", "bits"))
+        for dim in np.unique(dims).tolist():
+            at = np.flatnonzero(dims == dim)
+            rows = matrix(batch.take(pa.array(at)).column("vector"), dim)
+            for number in range(int(passes[at].max())):
+                more = np.flatnonzero(passes[at] > number)
+                part = batch.take(pa.array(at[more]))
+                keys = _numbers(rows[more], FOLDS + number)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("label"), part.column("dim"), pa.array(np.full(len(more), number, np.int32)),
+                     pa.array(keys), pa.array(keys >> (BITS - bits[at[more]])), part.column("leader")],
+                    ["label", "dim", "pass", "key", "cell", "leader"])
 
 
 def _near(angle: float, cosine: float):
-    """Pairs of leaders in two blocks of a cell whose members may be linked; ``sure`` if both stand alone and are."""
-    def met(dim: int, i: int, j: int, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of leaders in two blocks whose members may be linked; ``sure`` if both stand alone and are.
+
+    Block ``i`` of a cell is compared with block ``j``, which may be itself; block ``i`` of the order with
+    itself and the next one.
+    """
+    def met(dim: int, cell: int, i: int, j: int, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(parts)
         raw = matrix(table.column("vector"), dim)
         rows = unit(raw)
         ids, radius, size, own = (table.column(c).to_numpy() for c in ("leader", "radius", "size", "own"))
-        right = np.flatnonzero(own == j)
-        left = right if i == j else np.flatnonzero(own == i)
+        left = np.flatnonzero(own == i)
+        right = np.arange(len(own)) if cell == ORDER else np.flatnonzero(own == j)
         if not len(left) or not len(right):
             return
         for begin in range(0, len(left), STRIP):
@@ -169,8 +187,7 @@ def _near(angle: float, cosine: float):
             a, b = np.nonzero(near >= np.cos(min(pi, widest)) - SLACK)
             value, a, b = near[a, b], strip[a], right[b]
             hit = np.arccos(np.clip(value, -1, 1)) <= angle + radius[a] + radius[b] + SLACK
-            if i == j:
-                hit &= a < b
+            hit &= ((a < b) | (own[b] != i)) & (ids[a] != ids[b])  # a leader has a place in each cell of its members
             value, a, b = value[hit], a[hit], b[hit]
             alone = (size[a] == 1) & (size[b] == 1)
             for k in np.flatnonzero(alone & (np.abs(value - cosine) < SLACK)).tolist():
@@ -186,12 +203,12 @@ def _near(angle: float, cosine: float):
         now, parts = None, []
         for key, part in _runs(batches, ("label", "dim", "pass", "cell", "i", "j")):
             if key != now and parts:
-                yield from met(now[1], now[4], now[5], parts)
+                yield from met(now[1], *now[3:], parts)
                 parts = []
             now = key
             parts.append(part)
         if parts:
-            yield from met(now[1], now[4], now[5], parts)
+            yield from met(now[1], *now[3:], parts)
 
     return run
 
@@ -219,28 +236,39 @@ def _ordered(leaders: DataFrame, numbers: list[int]) -> DataFrame:
     return keyed.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def _blocks(entries: DataFrame, leaders: DataFrame) -> DataFrame:
-    """The leaders of each cell, with their vectors, once for each pair of blocks of the cell they belong to."""
+def _blocks(entries: DataFrame, leaders: DataFrame, window: int, path: str) -> DataFrame:
+    """The leaders to be compared in one go, with their vectors.
+
+    Of the order: each block of ``window`` with the one after. Of each cell beyond a window: once for each
+    pair of blocks of the cell they belong to.
+    """
     cell = ["label", "dim", "pass", "cell"]
-    sizes = (entries.groupBy(cell).agg(F.count("*").alias("n")).where("n > 1")
+    order = F.struct("label", "dim", "pass", "key", "leader").alias("place")
+    numbered = dense_ids(entries.select(order), "place", "rank", path, start=0).withColumn(
+        "own", F.floor(F.col("rank") / window))
+    windows = numbered.withColumn("i", F.explode(F.array("own", F.col("own") - 1))).where("i >= 0").select(
+        "place.label", "place.dim", "place.pass", F.lit(ORDER).cast("bigint").alias("cell"), "i",
+        (F.col("i") + 1).alias("j"), "own", "place.leader")
+    sizes = (entries.groupBy(cell).agg(F.count("*").alias("n")).where(F.col("n") > window)
              .select(*cell, F.ceil(F.col("n") / BLOCK).alias("blocks")))
-    placed = (entries.join(sizes, cell).withColumn("own", F.pmod(F.xxhash64("leader"), "blocks"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-              .select(*cell, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "leader"))
+    full = (entries.join(sizes, cell).withColumn("own", F.pmod(F.xxhash64("leader"), "blocks"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+            .select(*cell, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "leader"))
     heads = leaders.select(F.col("id").alias("leader"), "vector", "radius", "size")
-    return (placed.join(heads, "leader").repartition(*cell, "i", "j")
+    return (windows.unionByName(full).join(heads, "leader").repartition(*cell, "i", "j")
             .sortWithinPartitions(*cell, "i", "j", "leader"))
 
 
 def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str | None = "label",
-                 cosine: float = 0.93, window: int = WINDOW, cell: int = CELL, exact: int = EXACT) -> DataFrame:
+                 cosine: float = 0.93, window: int = WINDOW, cell: int = CELL) -> DataFrame:
     """One row per vector: ``key``, ``n_links``, ``component_id``, ``kept``.
 
     Vectors of equal labels (without ``label``: all) are linked when their cosine, in double
     precision, is ``cosine`` or more; ``component_id`` is the smallest key reachable over links.
-    Found pairs are exact. While no label has more than ``exact`` leaders, all are found; beyond,
-    a pair at the threshold is met with probability ``RECALL``, closer ones more often, however
-    many vectors lie around it. NULL, empty and zero vectors, NULL or non-finite components and NULL labels
+    Found pairs are exact. A label of n leaders takes as many passes as let a pair at the threshold be
+    met with probability ``RECALL``, closer ones more often, however many vectors lie around it; while they
+    fill one window of ``cell``, a pass compares them all. ``window`` is the number of leaders a vector may
+    fold onto. Vectors of floats stay floats, all others are doubles. NULL, empty and zero vectors, NULL or non-finite components and NULL labels
     are linked with nothing. Rows with a NULL key keep NULL as component and are kept. Rows that
     share a key are one vector, any of them, and appear as often as they came. Other columns are
     ignored; an empty table gives an empty result. Keys and labels must be integers.
@@ -248,11 +276,13 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     spark = vectors.sparkSession
     folder = scratch(spark, "vectors")
     angle = acos(cosine)
+    given = vectors.select(F.col(f"`{vector}`")).schema[0].dataType
+    narrow = isinstance(given, ArrayType) and isinstance(given.elementType, FloatType)
     rows = vectors.select(
         F.col(f"`{key}`").cast("bigint").alias("id"),
         (F.col(f"`{label}`") if label else F.lit(0)).cast("bigint").alias("label"),
-        F.col(f"`{vector}`").cast("array<float>").alias("vector"))
-    base = written(rows.mapInArrow(_bundles, "id bigint, label bigint, dim int, vector binary").dropDuplicates(["id"]),
+        F.col(f"`{vector}`").cast("array<float>" if narrow else "array<double>").alias("vector"))
+    base = written(rows.mapInArrow(_bundles(np.float32 if narrow else np.float64), "id bigint, label bigint, dim int, vector binary").dropDuplicates(["id"]),
                    f"{folder}/vectors")
 
     leaders = base.withColumn("radius", F.lit(0.0))
@@ -268,13 +298,18 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
                       f"{folder}/leaders")
     groups = written(groups, f"{folder}/groups")
 
-    largest = leaders.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    numbers = list(range(FOLDS, FOLDS + passes_for(largest, cosine, cell, exact=exact)))
-    entries = written(groups.join(base, "id").select("label", "dim", "leader", "vector").mapInArrow(
-        _cells(numbers, bits_for(largest, cell, exact)),
-        "label bigint, dim int, pass int, cell bigint, leader bigint").distinct(), f"{folder}/cells")
-    near = written(_blocks(entries, leaders).mapInArrow(_near(angle, cosine), "p bigint, q bigint, sure boolean")
-                   .dropDuplicates(["p", "q"]), f"{folder}/near")
+    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / cell))).cast("int")
+    meet = F.pow(F.lit(1 - angle / pi), "bits")
+    passes = F.when(meet > RECALL, 1).otherwise(F.ceil(log(1 - RECALL) / F.log(1 - meet))).cast("int")
+    sizes = (leaders.groupBy("label", "dim").agg(F.count("*").alias("n")).withColumn("bits", bits)
+             .select("label", "dim", "bits", passes.alias("passes")))
+    entries = written(
+        groups.join(base, "id").join(sizes, ["label", "dim"])
+        .select("label", "dim", "leader", "vector", "bits", "passes").mapInArrow(
+            _placed, "label bigint, dim int, pass int, key bigint, cell bigint, leader bigint")
+        .groupBy("label", "dim", "pass", "cell", "leader").agg(F.min("key").alias("key")), f"{folder}/cells")
+    near = written(_blocks(entries, leaders, cell, f"{folder}/order").mapInArrow(
+        _near(angle, cosine), "p bigint, q bigint, sure boolean").dropDuplicates(["p", "q"]), f"{folder}/near")
 
     turned = near.unionByName(near.select(F.col("q").alias("p"), F.col("p").alias("q"), "sure"))
     both = turned.where("NOT sure").select("p", "q")
