@@ -65,6 +65,16 @@ query("txt06_fallback_event_ids", """SELECT event_id, CASE WHEN user_id % 4 = ev
     lambda s: s.table("events").select(
         "event_id", F.array_join(e.event_ids(F.expr(_RAW)), "|").alias("terms")))
 
+# A list of events whose descriptions are the documents themselves
+_LISTED = """concat('[{', chr(39), 'EventID', chr(39), ': ', cast(n_chars as string), ', ', chr(39), 'Text', chr(39),
+  ': ', chr(39), coalesce(text, ''), chr(39), '}, {', chr(39), 'EventID', chr(39), ':', cast(doc_id % 50 as string), '}]')"""
+
+query("txt06_event_ids_of_documents", """SELECT doc_id, CASE WHEN n_chars = doc_id % 50
+  THEN concat('SQL Server EventID ', n_chars)
+  ELSE concat('SQL Server EventID ', n_chars, '|SQL Server EventID ', doc_id % 50) END AS terms FROM documents""")(
+    lambda s: s.table("documents").select(
+        "doc_id", F.array_join(e.event_ids(F.expr(_LISTED)), "|").alias("terms")))
+
 # Tokens that do occur in the sample conversations.
 KEYWORDS = ("the", "que", r"ment\w*", "der")
 _FOUND = "regexp_extract_all(text, '(?i)(the|que|ment\\w*|der)', 1)"
@@ -264,6 +274,36 @@ query("txt14_question_windows", f"""SELECT o_orderkey,
         s.table("orders").select("o_orderkey", F.expr(_SPARK_ASK).alias("question")), "question",
         "2024-01-31 10:00:00").drop("question"))
 
+# Time phrases between whole texts of conversations, which hold none themselves
+
+_PHRASE_DAY = "date_add(date'2023-01-01', cast(conv_id % 700 as int))"
+_TALK = f"""concat(coalesce(text, ''), '. ', CASE (conv_id * 7 + turn) % 9
+  WHEN 0 THEN concat('on ', date_format({_PHRASE_DAY}, 'd MMMM yyyy'))
+  WHEN 1 THEN concat(CASE WHEN conv_id % 2 = 0 THEN 'Around ' ELSE 'at ' END, cast(conv_id % 11 + 1 as string),
+    ':30PM on ', date_format({_PHRASE_DAY}, 'd MMM yyyy'))
+  WHEN 2 THEN concat(date_format({_PHRASE_DAY}, 'd MMMM yyyy'), ', at ', cast(conv_id % 24 as string), ':15')
+  WHEN 3 THEN concat('the LAST ', cast(turn % 5 + 1 as string), ' hours, not 10:30')
+  WHEN 4 THEN concat('between ', date_format({_PHRASE_DAY}, 'd MMMM'), ' and ', date_format(date_add({_PHRASE_DAY}, 3), 'd MMMM yyyy'))
+  WHEN 5 THEN 'Yesterday, or in the last days,' WHEN 6 THEN 'this week or today'
+  WHEN 7 THEN concat(cast({_PHRASE_DAY} as string), ' or yesterday') ELSE 'or' END, ' ', coalesce(text, ''))"""
+
+query("txt14_windows_in_conversations", f"""WITH t AS (SELECT conv_id, turn, (conv_id * 7 + turn) % 9 AS k,
+  CAST(DATE '2023-01-01' + CAST(conv_id % 700 AS INTEGER) AS TIMESTAMP) AS d FROM conversations), b AS (SELECT *,
+  CASE k WHEN 1 THEN d + to_hours(conv_id % 11 + 13) + interval 30 minute
+  WHEN 2 THEN d + to_hours(conv_id % 24) + interval 15 minute
+  WHEN 4 THEN d + to_years(CAST(year(d + interval 3 day) - year(d) AS INTEGER)) ELSE d END AS hit FROM t)
+  SELECT conv_id, turn, CASE k WHEN 1 THEN hit - to_hours(CASE WHEN conv_id % 2 = 0 THEN 1 ELSE 0 END)
+  WHEN 3 THEN {_NOW} - to_hours(turn % 5 + 1) WHEN 5 THEN {_NOW} - interval 2 day WHEN 6 THEN timestamp '2024-01-28'
+  WHEN 8 THEN {_NOW} - interval 24 hour ELSE hit END AS win_start,
+  CASE k WHEN 1 THEN hit + {_H} WHEN 2 THEN hit + {_H} WHEN 4 THEN d + interval 4 day WHEN 5 THEN {_NOW} - interval 1 day
+  WHEN 0 THEN d + interval 1 day WHEN 7 THEN d + interval 1 day ELSE {_NOW} END AS win_end,
+  CASE k WHEN 0 THEN 'day' WHEN 1 THEN 'hour' WHEN 2 THEN 'hour' WHEN 3 THEN 'last' WHEN 4 THEN 'range'
+  WHEN 5 THEN 'yesterday' WHEN 6 THEN 'week' WHEN 7 THEN 'day' ELSE 'default' END AS rule,
+  CASE WHEN k IN (3, 6, 8) THEN 'right' ELSE 'both' END AS closed FROM b""")(
+    lambda s: e.resolve_window(
+        s.table("conversations").select("conv_id", "turn", F.expr(_TALK).alias("question")), "question",
+        "2024-01-31 10:00:00").drop("question"))
+
 _K = "cast(regexp_extract(props, '([0-9]+)', 1) as int)"
 _QUERY_TEXT = f"""CASE event_type
   WHEN 'error' THEN concat('Event | where TimeGenerated > ago(24h) | project TimeGenerated, Source | take ',
@@ -282,6 +322,23 @@ query("txt15_lint_queries", f"""SELECT event_id, event_type <> 'signup' AS known
     lambda s: e.lint_queries(
         s.table("events").select("event_id", F.expr(_QUERY_TEXT).alias("text")), "text").drop("text"))
 
+# Queries that look for whole documents: quotes and bars of the texts are left out, as they would end a string or step
+_LOOKUP = """concat(CASE WHEN lang IN ('en', 'de') THEN 'Event' ELSE initcap(coalesce(lang, 'und')) END,
+  CASE WHEN doc_id % 3 = 0 THEN ' | where Source == "x"' ELSE '' END, chr(10), '| where TimeGenerated > ago(24h)', chr(10),
+  '| where RenderedDescription contains "', translate(coalesce(text, ''), '|"=', '   '), '"', chr(10),
+  CASE WHEN doc_id % 5 = 0 THEN '| where CounterName == "User Connections"' ELSE '' END,
+  CASE WHEN doc_id % 7 = 0 THEN '| where CounterName=="Pages" and ObjectName == "SQLServer:Locks"' ELSE '' END,
+  '| project Source, ', CASE WHEN doc_id % 4 = 0 THEN 'Chars = ' ELSE '' END, 'n_', coalesce(lang, 'und'), chr(10),
+  CASE WHEN doc_id % 4 < 2 THEN concat('| extend n_', coalesce(lang, 'und'), ' = Computer, Chars = 1') ELSE '' END,
+  CASE WHEN doc_id % 11 = 0 THEN '| summarize count()' ELSE concat('| take ', cast(coalesce(n_chars, 0) as string)) END)"""
+
+query("txt15_lint_document_queries", """SELECT doc_id, coalesce(lang IN ('en', 'de'), false) AS known_table,
+  coalesce(lang IN ('en', 'de'), false) AND doc_id % 3 <> 0 AS time_filter_first, doc_id % 11 = 0 OR coalesce(n_chars, 0) <= 50 AS capped,
+  doc_id % 7 <> 0 AS instance_prefix_ok, doc_id % 7 <> 0 AS known_counters, doc_id % 4 = 1 AS known_columns
+  FROM documents""")(
+    lambda s: e.lint_queries(
+        s.table("documents").select("doc_id", F.expr(_LOOKUP).alias("text")), "text").drop("text"))
+
 query("txt16_docs_per_term", """SELECT lang, source, doc_id FROM (SELECT lang, source, doc_id,
   row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 2""")(
     lambda s: e.cap_docs(s.table("documents").select("lang", "source", "doc_id"), "lang", "source", "doc_id"))

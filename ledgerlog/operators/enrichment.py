@@ -246,15 +246,42 @@ _DATE = rf"(?:\d{{1,2}} {_MONTH}(?: \d{{4}})?|\d{{4}}-\d{{2}}-\d{{2}})"
 # Minutes that "last N" may go back: a thousand years.
 LONGEST_BACK = 1000 * 366 * 1440
 
-# Time phrases in order of precedence.
-PHRASES = {
-    "range": rf"(?i)between {_DATE} and {_DATE}",
-    "clock": rf"(?i)\b(?:\d{{1,2}}(?::\d{{2}})? ?[ap]m|\d{{1,2}}:\d{{2}})(?: on)? {_DATE}",
-    "after": rf"(?i)\b{_DATE},?(?: at| around)? (?:\d{{1,2}}(?::\d{{2}})? ?[ap]m|\d{{1,2}}:\d{{2}})\b",
-    "day": rf"(?i)\b{_DATE}",
-    "last": r"(?i)\b(?:last|past) \d+ (?:minute|hour|day)",
-    "word": r"(?i)\b(?:yesterday|today|this week)\b",
-}
+_HALVED, _FULL = r"\d{1,2}(?::\d{2})? ?[ap]m", r"\d{1,2}:\d{2}"
+_CLOCK = rf"(?:{_HALVED}|{_FULL})"
+
+# All time phrases in one pattern. An hour after a date that a second date follows belongs to that one;
+# a date does not end in the year of another that an hour follows.
+PHRASES = "(?i)" + "|".join((
+    rf"between {_DATE} and {_DATE}",
+    rf"\b{_CLOCK}(?: on)? {_DATE}",
+    rf"\b{_DATE},?(?: at| around)? {_HALVED}\b(?!(?: on)? {_DATE})",
+    rf"\b{_DATE},?(?: at| around)? {_FULL}\b(?!(?: ?[ap]m)?(?: on)? {_DATE})",
+    rf"\b{_DATE}(?!-\d{{2}}-\d{{2}},?(?: at| around)? {_CLOCK})",
+    r"\b(?:last|past) \d+ (?:minute|hour|day)",
+    r"\b(?:yesterday|today|this week)\b",
+    r"\b(?:around|approximately)\b",
+))
+# Kinds of phrases in order of precedence; the last one only widens an hour.
+RANGE, HOUR_FIRST, DAY_FIRST, DAY, LAST, WORD, AROUND = range(1, 8)
+
+
+def _half(word: Column) -> Column:
+    return F.coalesce(word.isin("am", "pm"), F.lit(False))
+
+
+def _clock_ends(word: Column) -> Column:
+    return word.contains(":") | word.endswith("am") | word.endswith("pm")
+
+
+def _kind(phrase: Column) -> Column:
+    """The kind of a lower-case phrase, told by its first two words and its last."""
+    first, second = F.split_part(phrase, F.lit(" "), F.lit(1)), F.split_part(phrase, F.lit(" "), F.lit(2))
+    return (
+        F.when(first == "between", RANGE).when(first.isin("last", "past"), LAST)
+        .when(first.isin("yesterday", "today", "this"), WORD).when(first.isin("around", "approximately"), AROUND)
+        .when(_clock_ends(first) | _half(second), HOUR_FIRST)
+        .when(_clock_ends(F.split_part(phrase, F.lit(" "), F.lit(-1))), DAY_FIRST).otherwise(DAY)
+    )
 
 
 def resolve_window(df: DataFrame, text: str, as_of: When) -> DataFrame:
@@ -264,39 +291,52 @@ def resolve_window(df: DataFrame, text: str, as_of: When) -> DataFrame:
     include both ends. Without a time phrase, or with an impossible date, hour or number,
     the last 24 hours apply.
 
-    Each step is a projection of its own: the text is searched once per phrase, the
-    winning phrase is cut into its one or two dates, and each date is read once.
+    The text is searched once, for phrases of all kinds; the first one of the best kind
+    counts. It is then cut at its blanks, and each date is read once.
     """
     now = moment(as_of)
     c, none = F.col, F.lit(None)
-    searched = df.select(
-        "*",
-        *(F.regexp_extract(text, p, 0).alias(f"_{name}") for name, p in PHRASES.items()),
-        c(text).rlike(r"(?i)\b(?:around|approximately)\b").alias("_around"),
-    )
-    found = lambda name: c(f"_{name}") != ""
-    clock = F.when(found("clock"), c("_clock")).when(found("after"), c("_after"))
-    hour = F.lower(F.regexp_replace(clock, rf"(?i){_DATE}", " "))
-    cut = searched.select(
+    lexed = df.select(
+        "*", F.transform(F.regexp_extract_all(c(text), F.lit(PHRASES), F.lit(0)), F.lower).alias("_phrases"))
+    best = lexed.select(
         *df.columns,
-        "_around",
-        F.when(found("range"), "range").when(clock.isNotNull(), "hour").when(found("day"), "day")
-        .when(found("last"), "last").when(found("word"), F.lower("_word")).alias("_rule"),
-        F.when(found("range"), F.split(F.substr("_range", F.lit(len("between ") + 1)), "(?i) and "))
-        .when(clock.isNotNull(), F.array(F.regexp_extract(clock, rf"(?i){_DATE}", 0)))
-        .when(found("day"), F.array("_day")).alias("_days"),
-        F.array(*(F.regexp_extract(hour, p, 1) for p in (r"(\d{1,2})", r":(\d{2})", r"\d ?([ap])m"))).alias("_time"),
-        F.when(found("last"), F.split(F.lower("_last"), " ")).alias("_last"),
+        F.exists("_phrases", lambda p: p.contains("around") | p.contains("approximately")).alias("_around"),
+        F.array_min(F.transform("_phrases", lambda p, i: F.struct(
+            _kind(p).alias("kind"), i.alias("at"), p.alias("phrase")))).alias("_best"),
+    )
+    worded = best.select(*df.columns, "_around", c("_best.kind").alias("_kind"),
+                         F.split("_best.phrase", " ").alias("_words"))
+
+    words, kind = c("_words"), c("_kind")
+    n = F.size(words)
+    word = lambda i: F.get(words, F.lit(i) if isinstance(i, int) else i)
+    cut = lambda begin, count: F.slice(words, begin, F.greatest(count, F.lit(0)))
+    is_hour = kind.isin(HOUR_FIRST, DAY_FIRST)
+    size = F.when(_half(F.when(kind == HOUR_FIRST, word(1)).otherwise(word(n - 1))), 2).otherwise(1)
+    link = F.when(kind == HOUR_FIRST, word(size) == "on").otherwise(word(n - size - 1).isin("at", "around"))
+    rest = n - size - F.coalesce(link, F.lit(False)).cast("int")
+    and_at = F.array_position(words, "and").cast("int")
+    days = (
+        F.when(kind == RANGE, cut(F.lit(2), and_at - 2))
+        .when(kind == HOUR_FIRST, cut(n - rest + 1, rest))
+        .when(kind == DAY_FIRST, F.transform(cut(F.lit(1), rest), lambda w: F.replace(w, F.lit(","), F.lit(""))))
+        .when(kind == DAY, words)
+    )
+    clock = F.when(is_hour, F.array_join(cut(F.when(kind == HOUR_FIRST, 1).otherwise(n - size + 1), size), ""))
+    parted = worded.select(
+        *df.columns, "_around",
+        F.when(kind == RANGE, "range").when(is_hour, "hour").when(kind == DAY, "day").when(kind == LAST, "last")
+        .when(kind == WORD, F.array_join(words, " ")).alias("_rule"),
+        days.alias("_d1"), F.when(kind == RANGE, cut(and_at + 1, n)).alias("_d2"), clock.alias("_time"),
+        F.when(kind == LAST, word(1)).alias("_number"), F.when(kind == LAST, word(2)).alias("_unit"),
     )
 
-    day_text = lambda i: F.get("_days", F.lit(i))
-    minutes_per = F.when(F.get("_last", F.lit(2)).startswith("day"), 1440).when(
-        F.get("_last", F.lit(2)).startswith("hour"), 60).otherwise(1)
-    split = cut.select(
-        *df.columns, "_rule", "_around", "_time",
-        day_text(0).alias("_t1"), day_text(1).alias("_t2"),
-        F.split(day_text(0), " ").alias("_d1"), F.split(day_text(1), " ").alias("_d2"),
-        F.try_multiply(F.get("_last", F.lit(1)).try_cast("bigint"), minutes_per.cast("bigint")).alias("_back"),
+    minutes_per = F.when(c("_unit") == "day", 1440).when(c("_unit") == "hour", 60).otherwise(1)
+    half = F.when(_half(F.right("_time", F.lit(2))), F.left(F.right("_time", F.lit(2)), F.lit(1)))
+    split = parted.select(
+        *df.columns, "_rule", "_around", "_d1", "_d2", half.alias("_half"),
+        F.when(half.isNotNull(), F.left("_time", F.length("_time") - 2)).otherwise(c("_time")).alias("_time"),
+        F.try_multiply(c("_number").try_cast("bigint"), minutes_per.cast("bigint")).alias("_back"),
     )
 
     def read_day(n: int, other: int | None = None) -> Column:
@@ -307,14 +347,14 @@ def resolve_window(df: DataFrame, text: str, as_of: When) -> DataFrame:
             F.get(parts, F.lit(2)), F.get(f"_d{other}", F.lit(2)) if other else none, F.lit(str(now.year))
         )
         spelled = F.concat_ws("-", year, month.cast("string"), F.get(parts, F.lit(0)))
-        text = F.when(F.size(parts) > 1, spelled).otherwise(c(f"_t{n}"))
-        return F.when(c(f"_t{n}").isNotNull(), text.try_cast("timestamp_ntz"))
+        text = F.when(F.size(parts) > 1, spelled).otherwise(F.get(parts, F.lit(0)))
+        return F.when(c(parts).isNotNull(), text.try_cast("timestamp_ntz"))
 
-    stated = F.get("_time", F.lit(0)).try_cast("int")
-    minute = F.coalesce(F.get("_time", F.lit(1)).try_cast("int"), F.lit(0))
-    half = F.get("_time", F.lit(2))
+    stated = F.split_part("_time", F.lit(":"), F.lit(1)).try_cast("int")
+    minute = F.coalesce(F.split_part("_time", F.lit(":"), F.lit(2)).try_cast("int"), F.lit(0))
     from_hour = (
-        F.when(half == "p", F.pmod(stated, F.lit(12)) * 60 + 720).when(half == "a", F.pmod(stated, F.lit(12)) * 60)
+        F.when(c("_half") == "p", F.pmod(stated, F.lit(12)) * 60 + 720)
+        .when(c("_half") == "a", F.pmod(stated, F.lit(12)) * 60)
         .when(stated < 24, stated * 60)
     )
     dated = split.select(
@@ -353,24 +393,49 @@ def resolve_window(df: DataFrame, text: str, as_of: When) -> DataFrame:
     )
 
 
+# White space that names of columns are trimmed of.
+_BLANKS = " \t\n\r\x0b\x0c\u00a0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+# The steps of a query that its checks look at, and what it names: counters and columns of its own.
+STEPS = "|".join((
+    r"^\s*(?:Event|Perf)\b(?:\s*\|\s*where TimeGenerated\b)?",
+    r"\|\s*project\s+[^|]+",
+    r"\|\s*take\s+\d+",
+    r"\|\s*summarize\b",
+))
+NAMES = r'CounterName\s*==\s*"[^"]+"|\w+\s*=(?=[^=~])|\s\w+:(?:double|long|string)'
+
+
 def lint_queries(df: DataFrame, text: str) -> DataFrame:
-    """Flags per query string: does it keep to the known tables, columns and counters?"""
-    q = F.col(text)
-    tables = "(Event|Perf)"
+    """Flags per query string: does it keep to the known tables, columns and counters?
+
+    The text is searched twice, for its steps and for the names in it; the rest compares words.
+    """
+    trim = lambda c, more="": F.btrim(c, F.lit(_BLANKS + more))
+    found = df.select("*", F.regexp_extract_all(text, F.lit(STEPS), F.lit(0)).alias("_found"),
+                      F.regexp_extract_all(text, F.lit(NAMES), F.lit(0)).alias("_names"))
+    searched = found.select(
+        *df.columns,
+        F.get(F.filter("_found", lambda t: ~t.startswith("|")), F.lit(0)).alias("_begin"),
+        F.transform(F.filter("_found", lambda t: t.startswith("|")), lambda t: trim(t, "|")).alias("_steps"),
+        F.transform(F.filter("_names", lambda t: t.endswith('"')), lambda t: F.split_part(
+            t, F.lit('"'), F.lit(2))).alias("_counters"),
+        F.transform(F.filter("_names", lambda t: ~t.endswith('"')), lambda t: trim(F.split_part(
+            trim(t, "="), F.lit(":"), F.lit(1)))).alias("_created"),
+    )
+    first = lambda step: F.substr(F.get(F.filter(
+        "_steps", lambda t: t.startswith(step)), F.lit(0)), F.lit(len(step) + 1))
+    columns = F.filter(F.transform(F.split(first("project"), ","), lambda c: trim(c)), lambda c: c != "")
     known = F.array(*(F.lit(c) for c in sorted(set(EVENT.names) | set(PERF.names))))
     counters = F.array(*(F.lit(name) for _, name in COUNTERS))
-    project = F.regexp_extract(q, r"(?s)\|\s*project\s+([^|]+)", 1)
-    columns = F.filter(F.transform(F.split(project, ","), lambda c: strip(c)), lambda c: c != "")
-    computed = F.regexp_extract_all(q, F.lit(r"(\w+)\s*=[^=~]|\s(\w+):(?:double|long|string)"), F.lit(0))
-    created = F.transform(computed, lambda c: F.regexp_extract(c, r"(\w+)", 1))
-    named = F.regexp_extract_all(q, F.lit(r'CounterName\s*==\s*"([^"]+)"'), F.lit(1))
-    cap = F.nullif(F.regexp_extract(q, r"\|\s*take\s+(\d+)", 1), F.lit("")).try_cast("int")
-    return df.select(
+    asked = F.col(text).isNotNull()
+    return searched.select(
         *df.columns,
-        q.rlike(rf"^\s*{tables}\b").alias("known_table"),
-        q.rlike(rf"^\s*{tables}\s*\|\s*where TimeGenerated\b").alias("time_filter_first"),
-        (F.coalesce(cap <= 50, F.lit(False)) | q.rlike(r"\|\s*summarize\b")).alias("capped"),
-        (~q.contains("SQLServer:")).alias("instance_prefix_ok"),
-        (F.size(F.array_except(named, counters)) == 0).alias("known_counters"),
-        (F.size(F.array_except(F.array_except(columns, known), created)) == 0).alias("known_columns"),
+        F.when(asked, F.col("_begin").isNotNull()).alias("known_table"),
+        F.when(asked, F.coalesce(F.col("_begin").endswith("TimeGenerated"), F.lit(False))).alias("time_filter_first"),
+        (F.coalesce(trim(first("take")).try_cast("int") <= 50, F.lit(False))
+         | F.array_contains("_steps", "summarize")).alias("capped"),
+        (~F.col(text).contains("SQLServer:")).alias("instance_prefix_ok"),
+        F.when(asked, F.size(F.array_except("_counters", counters)) == 0).alias("known_counters"),
+        F.when(asked, F.coalesce(F.size(F.array_except(F.array_except(columns, known), "_created")) == 0, F.lit(True)))
+        .alias("known_columns"),
     )

@@ -141,6 +141,40 @@ def test_lint(spark):
     assert got == [(True,) * 6, (True, False, False, False, False, False)]
 
 
+def searches(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+    return sum(plan.count(name) for name in ("regexp_", "rlike", "regexp("))
+
+
+def test_texts_are_searched_once_or_twice(spark):
+    df = spark.createDataFrame([("between 5 may and 6 may",)], "t string")
+    assert searches(e.resolve_window(df, "t", "2026-04-21 10:00:00")) == 1
+    assert searches(e.lint_queries(df, "t")) == 2
+
+
+def test_hours_belong_to_the_date_they_touch(spark):
+    asked = {
+        "5 may 2024 10:30 6 may 2024": ("2024-05-06 10:30", "hour"), "5 may 2024 10:30 am 6 may 2024": ("2024-05-06 10:30", "hour"),
+        "5 may 2024, at 3PM": ("2024-05-05 15:00", "hour"), "12 am on 2024-05-05": ("2024-05-05 00:00", "hour"),
+        "2024-05-05 around 3 pm": ("2024-05-05 14:00", "hour"), "7 may 2024-01-05 1:05PM": ("2024-01-05 13:05", "hour"),
+        "5 may 2024 25:00": ("2026-04-20 10:00", "default"), "10:30 today": ("2026-04-21 00:00", "today"),
+    }
+    df = spark.createDataFrame([(q,) for q in asked] + [(None,)], "q string")
+    got = {r.q: (str(r.win_start)[:16], r.rule) for r in e.resolve_window(df, "q", "2026-04-21 10:00:00").collect()}
+    assert got == {**asked, None: ("2026-04-20 10:00", "default")}
+
+
+def test_lint_of_odd_queries(spark):
+    queries = [None, "", "Perf|take 50", "Event | summarize x = 1 | project x", "Events | project-away Foo",
+               "Event | project A = Source, A,B | extend B=1", "Event | take 51 | take 5"]
+    df = spark.createDataFrame(list(enumerate(queries)), "i int, t string")
+    got = [tuple(r)[2:] for r in e.lint_queries(df, "t").orderBy("i").collect()]
+    assert got[0] == (None,) * 6
+    assert [(r[0], r[2], r[5]) for r in got[1:]] == [
+        (False, False, True), (True, True, True), (True, True, True), (False, False, True), (True, False, False),
+        (True, False, True)]
+
+
 def test_doc_context_and_caps(spark):
     responses = spark.createDataFrame(
         [("r", 0, DOCS[0]), ("r", 1, DOCS[0]), ("r", 2, DOCS[3]), ("s", 0, DOCS[6])], "k string, n int, body string")
