@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import exact_avg
+from ..operators import rollup
 from ..session import fresh_path
 from ..streaming import jobs
 from .bindings import EVENT_COLUMNS, FEED_COLUMNS, Sample, over, with_number
@@ -60,6 +61,51 @@ def _str02(s):
     )
 
 
+BATCHES = 4
+
+
+def _rolled(s: Sample) -> tuple[str, DataFrame]:
+    """A roll-up of the events, fed by batches that each hold rows of every hour, so that most come late.
+
+    The first two batches are merged by a compaction that runs in between.
+    """
+    arrived, sink, progress = (fresh_path(s.spark, n) for n in ("arrived", "rollup", "progress"))
+    events = s.table("events")
+    empty = rollup.states(events, "ts", ["event_type"], "value", ["user_id"]).schema
+    for part in range(BATCHES):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(BATCHES)) == part).write.mode("append").parquet(arrived)
+        feed = jobs.read_stream(s.spark, arrived, events.schema)
+        _finish(jobs.start_rollup(feed, "ts", ["event_type"], "value", sink, progress, ["user_id"]))
+        if part == 1:
+            rollup.compact(s.spark, sink, empty, ["event_type"], ["user_id"])
+    return sink, rollup.stored(s.spark, sink, empty)
+
+
+@query("str02_rollup_hourly", """SELECT time_bucket(interval 1 hour, ts) AS hour, event_type, count(*) AS n,
+  cast(sum(cast(value as decimal(18,4))) as double) / count(value) AS mean, min(value) AS least, max(value) AS most
+  FROM events GROUP BY 1, 2""")
+def _rollup_hourly(s):
+    return rollup.summary(_rolled(s)[1], ["hour", "event_type"])
+
+
+@query("str02_rollup_range", """SELECT time_bucket(interval 1 hour, ts) AS hour, count(*) AS n,
+  cast(sum(cast(value as decimal(18,4))) as double) / count(value) AS mean, min(value) AS least, max(value) AS most
+  FROM events WHERE ts BETWEEN timestamp '2024-01-10 07:20:00' AND timestamp '2024-01-20 21:40:00' GROUP BY 1""")
+def _rollup_range(s):
+    parts = rollup.in_range(_rolled(s)[1], s.table("events"), "ts", ["event_type"], "value",
+                            "2024-01-10 07:20:00", "2024-01-20 21:40:00", ["user_id"])
+    return rollup.summary(parts, ["hour"])
+
+
+@query("agg05_distinct_from_sketches", """SELECT event_type, count(DISTINCT user_id) AS users, true AS close
+  FROM events GROUP BY 1""")
+def _rollup_distinct(s):
+    kept = rollup.summary(_rolled(s)[1], ["event_type"], ["user_id"])
+    exact = s.table("events").groupBy("event_type").agg(F.countDistinct("user_id").alias("users"))
+    return exact.join(kept, "event_type").select(
+        "event_type", "users", (F.abs(F.col("distinct_user_id") - F.col("users")) <= 0.05 * F.col("users")).alias("close"))
+
+
 @query("str03_once_per_key", "SELECT event_id, user_id, value FROM events")
 def _str03(s):
     sink = fresh_path(s.spark, "once")

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.text import contains_any
 from ..operators.collection import EVENT_RULES, EventRule, collect_counters, collect_events
+from ..operators.rollup import states, store
 
 LATENESS = "15 minutes"
 #: Files a micro-batch takes at most, so that a backlog comes in bounded pieces.
@@ -85,6 +86,23 @@ def start_windowed(df: DataFrame, sink: str, checkpoint: str, every: str | None
     return _start(df, sink, checkpoint, every)
 
 
+def start_rollup(
+    df: DataFrame, ts: str, keys: Sequence[str], value: str, sink: str, checkpoint: str,
+    distinct: Sequence[str] = (), every: str | None = None,
+) -> StreamingQuery:
+    """Add the hourly states of every micro-batch to a roll-up.
+
+    No row is too late and nothing is held in memory: a late row is a further state of its hour. A
+    batch that is delivered again replaces its own states. ``rollup.stored`` reads the roll-up.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        store(states(batch, ts, keys, value, distinct), sink, number, number)
+
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(writer, every).start()
+
+
 def once_per_key(df: DataFrame, keys: Sequence[str], ts: str, lateness: str = LATENESS) -> DataFrame:
     """Drop redelivered rows; keys are forgotten ``lateness`` behind the newest event."""
     timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
