@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, LongType, StructType
 
 from ..functions.text import contains_any
 from ..operators.collection import EVENT_RULES, EventRule, collect_counters, collect_events
@@ -133,7 +133,7 @@ def start_alerts(
 
 
 def append_batch(sink: str) -> Callable[[DataFrame, int], None]:
-    """Batch writer that gives the same files for the same batch number."""
+    """Batch writer that gives the same files for the same batch number; ``batches`` reads them back."""
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/batch={number}")
@@ -158,6 +158,29 @@ def start_routing(
     return _trigger(writer, every).start()
 
 
-def routed(spark: SparkSession, sink: str, name: str, kind: str = "kind") -> DataFrame:
-    """The rows of one destination; other folders are not read."""
-    return spark.read.parquet(sink).filter(F.col(kind) == name).drop("batch", kind)
+def batches(spark: SparkSession, sink: str, schema: StructType | None = None) -> DataFrame:
+    """The rows of all finished micro-batches in ``sink``, each batch once, with its number as ``batch``.
+
+    A batch counts once its folder carries the marker that its writer leaves last, so one
+    that is being written, or written again, is not read half. With a ``schema`` an empty
+    sink reads as an empty table. One entry per batch is listed on the driver.
+    """
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{sink}/batch=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks) or []
+    paths = sorted(f"{sink}/{f.getPath().getParent().getName()}" for f in found)
+    known = schema and StructType(list(schema.fields)).add("batch", LongType())
+    if not paths and known:
+        return spark.createDataFrame([], known)
+    reader = spark.read.option("basePath", sink)
+    return (reader.schema(known) if known else reader).parquet(*paths)
+
+
+def routed(
+    spark: SparkSession, sink: str, name: str, kind: str = "kind", schema: StructType | None = None
+) -> DataFrame:
+    """The rows of one destination in finished batches; other folders are not read.
+
+    ``schema`` is that of the mixed feed; it is needed while the sink may be empty.
+    """
+    daily = schema and StructType(list(schema.fields)).add("event_date", DateType())
+    return batches(spark, sink, daily).filter(F.col(kind) == name).drop("batch", kind)

@@ -158,6 +158,26 @@ def test_redelivery_alerts_and_routing(spark):
     assert jobs.routed(spark, sink, "Event").count() == 4 and jobs.routed(spark, sink, "Perf").count() == 5
 
 
+def test_sinks_show_finished_batches_only(spark):
+    rows = [(at("2026-04-20 10:00:00"), i, "DEADLOCK", "Event" if i % 2 else "Perf") for i in range(6)]
+    feed = spark.createDataFrame(rows, "ts timestamp_ntz, id int, RenderedDescription string, kind string")
+    sink, alarm = fresh_path(spark, "routed"), fresh_path(spark, "alarm")
+    empty = jobs.routed(spark, sink, "Event", schema=feed.schema)
+    assert empty.columns == ["ts", "id", "RenderedDescription", "event_date"] and empty.count() == 0
+    run(jobs.start_routing(stream_of(spark, [rows], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in feed.schema)),
+                           sink, fresh_path(spark, "cp"), ts="ts"))
+    half = feed.withColumn("event_date", F.to_date("ts")).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    half.partitionBy("kind", "event_date").parquet(f"{sink}/batch=7")
+    found = jobs.routed(spark, sink, "Event", schema=feed.schema)
+    assert found.schema == empty.schema and sorted(r.id for r in found.collect()) == [1, 3, 5]
+    notify = jobs.append_batch(alarm)
+    for number, part in ((0, feed.where("id < 3")), (1, feed.where("id >= 3")), (1, feed.where("id >= 3"))):
+        notify(part, number)
+    assert sorted((r.batch, r.id) for r in jobs.batches(spark, alarm, feed.schema).collect()) == [
+        (0, 0), (0, 1), (0, 2), (1, 3), (1, 4), (1, 5)]
+
+
 def test_ingested_events_are_pruned_by_day(spark, golden):
     from conftest import NOW, plan
     from ledgerlog.plans import logs
