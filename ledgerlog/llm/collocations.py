@@ -25,7 +25,9 @@ from .words import Words, hashes, mix, split, utf8, word_class
 
 STRETCH_BYTES = 8 << 20
 BITS = 26
-NOMINATIONS = 4 << 20
+POSITIONS = 1 << 18
+NOMINATIONS = 1 << 20
+BATCH_ROWS = 1 << 16
 TRIE_PHRASES = 250_000
 BROADCAST_BYTES = 64 << 20
 SALT_ROWS = 20_000
@@ -55,16 +57,12 @@ def _tokens(seed: int, limit: int):
                     words = split(part.column("text"), _CLASS)
                     if not len(words.starts):
                         continue
+                    at = _apart(words, part.column("text"))
                     found, first, places, counts = np.unique(
                         hashes(words, random), return_index=True, return_inverse=True, return_counts=True)
-                    raw, _ = utf8(part.column("text"))
-                    hard = np.cumsum(_HARD[raw], dtype=np.int32)[words.starts]
-                    after = np.append(False, hard[1:] != hard[:-1])
-                    heads = words.offsets[:-1]
-                    after[heads[(heads > 0) & (heads < len(after))]] = True
-                    at = np.arange(len(after)) + np.cumsum(after)
                     codes = np.zeros(at[-1] + 1, np.int32)
                     codes[at] = places + 1
+                    del at
                     other = _others(words, first, places)
                     found, counts = np.append(found, found[places[other]]), np.append(counts, np.zeros_like(other))
                     first = np.append(first, other)
@@ -79,6 +77,18 @@ def _tokens(seed: int, limit: int):
     return run
 
 
+def _apart(words: Words, texts: pa.Array) -> np.ndarray:
+    """The place of each word where one stays free between pieces."""
+    breaks = np.flatnonzero(_HARD[utf8(texts)[0]])
+    hard = np.searchsorted(breaks, words.starts)
+    after = np.append(False, hard[1:] != hard[:-1])
+    heads = words.offsets[:-1]
+    after[heads[(heads > 0) & (heads < len(after))]] = True
+    found = np.cumsum(after)
+    found += np.arange(len(after))
+    return found
+
+
 def _others(words: Words, first: np.ndarray, places: np.ndarray, block: int = 1 << 17) -> np.ndarray:
     """Words that differ from the first one of their hash; they are listed besides it, so that the shared hash is seen."""
     found = []
@@ -140,13 +150,19 @@ def _passes(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 
 def _nominated(filters: list):
-    """Phrases of one word more than there are filters, as the hash of all but the last word, the last word, and a count."""
-    def summed(prefix: list[np.ndarray], last: list[np.ndarray]) -> pa.RecordBatch:
-        prefix, last = np.concatenate(prefix), np.concatenate(last)
+    """Phrases of one word more than there are filters, as the hash of all but the last word, the last word, and a count.
+
+    Positions come in blocks, nominations are summed and leave in batches, so what a task holds besides its texts is bounded.
+    """
+    def summed(prefixes: list[np.ndarray], lasts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        prefix, last = np.concatenate(prefixes), np.concatenate(lasts)
+        prefixes.clear()
+        lasts.clear()
         _, first, n = np.unique(_chained(prefix, last), return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(prefix[first].view(np.int64)), pa.array(last[first].view(np.int64)), pa.array(n)],
-            ["prefix", "last", "n"])
+        prefix, last = prefix[first].view(np.int64), last[first].view(np.int64)
+        for begin in range(0, len(n), BATCH_ROWS):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c[begin:begin + BATCH_ROWS]) for c in (prefix, last, n)], ["prefix", "last", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [f.value for f in filters]
@@ -154,27 +170,32 @@ def _nominated(filters: list):
         for batch in batches:
             for lang, words, codes in _listed(batch):
                 single = _chained(np.full(len(words), _root(lang)), words)
-                at = np.flatnonzero(np.append(False, _passes(bits[0], single))[codes])
-                chain = single[codes[at] - 1]
-                inside = np.zeros(len(codes) + 1, bool)
-                for level in range(1, len(bits) + 1):
-                    inside[:] = False
-                    inside[at] = True
-                    both = inside[at + 1]
-                    at, chain = at[both], chain[both]
-                    last = words[codes[at + level] - 1]
-                    if level < len(bits):
-                        chain = _chained(chain, last)
-                        frequent = _passes(bits[level], chain)
-                        at, chain = at[frequent], chain[frequent]
-                prefixes.append(chain)
-                lasts.append(last)
-                held += len(chain)
-                if held >= NOMINATIONS:
-                    yield summed(prefixes, lasts)
-                    prefixes, lasts, held = [], [], 0
+                known = np.append(False, _passes(bits[0], single))
+                for begin in range(0, len(codes), POSITIONS):
+                    # The block and the words that phrases begun in it may still reach.
+                    block = codes[begin:begin + POSITIONS + len(bits)]
+                    at = np.flatnonzero(known[block])
+                    chain = single[block[at] - 1]
+                    inside = np.zeros(len(block) + 1, bool)
+                    for level in range(1, len(bits) + 1):
+                        inside[:] = False
+                        inside[at] = True
+                        both = inside[at + 1]
+                        at, chain = at[both], chain[both]
+                        last = words[block[at + level] - 1]
+                        if level < len(bits):
+                            chain = _chained(chain, last)
+                            frequent = _passes(bits[level], chain)
+                            at, chain = at[frequent], chain[frequent]
+                    own = at < POSITIONS
+                    prefixes.append(chain[own])
+                    lasts.append(last[own])
+                    held += len(prefixes[-1])
+                    if held >= NOMINATIONS:
+                        yield from summed(prefixes, lasts)
+                        held = 0
         if held:
-            yield summed(prefixes, lasts)
+            yield from summed(prefixes, lasts)
 
     return run
 

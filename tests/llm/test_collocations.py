@@ -2,9 +2,13 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from llm_common import importable  # noqa: F401
 
@@ -119,3 +123,51 @@ def test_trie_holds_exactly_its_phrases(n, symbols):
     want = Counter(tuple(text[i:i + k].tolist()) for k in (2, 3, 4) for i in range(len(text) - k + 1))
     assert len(set(states.tolist())) == len(rows)
     assert [int(reached[s]) for s in states] == [want[r] for r in rows]
+
+
+def stretch(words, codes):
+    return pa.RecordBatch.from_pydict({"lang": ["en"], "hashes": [words.view(np.int64)], "codes": [codes.astype(np.int32).tobytes()]})
+
+
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_nominations_across_blocks(monkeypatch, levels):
+    """Blocks, sums and batches that end anywhere lose no phrase and count none twice."""
+    for name, size in (("POSITIONS", 7), ("NOMINATIONS", 20), ("BATCH_ROWS", 5)):
+        monkeypatch.setattr(collocations, name, size)
+    rng = np.random.default_rng(levels)
+    words = rng.integers(0, 2**63, 6, dtype=np.uint64)
+    filters = [SimpleNamespace(value=rng.integers(0, 2**63, 1 << (collocations.BITS - 6), dtype=np.uint64) | np.uint64(2**63) |
+                               rng.integers(0, 2**63, 1 << (collocations.BITS - 6), dtype=np.uint64)) for _ in range(levels)]
+    want, texts = Counter(), [rng.choice(7, size, p=[0.1] + [0.15] * 6) for size in (1, 6, 7, 8, 9, 50, 301)]
+    for codes in texts:
+        chains = [collocations._root("en")] * len(codes)
+        good = np.ones(len(codes), bool)
+        for level, bits in enumerate(filters):
+            chains = [collocations._chained(np.array([chains[p]]), words[codes[p + level:p + level + 1] - 1])[0]
+                      if good[p] and p + level < len(codes) and codes[p + level] else None for p in range(len(codes))]
+            passed = [c is not None and bool(collocations._passes(bits.value, np.array([c]))[0]) for c in chains]
+            good = np.array([passed[p] and p + 1 < len(codes) and passed[p + 1] for p in range(len(codes))], bool)
+        want.update((int(chains[p]), int(words[codes[p + levels] - 1])) for p in np.flatnonzero(good))
+    found, batches = Counter(), list(collocations._nominated(filters)(stretch(words, codes) for codes in texts))
+    for batch in batches:
+        prefix, last = (batch.column(c).to_numpy().view(np.uint64).tolist() for c in ("prefix", "last"))
+        for *phrase, n in zip(prefix, last, batch.column("n").to_pylist()):
+            found[tuple(phrase)] += n
+    assert max(b.num_rows for b in batches) <= 5 and len(want) > 4 and found == want
+
+
+def test_nominations_take_bounded_memory():
+    """What a task holds must not grow with its stretches: they are summed early, and leave in small batches."""
+    rng = np.random.default_rng(8)
+    words = rng.integers(0, 2**63, 40_000, dtype=np.uint64)
+    every = SimpleNamespace(value=np.full(1 << (collocations.BITS - 6), 2**64 - 1, np.uint64))
+    given = [stretch(words, rng.integers(1, len(words) + 1, 2_000_000)) for _ in range(2)]
+    total = largest = 0
+    tracemalloc.start()
+    try:
+        for batch in collocations._nominated([every])(iter(given)):
+            total, largest = total + pc.sum(batch.column("n")).as_py(), max(largest, batch.nbytes)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert total == 2 * 1_999_999 and largest <= 2 << 20 and peak < 200_000_000
