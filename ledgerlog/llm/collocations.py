@@ -25,7 +25,7 @@ from .words import Words, hashes, mix, split, utf8, word_class
 
 STRETCH_BYTES = 8 << 20
 BITS = 26
-POSITIONS = 1 << 18
+POSITIONS = 1 << 17
 NOMINATIONS = 1 << 20
 BATCH_ROWS = 1 << 16
 TRIE_PHRASES = 250_000
@@ -158,8 +158,14 @@ def _nominated(filters: list):
         prefix, last = np.concatenate(prefixes), np.concatenate(lasts)
         prefixes.clear()
         lasts.clear()
-        _, first, n = np.unique(_chained(prefix, last), return_index=True, return_counts=True)
-        prefix, last = prefix[first].view(np.int64), last[first].view(np.int64)
+        code = _chained(prefix, last)
+        order = np.argsort(code)
+        code = code[order]
+        first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+        del code
+        n, order = np.diff(first, append=len(order)), order[first]
+        prefix, last = prefix[order].view(np.int64), last[order].view(np.int64)
+        del first, order
         for begin in range(0, len(n), BATCH_ROWS):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c[begin:begin + BATCH_ROWS]) for c in (prefix, last, n)], ["prefix", "last", "n"])
